@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkurate.llm import langid, tokencount
+from sparkurate.llm import bpe, langid, tokencount, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language_id": langid.op2_language_id,
+        "op7_byte_bpe": bpe.op7_byte_bpe,
         "op9_token_counts": tokencount.op9_token_counts,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
