@@ -4,8 +4,9 @@ Tokens are lower-cased runs of letters and digits. From a bounded, documented sa
 labelled documents (MAX_TRAIN_DOCS a class in expectation, chosen by a hash of the id) each
 token, and each token's first STEM letters, gets the log of its odds among toxic against
 clean tokens (each counted once a document), with an informative Dirichlet prior: LEAST_PRIOR
-and PRIOR times its background frequency. Log-odds of less than Z standard errors count as none. A token that isn't
-known takes its stem's log-odds.
+and PRIOR times its background frequency. Log-odds of less than Z standard errors, or nearer to 0 than MIN_ODDS,
+count as none. A token that isn't known takes its stem's log-odds, which come from the tokens
+that have none of their own, or from SPREAD or more that agree. In a text, the first time that a token comes up counts.
 
 A text's scores are log-odds less DRIFT. One left-to-right pass finds all maximal scoring
 segments in linear time (each is kept as a candidate until a better one contains it). Since
@@ -34,9 +35,13 @@ from sparkurate.llm import common
 
 MAX_TRAIN_DOCS = 20_000
 STEM = 4
+#: From so many tokens with evidence of one sign on, these speak for their stem too.
+SPREAD = 3
 PRIOR = 1000.0
 LEAST_PRIOR = 0.5
-Z = 3.0
+Z = 3.2
+MIN_ODDS = 3.0
+MOST = 30.0
 DRIFT = 0.05
 THRESHOLD = 0.7
 _SAMPLE = 1 << 20
@@ -53,12 +58,13 @@ class Model:
     def evidence(self, text: str) -> tuple[list[tuple[int, float]], int]:
         """Places and log-odds of the tokens that have any; the number of tokens."""
         tokens = _token(text.lower())
-        words, stems, found = self.words, self.stems, []
+        words, stems, found, seen = self.words, self.stems, [], set()
         for i, t in enumerate(tokens):
             s = words.get(t)
             if s is None:
-                s = stems.get(t[:STEM], 0.0)
-            if s:
+                s = stems.get(t[:STEM])
+            if s is not None and t not in seen:
+                seen.add(t)
                 found.append((i, s))
         return found, len(tokens)
 
@@ -95,7 +101,7 @@ class Model:
             return 0.0
         chance = math.log(n + 1)
         best = max(s for _, _, s in segments)
-        return max(best, sum(s - chance for _, _, s in segments if s > chance) + chance) - 0.5 * chance
+        return min(MOST, max(best, sum(s - chance for _, _, s in segments if s > chance) + chance) - 0.5 * chance)
 
     def score(self, text: str) -> float:
         x = self.slope * self.statistic(text) + self.offset
@@ -140,13 +146,24 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
     n0, n1 = features.where("feature like 'w%'").agg(F.coalesce(F.sum("clean"), F.lit(0)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n0 or not n1:
         return Model({}, {})
-    prior = F.lit(LEAST_PRIOR) + F.lit(PRIOR) * (F.col("clean") + F.col("toxic")) / F.lit(float(n0 + n1))
-    odds = F.log((F.col("toxic") + prior) / (F.lit(n1 + PRIOR) - F.col("toxic") - prior)) - F.log((F.col("clean") + prior) / (F.lit(n0 + PRIOR) - F.col("clean") - prior))
-    error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    strong = features.where("feature like 's%' or clean + toxic >= 3").select("feature", odds.alias("odds"), error.alias("error"))
-    strong = strong.where((F.abs("odds") >= Z * F.col("error")) & (F.abs("odds") > DRIFT)).toArrow().to_pylist()
-    words = {r["feature"][1:]: r["odds"] for r in strong if r["feature"][0] == "w"}
-    stems = {r["feature"][1:]: r["odds"] for r in strong if r["feature"][0] == "s"}
+
+    def evidence(clean, toxic, log=F.log, root=F.sqrt):
+        prior = LEAST_PRIOR + PRIOR / float(n0 + n1) * (clean + toxic)
+        odds = log((toxic + prior) / (n1 + PRIOR - toxic - prior)) - log((clean + prior) / (n0 + PRIOR - clean - prior))
+        return odds, root(1 / (toxic + prior) + 1 / (clean + prior))
+
+    odds, error = evidence(F.col("clean"), F.col("toxic"))
+    strong = features.where((F.abs(odds) >= Z * error) & (F.abs(odds) >= MIN_ODDS)).withColumn("odds", odds).toArrow().to_pylist()
+    words = {r["feature"][1:]: r for r in strong if r["feature"][0] == "w"}
+    stems: dict[str, float] = {}
+    for stem in (r for r in strong if r["feature"][0] == "s"):
+        known = [r for w, r in words.items() if w[:STEM] == stem["feature"][1:]]
+        spread = len(known) >= SPREAD and all((r["odds"] > 0) == (stem["odds"] > 0) for r in known)
+        rest = [max(0, stem[k] - (not spread) * sum(r[k] for r in known)) for k in ("clean", "toxic")]
+        odds, error = evidence(*rest, math.log, math.sqrt)
+        if abs(odds) >= max(MIN_ODDS, Z * error):
+            stems[stem["feature"][1:]] = odds
+    words = {w: r["odds"] for w, r in words.items()}
     model = Model(words, stems)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
