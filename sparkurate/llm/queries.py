@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkurate.llm import bpe, langid, tokencount, toxicity
+from sparkurate.llm import bpe, langid, mpeg, quality, tokencount, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": quality.op1_quality_rules,
         "op2_language_id": langid.op2_language_id,
+        "op3_mpeg_audio": mpeg.op3_mpeg_audio,
         "op7_byte_bpe": bpe.op7_byte_bpe,
         "op9_token_counts": tokencount.op9_token_counts,
         "op10_toxicity": toxicity.op10_toxicity,
@@ -19,4 +21,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality_rules": quality.oracle()}
