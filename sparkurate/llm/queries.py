@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkurate.llm import bpe, langid, mpeg, quality, tokencount, toxicity
+from sparkurate.llm import bpe, langid, mixing, mpeg, quality, tokencount, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,10 +15,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": langid.op2_language_id,
         "op3_mpeg_audio": mpeg.op3_mpeg_audio,
         "op7_byte_bpe": bpe.op7_byte_bpe,
+        "op8_source_mixing": mixing.op8_source_mixing,
         "op9_token_counts": tokencount.op9_token_counts,
         "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": quality.oracle()}
+    return {"op1_quality_rules": quality.oracle(), "op8_source_mixing": mixing.oracle()}
