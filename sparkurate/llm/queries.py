@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkurate.llm import bpe, langid, mixing, mpeg, neardup, quality, tokencount, toxicity, wrappers
+from sparkurate.llm import bpe, langid, lm, mixing, mpeg, neardup, quality, tokencount, toxicity, wrappers
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": quality.op1_quality_rules,
         "op2_language_id": langid.op2_language_id,
         "op3_mpeg_audio": mpeg.op3_mpeg_audio,
+        "op4_lm_scoring": lm.op4_lm_scoring,
         "op5_html_extraction": wrappers.op5_html_extraction,
         "op6_near_duplicates": neardup.op6_near_duplicates,
         "op7_byte_bpe": bpe.op7_byte_bpe,
