@@ -335,7 +335,7 @@ def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near duplicates the document of the least id stays, once."""
+    """Pipeline stage: of each group of near duplicates the document of the least id stays, with all its rows."""
     found = near_duplicates(docs)
     gone = common.materialize(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct())
     if gone.count() <= BROADCAST_IDS:
