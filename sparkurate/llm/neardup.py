@@ -13,9 +13,9 @@ deep a tree goes, with 0.75; TREES independent trees miss it with 0.25 ** TREES
 
 Groups of thousands of near copies: after STAR_LEVEL levels a large node is also cut into
 chunks of under LIMIT that share PIVOTS members, each compared exhaustively. Nodes that are
-connected after that need nothing more; only those with several components branch on. What is
-still large after MAX_LEVELS is compared in pairs of chunks, each member outside the node's
-largest component against all, so that no case is dropped. No task ever gets more than two
+connected after that need nothing more. Where FEW members or less are outside a node's largest
+component they are compared with all members, in pairs of chunks; other nodes branch on. What
+is still large after MAX_LEVELS is compared that way too, so that no case is dropped. No task ever gets more than two
 chunks, and no pairs are emitted: a node's links leave as one star for each component.
 
 Edge cases: null and empty texts have an empty set and are linked with nothing. Rows without
@@ -40,11 +40,12 @@ THRESHOLD = 85  # per cent
 HASHES = 64
 CUT = 0.65
 TREES = 8
-LIMIT = 256
+LIMIT = 2048
 LIMIT_SHINGLES = 1 << 20
-STAR_LEVEL = 2
+STAR_LEVEL = 4
 PIVOTS = 4
-MAX_LEVELS = 10
+FEW = 64
+MAX_LEVELS = 12
 #: Up to so many ids (8 bytes each) are broadcast to pick texts; beyond, a shuffled join.
 BROADCAST_IDS = 1_000_000
 _words = re.compile(rb"[^\x20\x09-\x0D]+").findall
@@ -254,7 +255,7 @@ def _sizes(rows: DataFrame) -> DataFrame:
 def _chunks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """rows of large nodes with a chunk number each; chunks have about LIMIT / 2 members."""
     parts = F.ceil(F.greatest(F.col("members") / (LIMIT // 2), F.col("total") / (LIMIT_SHINGLES // 2))).cast("int")
-    return rows.join(sizes.select("node", parts.alias("parts")), "node").withColumn("chunk", F.expr("pmod(xxhash64(node, rep), parts)"))
+    return rows.join(sizes.withColumn("parts", parts).drop("large", "x", "y", "total"), "node").withColumn("chunk", F.expr("pmod(xxhash64(node, rep), parts)"))
 
 
 def _star_nodes(rows: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -269,27 +270,33 @@ def _star_nodes(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def _rest_nodes(rows: DataFrame, sizes: DataFrame, labels: DataFrame) -> DataFrame:
     """Small nodes for large ones that never got small: members outside the largest component against all."""
-    chunked = common.materialize(_chunks(rows, sizes).join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")))
-    body = chunked.groupBy("node", "component").agg(F.count("*").alias("c")).groupBy("node").agg(F.max_by("component", F.struct("c", "component")).alias("body"))
-    marked = chunked.join(body, "node").withColumn("rest", F.col("component") != F.col("body"))
-    with_rest = marked.where("rest").select("node", F.col("chunk").alias("i")).distinct()
-    every = chunked.select("node", F.col("chunk").alias("j")).distinct()
+    # The rest is cut into chunks of its own, as few as its size needs.
+    marked = _chunks(rows, sizes).join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("rest", F.coalesce("component", "rep") != F.col("body"))
+    marked = common.materialize(marked.withColumn("i", F.when(F.col("rest"), F.expr("pmod(xxhash64(node, rep, 1), cast(ceil(parts * outside / members) as int))"))))
+    with_rest = marked.where("rest").select("node", "i").distinct()
+    every = marked.select("node", F.col("chunk").alias("j")).distinct()
     name = F.xxhash64("node", "i", "j").alias("node")
-    theirs = marked.where("rest").withColumnRenamed("chunk", "i").join(every, "node").select(name, "rep")
-    ours = marked.withColumnRenamed("chunk", "j").join(with_rest, "node").select(name, "rep")
+    theirs = marked.where("rest").select("node", "rep", "i").join(every, "node").select(name, "rep")
+    ours = marked.select("node", "rep", F.col("chunk").alias("j")).join(with_rest, "node").select(name, "rep")
     return theirs.union(ours).distinct()
 
 
+def _bodies(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """node, its largest component, and how many members are outside of it, where there are any."""
+    parts = rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left").groupBy("node", F.coalesce("component", "rep").alias("component")).agg(F.count("*").alias("c"))
+    found = parts.groupBy("node").agg(F.max_by("component", F.struct("c", "component")).alias("body"), (F.sum("c") - F.max("c")).alias("outside"))
+    return found.where("outside > 0")
+
+
 def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     known = common.materialize(features(docs))
-    classes = known.where("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b").agg(F.min(F.col("doc_id").cast("long")).alias("rep"))
+    classes = known.where("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b").agg(F.min(F.col("doc_id").cast("long")).alias("rep"), F.first("signature").alias("signature"))
     classes = common.materialize(classes)
-    stands = known.select(F.col("doc_id").cast("long").alias("rep"), F.col("n_shingles").alias("n"), "signature", "n_shingles", "set_a", "set_b")
-    signatures = common.materialize(stands.join(classes, ["rep", "n_shingles", "set_a", "set_b"]).select("rep", "n", "signature").dropDuplicates(["rep"]))
+    signatures = classes.where("rep is not null").select("rep", F.col("n_shingles").alias("n"), "signature")
 
     rows = common.materialize(branch(signatures, trees))
-    found, links = [], []
+    found, links, labels = [], [], None
     for level in range(1, MAX_LEVELS + 1):
         sizes = _sizes(rows)
         found.append((rows, sizes.where("not large")))
@@ -297,18 +304,18 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
         if large.isEmpty():
             break
         rows = common.materialize(rows.join(large.select("node"), "node"))
-        if level == STAR_LEVEL or level == MAX_LEVELS:
+        if level == STAR_LEVEL:
             links.append(compare(_star_nodes(rows, large), signatures, docs))
-            labels = components(links[0] if len(links) == 1 else links[0].union(links[1]))
-            marked = rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left").groupBy("node").agg(F.min(F.coalesce("component", "rep")).alias("low"), F.max(F.coalesce("component", "rep")).alias("high"))
-            mixed = common.materialize(marked.where("low <> high").select("node"))
-            rows = common.materialize(rows.join(mixed, "node"))
-        if level == MAX_LEVELS:
-            rest = common.materialize(large.join(mixed, "node"))
-            if not rest.isEmpty():
-                links.append(compare(_rest_nodes(rows, rest, labels), signatures, docs))
-        else:
-            rows = common.materialize(branch(rows.join(signatures.select("rep", "signature"), "rep")))
+            labels = common.materialize(components(links[0]))
+        if labels is not None:
+            mixed = common.materialize(large.join(_bodies(rows, labels), "node"))
+            settled = mixed if level == MAX_LEVELS else mixed.where(F.col("outside") <= FEW)
+            if not settled.isEmpty():
+                links.append(compare(_rest_nodes(rows, settled, labels), signatures, docs))
+            if level == MAX_LEVELS:
+                break
+            rows = rows.join(mixed.where(F.col("outside") > FEW).select("node"), "node")
+        rows = common.materialize(branch(rows.select("node", "rep", "n").join(signatures.select("rep", "signature"), "rep")))
 
     # Nodes of the same members, in other trees or on other levels, are compared once.
     leaves = found[0][1]
@@ -323,7 +330,6 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     for more in links[1:]:
         every = every.union(more)
     labels = components(every)
-
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("n_shingles", "set_a", "set_b", F.coalesce("component", "rep").alias("_class"))
     joined = known.drop("signature").join(named, ["n_shingles", "set_a", "set_b"], "left")
     component = F.coalesce(F.col("_class"), F.col("doc_id").cast("long"))
