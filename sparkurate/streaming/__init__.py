@@ -1,0 +1 @@
+"""Streaming: every stage of the curation pipeline reads whole files, so there is no stream operator."""
