@@ -77,7 +77,7 @@ class Header:
     __slots__ = ("channels", "kind", "layer", "protected", "rate", "samples", "side", "size", "start")
 
     def __init__(self, version: int, layer: int, protected: bool, kbps: int, rate: int, padding: int, mode: int) -> None:
-        self.kind = (version, layer, rate)
+        self.kind = (version, layer, rate, protected)
         self.layer, self.rate, self.protected, self.channels = layer, rate, protected, 1 if mode == 3 else 2
         if layer == 1:
             self.samples, self.size = 384, (12000 * kbps // rate + padding) * 4
@@ -167,6 +167,14 @@ def _id3v2(data: bytes, at: int) -> tuple[int, dict[str, str]]:
     return min(end, len(data)), found
 
 
+def _intact(data: bytes, at: int, own: Header) -> bool:
+    """Whether the frame has a checksum that can be checked, and it is right."""
+    if not own.protected or own.layer == 2:
+        return False
+    covered = own.side or 16 * own.channels
+    return checksum(data[at + 2 : at + 4] + data[at + 6 : at + 6 + covered]) == int.from_bytes(data[at + 4 : at + 6], "big")
+
+
 def scan(data: bytes) -> dict:
     """Everything about a stream: see the module's text. Frame offsets leave out a table's frame."""
     out = {"rate": 0, "layer": 0, "channels": 0, "n_frames": 0, "n_samples": 0, "crc_checked": 0, "crc_failed": 0, "crc_unchecked": 0, "resyncs": 0, "skipped_bytes": 0, "table": "", "table_frames": 0, "table_bytes": 0, "table_ok": False, "vbr": False, "tags": {}, "offsets": [], "starts": []}
@@ -185,7 +193,8 @@ def scan(data: bytes) -> dict:
         after = at + own.size if own else 0
         if own and after <= stop:
             follower = header(data[after : after + 4]) if after + 4 <= stop else None
-            agreed = (follower is not None and follower.kind == own.kind) or (kind == own.kind and not follower) or after >= stop - 3 or data[after : after + 3] == b"ID3"
+            # The next header agrees, or nothing follows, or a checksum or the stream so far speaks for the frame.
+            agreed = (follower is not None and follower.kind == own.kind) or after >= stop - 3 or data[after : after + 3] == b"ID3" or (kind == own.kind and (follower is None or _intact(data, at, own)))
         if not own or after > stop or not agreed:
             # Resynchronise: the next place whose header and its follower agree.
             place = at + 1
@@ -206,10 +215,8 @@ def scan(data: bytes) -> dict:
             continue
         kind = own.kind
         if own.protected and own.layer != 2:
-            covered = own.side or 16 * own.channels
             out["crc_checked"] += 1
-            if checksum(data[at + 2 : at + 4] + data[at + 6 : at + 6 + covered]) != int.from_bytes(data[at + 4 : at + 6], "big"):
-                out["crc_failed"] += 1
+            out["crc_failed"] += not _intact(data, at, own)
         elif own.protected:
             out["crc_unchecked"] += 1
         mark = data[at + own.start : at + own.start + 4]
