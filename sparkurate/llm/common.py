@@ -63,21 +63,42 @@ def scratch_dir(spark: SparkSession) -> str:
     return current
 
 
+_written: list[str] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Writes df once to the shared checkpoint folder and reads it back: the lineage ends there."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def mark() -> int:
+    """The place from which discard_since() removes tables."""
+    return len(_written)
+
+
+def discard_since(place: int, spark: SparkSession, *keep: DataFrame) -> None:
+    """Removes the tables written since mark(), but for those that a result still reads."""
+    kept = {df._scratch for df in keep}
+    for path in [p for p in _written[place:] if p not in kept]:
+        _remove(path, spark)
 
 
 def discard(*tables: DataFrame) -> None:
-    """Removes tables that materialize() wrote, once nothing reads them."""
-    for table in tables:
-        spark = table.sparkSession
-        for file in table.inputFiles()[:1]:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """Removes materialised tables that nothing reads any more."""
+    for df in tables:
+        _remove(df._scratch, df.sparkSession)
+
+
+def _remove(path: str, spark: SparkSession) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _written.remove(path)
 
 
 def map_rows(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]], schema: T.StructType) -> DataFrame:

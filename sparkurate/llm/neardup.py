@@ -208,6 +208,7 @@ def _links(table: pa.Table) -> pa.Table:
 
 def compare(nodes: DataFrame, signatures: DataFrame, docs: DataFrame) -> DataFrame:
     """Links a, b (stars around the least id) found in small nodes (node, rep), confirmed on full sets."""
+    began = common.mark()
     near = common.materialize(nodes.join(signatures.select("rep", "signature"), "rep").select("node", "rep", "signature").groupBy("node").applyInArrow(_alike, "node long, rep long"))
     wanted = common.materialize(near.select("rep").distinct())
     if wanted.count() <= BROADCAST_IDS:
@@ -223,11 +224,14 @@ def compare(nodes: DataFrame, signatures: DataFrame, docs: DataFrame) -> DataFra
     picked = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi")
     sets = common.map_rows(picked, start, T.StructType([T.StructField("rep", T.LongType()), T.StructField("shingles", T.BinaryType())]))
     sets = common.materialize(sets.where(F.length("shingles") > 0))
-    return common.materialize(near.join(sets, "rep").select("node", "rep", "shingles").groupBy("node").applyInArrow(_links, "a long, b long").distinct())
+    links = common.materialize(near.join(sets, "rep").select("node", "rep", "shingles").groupBy("node").applyInArrow(_links, "a long, b long").distinct())
+    common.discard_since(began, docs.sparkSession, links)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
     """id, component (the least id reachable) of every id in links; large and small stars in turn."""
+    began = common.mark()
     edges = common.materialize(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     while True:
@@ -242,7 +246,10 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    common.discard_since(began, edges.sparkSession, edges)
+    out = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    out._scratch = edges._scratch
+    return out
 
 
 def _sizes(rows: DataFrame) -> DataFrame:
@@ -290,6 +297,7 @@ def _bodies(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
+    began = common.mark()
     known = common.materialize(features(docs))
     classes = known.where("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b").agg(F.min(F.col("doc_id").cast("long")).alias("rep"), F.first("signature").alias("signature"))
     classes = common.materialize(classes)
@@ -306,7 +314,7 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
         rows = common.materialize(rows.join(large.select("node"), "node"))
         if level == STAR_LEVEL:
             links.append(compare(_star_nodes(rows, large), signatures, docs))
-            labels = common.materialize(components(links[0]))
+            labels = components(links[0])
         if labels is not None:
             mixed = common.materialize(large.join(_bodies(rows, labels), "node"))
             settled = mixed if level == MAX_LEVELS else mixed.where(F.col("outside") <= FEW)
@@ -330,6 +338,7 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     for more in links[1:]:
         every = every.union(more)
     labels = components(every)
+    common.discard_since(began, docs.sparkSession, known, classes, labels)
     named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("n_shingles", "set_a", "set_b", F.coalesce("component", "rep").alias("_class"))
     joined = known.drop("signature").join(named, ["n_shingles", "set_a", "set_b"], "left")
     component = F.coalesce(F.col("_class"), F.col("doc_id").cast("long"))

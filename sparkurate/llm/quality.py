@@ -135,8 +135,10 @@ def thresholds(sketch: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, MEASURES, base_failed, kept, lang, source and the fences that held for the row."""
+    began = common.mark()
     measured = common.materialize(measures(docs))
     limits = common.materialize(thresholds(common.materialize(sketches(measured))))
+    common.discard_since(began, docs.sparkSession, measured, limits)
     if limits.count() <= BROADCAST_GROUPS:
         limits = F.broadcast(limits)
     judged = measured.join(limits, ["lang", "source"], "left")

@@ -142,6 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
         keys = list(seen)
         yield pa.RecordBatch.from_pydict({"feature": pa.array(keys, pa.string()), "clean": pa.array([seen[k][0] for k in keys], pa.int64()), "toxic": pa.array([seen[k][1] for k in keys], pa.int64())})
 
+    began = common.mark()
     features = common.materialize(sample.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     n0, n1 = features.where("feature like 'w%'").agg(F.coalesce(F.sum("clean"), F.lit(0)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n0 or not n1:
@@ -177,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
     x = np.repeat(np.array(points["x"] * 2), np.array(points["ones"] + [n - o for n, o in zip(points["n"], points["ones"], strict=True)]))
     y = np.repeat([1.0, 0.0], [sum(points["ones"]), sum(points["n"]) - sum(points["ones"])])
     model.slope, model.offset = fit_logistic(x, y)
-    common.discard(features)
+    common.discard_since(began, docs.sparkSession)
     return model
 
 
