@@ -30,5 +30,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = common.materialize(stage(spark, docs, sf_dir))
+        began = common.mark()
+        kept = common.materialize(stage(spark, docs, sf_dir))
+        common.discard_since(began, spark, kept)
+        if hasattr(docs, "_scratch"):
+            common.discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
