@@ -115,3 +115,16 @@ def newest(df: DataFrame, path: str, preferred: str = "last") -> DataFrame:
     number = F.regexp_extract(path, r"(\d+)[^\d/]*$", 1).try_cast("long")
     inside = F.col(path).rlike(f"(^|/){preferred}(/|$)").cast("int")
     return df.agg(F.max_by(path, F.struct(inside, F.coalesce(number, F.lit(-1)), F.col(path))).alias(path))
+
+
+def first_with(files: DataFrame, name: str, parts: tuple[str, ...], order: str) -> DataFrame:
+    """One row: the first file, in the given order, whose name has one of the parts in any case."""
+    found = F.lit(False)
+    for part in parts:
+        found = found | F.lower(name).contains(part.lower())
+    return files.where(found).agg(F.min_by(name, order).alias(name))
+
+
+def first_items(column: str, n: int = 16) -> Column:
+    """The first items of an array."""
+    return F.slice(column, 1, n)

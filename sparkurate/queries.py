@@ -392,12 +392,12 @@ def quota_check(spark, sf_dir):
 @query(
     """SELECT label_id, sum(missing)::BIGINT AS missing FROM (
 SELECT q.label_id, 150 - coalesce(n, 0) AS missing FROM (VALUES ('en'), ('de'), ('fr'), ('es'), ('xx')) AS q(label_id) LEFT JOIN (SELECT lang AS label_id, count(*) AS n FROM documents GROUP BY 1) d ON q.label_id = d.label_id WHERE 150 - coalesce(n, 0) > 0
-UNION ALL SELECT lang, count(*) FROM documents WHERE doc_id % 97 = 0 GROUP BY 1) GROUP BY 1"""
+UNION ALL SELECT lang, count(*) FROM documents WHERE n_chars > 9000 GROUP BY 1) GROUP BY 1"""
 )
 def shortage_report(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label_id"))
+    docs = table(spark, sf_dir, "documents").select("n_chars", F.col("lang").alias("label_id"))
     quotas = spark.createDataFrame([(k, 150) for k in ("en", "de", "fr", "es", "xx")], "label_id string, quota int")
-    failed = docs.where("doc_id % 97 = 0").groupBy("label_id").agg(F.count("*").alias("missing"))
+    failed = docs.where("n_chars > 9000").groupBy("label_id").agg(F.count("*").alias("missing"))
     return sampling.add_shortages(sampling.shortages(docs, quotas), failed)
 
 
@@ -624,14 +624,14 @@ a1 AS (SELECT p, f, 60 * p // (p + f) AS b, 60 * p % (p + f) AS r FROM cap), s1
 a2 AS (SELECT p - tp AS p, f - (60 - tp) AS f, tp FROM s1), a3 AS (SELECT *, 20 * p // (p + f) AS b, 20 * p % (p + f) AS r FROM a2),
 s2 AS (SELECT tp, b + CASE WHEN r > 0 AND (2 * r > p + f OR (2 * r = p + f AND p >= f)) THEN 1 ELSE 0 END AS vp FROM a3)
 SELECT doc_id::VARCHAR AS observation_id, CASE g WHEN 'plants' THEN 'UNK_NON_TARGET_PLANT' WHEN 'fungi' THEN 'UNK_NON_TARGET_FUNGUS' ELSE g END AS label_id, CASE WHEN lang = 'en' THEN 'unknown' ELSE lang END AS public_label_id,
-  CASE WHEN rn <= CASE g WHEN 'plants' THEN tp WHEN 'fungi' THEN 60 - tp ELSE 30 END THEN 'train' ELSE 'val' END AS split
-FROM ranked, s2 WHERE rn <= CASE g WHEN 'plants' THEN tp + vp WHEN 'fungi' THEN 80 - tp - vp ELSE 40 END AND (lang = 'en' OR lang IN ('de', 'fr'))"""
+  CASE WHEN rn <= CASE g WHEN 'plants' THEN tp WHEN 'fungi' THEN 60 - tp ELSE 15 END THEN 'train' ELSE 'val' END AS split
+FROM ranked, s2 WHERE rn <= CASE g WHEN 'plants' THEN tp + vp WHEN 'fungi' THEN 80 - tp - vp ELSE 20 END AND (lang = 'en' OR lang IN ('de', 'fr'))"""
 )
 def build_splits(spark, sf_dir):
-    """Languages are labels, English is unknown and told apart by a made-up kingdom; at sf0.001 too few rows raise."""
+    """Languages are labels, English is unknown and told apart by a made-up kingdom."""
     docs = table(spark, sf_dir, "documents")
     records = docs.select(F.when(F.col("lang") == "en", V.UNKNOWN).otherwise(F.col("lang")).alias("label_id"), F.when(F.col("doc_id") % 5 < 3, "plants").otherwise("fungi").alias("kingdom"), F.col("doc_id").cast("string").alias("observation_id"), F.col("doc_id"))
-    built = splits.build_splits(records, ["de", "fr"], {"train": 30, "val": 10}, {"train": 60, "val": 20}, extra=0, ids=("doc_id",))
+    built = splits.build_splits(records, ["de", "fr"], {"train": 15, "val": 5}, {"train": 60, "val": 20}, extra=0, ids=("doc_id",))
     return built.select("observation_id", "label_id", "public_label_id", "split")
 
 
@@ -666,11 +666,11 @@ def chat_examples(spark, sf_dir):
     return found.select("conv_id", "turn", F.explode(messages).alias("m"), F.col("image_path").alias("image")).select("conv_id", "turn", "m.role", "m.content", "image")
 
 
-@query("SELECT conv_id, turn FROM conversations c WHERE conv_id % 3 = 0 OR NOT EXISTS (SELECT 1 FROM (VALUES (0), (1)) AS s(s) WHERE conv_id + s NOT IN (SELECT doc_id FROM documents WHERE doc_id % 7 <> 0))")
+@query("SELECT conv_id, turn FROM conversations c WHERE conv_id % 3 = 0 OR NOT EXISTS (SELECT 1 FROM (VALUES (0), (1)) AS s(s) WHERE conv_id + s NOT IN (SELECT doc_id FROM documents WHERE lang <> 'es'))")
 def all_refs_exist(spark, sf_dir):
     refs = F.when(F.col("conv_id") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.col("conv_id").cast("string"), (F.col("conv_id") + 1).cast("string")))
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", refs.alias("images"))
-    files = table(spark, sf_dir, "documents").where("doc_id % 7 <> 0").select(F.col("doc_id").cast("string").alias("path"))
+    files = table(spark, sf_dir, "documents").where("lang <> 'es'").select(F.col("doc_id").cast("string").alias("path"))
     return lookups.references_exist(chats, "images", files, ["conv_id", "turn"]).select("conv_id", "turn")
 
 
@@ -696,7 +696,7 @@ def prompt_ablation(spark, sf_dir):
     return rendering.ablation(rows, manifest).groupBy("variant").agg(F.count("*").alias("n"), F.countDistinct(F.element_at("messages", 3)["content"]).alias("contents"))
 
 
-@query("SELECT count(*) FILTER (n_nationkey % 4 <> 0) AS kept, count(*) FILTER (n_nationkey % 4 = 0) AS removed, count(*) AS total FROM nation")
+@query("SELECT count(*) FILTER (n_regionkey <> 3) AS kept, count(*) FILTER (n_regionkey = 3) AS removed, count(*) AS total FROM nation")
 def kept_counts(spark, sf_dir):
     rows = table(spark, sf_dir, "nation")
-    return metrics.kept_counts(rows, rows.where("n_nationkey % 4 <> 0"))
+    return metrics.kept_counts(rows, rows.where("n_regionkey <> 3"))

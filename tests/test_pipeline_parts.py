@@ -180,6 +180,9 @@ def test_first_rows_and_newest(spark):
     for n in (0, 6):
         with pytest.raises(ValueError):
             sampling.first_rows(frame, "place", n)
+    files = spark.createDataFrame([("a.gguf", 1, [1, 2, 3]), ("b-MMPROJ.gguf", 2, [4])], "name string, place int, ids array<int>")
+    assert sampling.first_with(files, "name", ("mmproj", "projector"), "place").first().name == "b-MMPROJ.gguf"
+    assert files.select(sampling.first_items("ids", 2).alias("x")).first().x == [1, 2]
     paths = spark.createDataFrame([("run/checkpoint-9",), ("run/checkpoint-10",), ("run/x",)], "p string")
     assert sampling.newest(paths, "p").first().p == "run/checkpoint-10"
     assert sampling.newest(paths.union(spark.createDataFrame([("last/checkpoint-1",)], "p string")), "p").first().p == "last/checkpoint-1"
