@@ -226,9 +226,11 @@ def expression(nodes: list[Node]) -> str:
 
 
 def _aside(symbol: str) -> bool:
-    for element in symbol.split("/"):
-        name, *marks = re.split(r"[.#@]", element, maxsplit=1)
-        if name in ASIDE or (marks and not ASIDE_WORDS.isdisjoint(_PARTS.findall(marks[0]))):
+    """Whether the path leads outside the main text; what an article stands in or is called doesn't count."""
+    elements = [re.split(r"[.#@]", e, maxsplit=1) for e in symbol.split("/")]
+    inmost = max((i for i, e in enumerate(elements) if e[0] in CONTENT), default=-1)
+    for i, (name, *marks) in enumerate(elements):
+        if name in ASIDE or (marks and i > inmost and not ASIDE_WORDS.isdisjoint(_PARTS.findall(marks[0]))):
             return True
     return False
 

@@ -249,6 +249,13 @@ def test_template_text_in_the_article_goes(spark):
     assert all("Title 1" in r.text for r in wrappers.extract(same, wrappers.infer(same)).collect())
 
 
+def test_paths_outside_the_main_text():
+    for path in ("nav/ul/li", "article.post/div.share-box", "div#comments/p", "main/aside/p", "article/header/h1", "div.ad"):
+        assert wrappers._aside(path), path
+    for path in ("article.has-sidebar/p", "div.with-sidebar/main/p", "div.content/p", "article/div.download/p"):
+        assert not wrappers._aside(path), path
+
+
 def test_alignment():
     def wrapper(*symbols):
         return [wrappers.Node(s, r, False, 1, 1, 1, 1) for s, r, _, _ in wrappers.fold(list(symbols))]
