@@ -38,10 +38,15 @@ def fold(column: str = "doc_id", parts: int = 4) -> Column:
 
 
 def ship(spark: SparkSession) -> None:
-    """Makes this package importable in the executors' Python workers."""
+    """Makes this package importable in the executors' Python workers.
+
+    It is, where PYTHONPATH names its folder, or where workers start in that folder on this
+    machine; else the session sends it to them.
+    """
     paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     context = spark.sparkContext
-    if str(_ROOT) in paths or Path.cwd() == _ROOT or getattr(context, "_sparkurate_shipped", False):
+    here = context.master.startswith("local") and not context.master.startswith("local-cluster") and Path.cwd() == _ROOT
+    if str(_ROOT) in paths or here or getattr(context, "_sparkurate_shipped", False):
         return
     target = Path(tempfile.mkdtemp()) / "sparkurate.zip"
     with zipfile.ZipFile(target, "w") as out:
