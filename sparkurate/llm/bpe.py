@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from sparkurate.llm import common
 
-CACHE = 200_000
+CACHE = 300_000
 PRIME = (1 << 31) - 1
 _loaded: dict[tuple[str, str], Codec] = {}
 
