@@ -44,6 +44,7 @@ MIN_ODDS = 3.0
 MOST = 30.0
 DRIFT = 0.05
 THRESHOLD = 0.7
+FLUSH = 1 << 18
 _SAMPLE = 1 << 20
 _token = re.compile(r"[^\W_]+").findall
 
@@ -132,15 +133,22 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
     sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
     common.ship(docs.sparkSession)
 
+    def rows(seen: dict[str, int]) -> pa.RecordBatch:
+        n = np.fromiter(seen.values(), np.int64, len(seen))
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(n & 0xFFFFFFFF), pa.array(n >> 32)], names=["feature", "clean", "toxic"])
+
     def count(batches):
-        seen: dict[str, list[int]] = {}
+        seen: dict[str, int] = {}  # clean documents in the low 32 bits, toxic ones above
         for batch in batches:
             for text, toxic in zip(common.texts_of(batch), common.column_of(batch, "toxic").to_pylist(), strict=True):
                 tokens = set(_token(text.lower()))  # a repeated line shall not make its words
+                one = 1 << 32 if toxic else 1
                 for key in {"w" + t for t in tokens} | {"s" + t[:STEM] for t in tokens}:
-                    seen.setdefault(key, [0, 0])[toxic] += 1
-        keys = list(seen)
-        yield pa.RecordBatch.from_pydict({"feature": pa.array(keys, pa.string()), "clean": pa.array([seen[k][0] for k in keys], pa.int64()), "toxic": pa.array([seen[k][1] for k in keys], pa.int64())})
+                    seen[key] = seen.get(key, 0) + one
+                if len(seen) > FLUSH:
+                    yield rows(seen)
+                    seen = {}
+        yield rows(seen)
 
     began = common.mark()
     features = common.materialize(sample.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
