@@ -1,5 +1,11 @@
 """Every registered query with SQL agrees with DuckDB; the others run."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -35,3 +41,13 @@ def test_agrees_with_sql(spark, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_stands_without_the_optional_parts(tmp_path):
+    """The other queries are registered where the training-data operators aren't there."""
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "sparkurate", tmp_path / "sparkurate", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, env=env, capture_output=True, text=True, check=True)
+    assert said.stdout.split() == [str(len(curation.QUERIES)), str(len(curation.SQL))]
