@@ -3,7 +3,7 @@
 A source's share s of all tokens becomes the weight s^t / sum(s^t). The exponent t between 0
 (uniform) and 1 (as found) is bisected: the smallest that keeps every source within a
 repetition limit, or the largest whose weights have a target share of the greatest entropy.
-Each step is one aggregate over one row a source.
+A look at the sources is one aggregate over one row a source, for several halvings at once.
 
 A budget of tokens is then split by weight. A source is drawn in passes, each a permutation of
 its documents by the md5 of seed and id: whole passes first, then the start of one more until
@@ -30,6 +30,7 @@ from sparkurate.llm import common
 BLOCK_DOCS = 512
 STEP = 3
 STEPS = 30
+HALVINGS = 3
 SEED = "mix"
 MAX_REPETITION = 1.25
 COVER_SPREAD = 2.0
@@ -64,36 +65,55 @@ def shares(rows: DataFrame) -> tuple[DataFrame, Totals]:
     return sums.withColumn("share", F.col("tokens") / F.lit(float(t["t"] or 1))), Totals(t["t"], t["n"], t["k"])
 
 
-def _at(sources: DataFrame, exponent: float) -> tuple[float, float, float, float]:
-    """Norm, entropy, least and greatest weight over share at this exponent."""
-    p = F.pow("share", F.lit(exponent))
-    z, zl, low, high = sources.where("tokens > 0").agg(F.sum(p), F.sum(p * F.log("share")), F.min(p / F.col("share")), F.max(p / F.col("share"))).first()
-    return (z, math.log(z) - exponent * zl / z, low / z, high / z) if z else (1.0, 0.0, 1.0, 1.0)
+def _at(sources: DataFrame, *exponents: float) -> list[tuple[float, float, float, float]]:
+    """Norm, entropy, least and greatest weight over share at each exponent; one aggregate for all."""
+    parts: list[Column] = []
+    for exponent in exponents:
+        p = F.pow("share", F.lit(exponent))
+        parts += [F.sum(p), F.sum(p * F.log("share")), F.min(p / F.col("share")), F.max(p / F.col("share"))]
+    row = sources.where("tokens > 0").agg(*[c.alias(f"c{i}") for i, c in enumerate(parts)]).first()
+    found = []
+    for i, exponent in enumerate(exponents):
+        z, zl, low, high = row[4 * i : 4 * i + 4]
+        found.append((z, math.log(z) - exponent * zl / z, low / z, high / z) if z else (1.0, 0.0, 1.0, 1.0))
+    return found
 
 
 def exponent_for(sources: DataFrame, totals: Totals, budget: int | None, max_repetition: float | None = None, target_entropy: float | None = None) -> float:
-    """The bisected exponent. Repetition: drawn tokens over own tokens; entropy: a part of log(sources)."""
-
-    def flat_enough(exponent: float) -> bool:
-        norm, entropy, low, high = _at(sources, exponent)
-        if max_repetition is not None:
-            return (budget / max(1, totals.tokens) * high if budget is not None else high / low) > max_repetition
-        return entropy >= target_entropy * math.log(max(1, totals.sources))
-
-    low, high = 0.0, 1.0
-    if not flat_enough(low):
-        return low  # uniform weights are within the limit, or the target is out of reach
-    if flat_enough(high):
-        return high
-    for _ in range(STEPS):
-        middle = (low + high) / 2
-        low, high = (middle, high) if flat_enough(middle) else (low, middle)
+    """The bisected exponent. Repetition: drawn tokens over own tokens; entropy: a part of log(sources).
+
+    The interval is halved STEPS times, HALVINGS of them at each look at the sources.
+    """
+
+    def flat_enough(*exponents: float) -> list[bool]:
+        found = []
+        for _, entropy, low, high in _at(sources, *exponents):
+            if max_repetition is not None:
+                found.append((budget / max(1, totals.tokens) * high if budget is not None else high / low) > max_repetition)
+            else:
+                found.append(entropy >= target_entropy * math.log(max(1, totals.sources)))
+        return found
+
+    uniform, as_found = flat_enough(0.0, 1.0)
+    if not uniform:
+        return 0.0  # uniform weights are within the limit, or the target is out of reach
+    if as_found:
+        return 1.0
+    low, high, parts = 0.0, 1.0, 1 << HALVINGS
+    for _ in range(STEPS // HALVINGS):
+        points = [low + (high - low) * k / parts for k in range(parts + 1)]
+        flags = flat_enough(*points[1:-1])
+        first, last = 0, parts
+        while last - first > 1:
+            middle = (first + last) // 2
+            first, last = (middle, last) if flags[middle - 1] else (first, middle)
+        low, high = points[first], points[last]
     return high if max_repetition is not None else low
 
 
 def plan(sources: DataFrame, totals: Totals, exponent: float, budget: int | None) -> DataFrame:
     """_mix_source, weight, passes, room (tokens left for the last pass)."""
-    norm, _, low, _ = _at(sources, exponent)
+    norm, _, low, _ = _at(sources, exponent)[0]
     if budget is None:
         budget = math.ceil(totals.tokens / low)
     weight = F.when(F.col("tokens") > 0, F.pow("share", F.lit(exponent)) / F.lit(norm)).otherwise(0.0)
