@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from sparkurate.llm import common
 
 SALTS = 64
-MIN_PAGES = 5
+MIN_PAGES = 20
 PERIOD = 6
 #: Up to so many hosts (a few hundred bytes each) the wrappers are broadcast; beyond, a shuffled join.
 BROADCAST_HOSTS = 20_000

@@ -242,10 +242,10 @@ def test_wrappers_find_the_article(spark):
 
 
 def test_template_text_in_the_article_goes(spark):
-    rows = [(i, "https://h.example/", page(i, extra="<div>Read on in our shop</div>")) for i in range(8)]
+    rows = [(i, "https://h.example/", page(i, extra="<div>Read on in our shop</div>")) for i in range(24)]
     f = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert all("shop" not in r.text and f"Title {r.page_id}" in r.text for r in wrappers.extract(f, wrappers.infer(f)).collect())
-    same = spark.createDataFrame([(i, "https://h.example/", page(1)) for i in range(8)], "page_id long, url string, html string")
+    same = spark.createDataFrame([(i, "https://h.example/", page(1)) for i in range(24)], "page_id long, url string, html string")
     assert all("Title 1" in r.text for r in wrappers.extract(same, wrappers.infer(same)).collect())
 
 
