@@ -139,10 +139,19 @@ def supported_labels(catalog: DataFrame) -> DataFrame:
 
 
 def read_media(spark: SparkSession, folder: str) -> DataFrame:
-    """The folder's JSON documents by label in any case: malformed ones are skipped, the last file of a label holds."""
-    table = spark.read.schema(schemas.MEDIA).options(multiLine=True, mode="DROPMALFORMED").json(folder).withColumn("file", F.input_file_name())
+    """The folder's JSON documents by label in any case: malformed ones are skipped, the last file of a label holds.
+
+    image_path is that of the document's image file in the folder, null if it isn't there. A
+    folder that isn't there has no documents.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], T.StructType([*schemas.MEDIA.fields, T.StructField("image_path", T.StringType())]))
+    table = spark.read.schema(schemas.MEDIA).options(multiLine=True, mode="DROPMALFORMED", pathGlobFilter="*.json").json(folder).withColumn("file", F.input_file_name())
     last = Window.partitionBy(F.lower("label_id")).orderBy(F.desc("file"))
-    return table.where(F.trim("label_id") != "").withColumn("n", F.row_number().over(last)).where("n = 1").drop("n", "file")
+    held = table.where(F.trim("label_id") != "").withColumn("n", F.row_number().over(last)).where("n = 1").drop("n", "file")
+    files = inventory(spark, folder).select(F.col("path").alias("image_path"), F.regexp_extract("path", r"([^/]*)$", 1).alias("_name"))
+    return held.join(files, held["image_file"] == files["_name"], "left").drop("_name")
 
 
 def inventory(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:

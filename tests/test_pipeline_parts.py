@@ -98,11 +98,15 @@ def test_media_and_files(spark, tmp_path):
     folder = tmp_path / "media"
     folder.mkdir()
     (folder / "a.json").write_text('﻿{"label_id":"FUN_01","title":"old"}', encoding="utf-8")
-    (folder / "b.json").write_text('{\n"label_id":"fun_01",\n"title":"new"}', encoding="utf-8")
+    (folder / "b.json").write_text('{\n"label_id":"fun_01",\n"title":"new","image_file":"a.png"}', encoding="utf-8")
     (folder / "c.json").write_text("{broken", encoding="utf-8")
-    assert [(r.label_id, r.title) for r in readers.read_media(spark, str(folder)).collect()] == [("fun_01", "new")]
+    (folder / "d.json").write_text('{"label_id":"FUN_02","image_file":"none.png"}', encoding="utf-8")
+    (folder / "a.png").write_bytes(b"png")
+    got = {(r.label_id, r.title, r.image_path) for r in readers.read_media(spark, str(folder)).collect()}
+    assert got == {("fun_01", "new", str(folder / "a.png")), ("FUN_02", None, None)}
+    assert readers.read_media(spark, str(folder / "none")).collect() == []
     files = readers.inventory(spark, str(folder))
-    assert files.count() == 3 and files.agg(F.sum("length")).first()[0] > 0
+    assert files.count() == 5 and files.agg(F.sum("length")).first()[0] > 0
     tries = spark.createDataFrame([(0, "/none"), (1, str(folder / "b.json")), (2, str(folder / "a.json"))], "place int, path string")
     assert readers.first_existing(tries, files).first().path == str(folder / "b.json")
 
