@@ -2,11 +2,12 @@
 
 Tokens are lower-cased runs of letters and digits. From a bounded, documented sample of
 labelled documents (MAX_TRAIN_DOCS a class in expectation, chosen by a hash of the id) each
-token, and each token's first STEM letters, gets the log of its odds among toxic against
+token, and each token's starts of STEMS letters, gets the log of its odds among toxic against
 clean tokens (each counted once a document), with an informative Dirichlet prior: LEAST_PRIOR
 and PRIOR times its background frequency. Log-odds of less than Z standard errors, or nearer to 0 than MIN_ODDS,
-count as none. A token that isn't known takes its stem's log-odds, which come from the tokens
-that have none of their own, or from SPREAD or more that agree. In a text, the first time that a token comes up counts.
+count as none. A token without evidence that no clean document has takes the log-odds of its
+longest stem with evidence; a stem's come from the tokens that have none of their own, or from
+SPREAD or more that agree. In a text, the first time that a token comes up counts.
 
 A text's scores are log-odds less DRIFT. One left-to-right pass finds all maximal scoring
 segments in linear time (each is kept as a candidate until a better one contains it). Since
@@ -24,6 +25,8 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,8 @@ from pyspark.sql import types as T
 from sparkurate.llm import common
 
 MAX_TRAIN_DOCS = 20_000
-STEM = 4
+#: Lengths of a token's starts that are features too; the longest one with evidence speaks.
+STEMS = (7, 6, 5, 4)
 #: From so many tokens with evidence of one sign on, these speak for their stem too.
 SPREAD = 3
 PRIOR = 1000.0
@@ -63,8 +67,11 @@ class Model:
         for i, t in enumerate(tokens):
             s = words.get(t)
             if s is None:
-                s = stems.get(t[:STEM])
-            if s is not None and t not in seen:
+                for n in STEMS:
+                    s = stems.get(t[:n])
+                    if s is not None:
+                        break
+            if s and t not in seen:
                 seen.add(t)
                 found.append((i, s))
         return found, len(tokens)
@@ -143,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
             for text, toxic in zip(common.texts_of(batch), common.column_of(batch, "toxic").to_pylist(), strict=True):
                 tokens = set(_token(text.lower()))  # a repeated line shall not make its words
                 one = 1 << 32 if toxic else 1
-                for key in {"w" + t for t in tokens} | {"s" + t[:STEM] for t in tokens}:
+                for key in {"w" + t for t in tokens} | {"s" + t[:n] for t in tokens for n in STEMS if len(t) >= n}:
                     seen[key] = seen.get(key, 0) + one
                 if len(seen) > FLUSH:
                     yield rows(seen)
@@ -164,15 +171,24 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
     odds, error = evidence(F.col("clean"), F.col("toxic"))
     strong = features.where((F.abs(odds) >= Z * error) & (F.abs(odds) >= MIN_ODDS)).withColumn("odds", odds).toArrow().to_pylist()
     words = {r["feature"][1:]: r for r in strong if r["feature"][0] == "w"}
+    under: dict[str, list[dict]] = {}
+    for w, r in words.items():
+        for n in STEMS:
+            if len(w) >= n:
+                under.setdefault(w[:n], []).append(r)
     stems: dict[str, float] = {}
     for stem in (r for r in strong if r["feature"][0] == "s"):
-        known = [r for w, r in words.items() if w[:STEM] == stem["feature"][1:]]
+        known = under.get(stem["feature"][1:], [])
         spread = len(known) >= SPREAD and all((r["odds"] > 0) == (stem["odds"] > 0) for r in known)
         rest = [max(0, stem[k] - (not spread) * sum(r[k] for r in known)) for k in ("clean", "toxic")]
         odds, error = evidence(*rest, math.log, math.sqrt)
         if abs(odds) >= max(MIN_ODDS, Z * error):
             stems[stem["feature"][1:]] = odds
     words = {w: r["odds"] for w, r in words.items()}
+    if stems:  # what clean documents have of a stem's tokens stays out of it
+        starts = [F.substring("feature", 2, n).isin(*[x for x in stems if len(x) == n]) for n in STEMS if any(len(x) == n for x in stems)]
+        clean = features.where((F.col("feature").startswith("w")) & (F.col("clean") > 0) & reduce(or_, starts)).select("feature").toArrow()
+        words = {w[1:]: 0.0 for w in clean["feature"].to_pylist()} | words
     model = Model(words, stems)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
