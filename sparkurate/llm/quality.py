@@ -146,7 +146,7 @@ def judge(docs: DataFrame) -> DataFrame:
     within = F.lit(True)
     for name, rate in rates().items():
         within = within & F.when(F.col("n_words") > 0, rate <= F.col(f"{name}_fence")).otherwise(False)
-    return judged.select("doc_id", *MEASURES, base_failed.alias("base_failed"), (~base_failed & within).alias("kept"), "lang", "source", *[f"{r}_fence" for r in FLOORS])
+    return judged.select("doc_id", *MEASURES[:5], base_failed.alias("base_failed"), (~base_failed & within).alias("kept"), "n_lines", "lang", "source", *[f"{r}_fence" for r in FLOORS])
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
