@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkurate.functions import columns as C
 from sparkurate.functions import values as V
+from sparkurate.operators import lookups
 
 
 def confusion(rows: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:
@@ -35,7 +36,7 @@ def per_class(confused: DataFrame, known: DataFrame) -> DataFrame:
 
 def macro(classes: DataFrame, known: DataFrame) -> DataFrame:
     """One row: accuracy, macro-F1 over known labels (unknown aside) and over the domain, figures of unknown."""
-    marked = classes.join(F.broadcast(known.select("label").distinct().withColumn("_known", F.lit(True))), "label", "left")
+    marked = classes.join(lookups.small(known.select("label").distinct().withColumn("_known", F.lit(True))), "label", "left")
     in_known = F.col("_known") & (F.col("label") != V.UNKNOWN)
     of_unknown = lambda k: F.coalesce(F.max(F.when(F.col("label") == V.UNKNOWN, F.col(k))), F.lit(0.0))
     return marked.agg(
@@ -48,7 +49,7 @@ def macro(classes: DataFrame, known: DataFrame) -> DataFrame:
 
 def top_confusions(confused: DataFrame, known: DataFrame, n: int = 25) -> DataFrame:
     """The most frequent errors on known labels; ties keep the labels' order, then the first row's."""
-    errors = confused.where("truth <> pred").join(F.broadcast(known.select(F.col("label").alias("truth"), "label_place")), "truth")
+    errors = confused.where("truth <> pred").join(lookups.small(known.select(F.col("label").alias("truth"), "label_place")), "truth")
     return errors.orderBy(F.desc("n"), "label_place", "first_place").limit(n).select("truth", "pred", "n")
 
 
