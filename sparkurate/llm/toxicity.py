@@ -37,8 +37,8 @@ from pyspark.sql import types as T
 from sparkurate.llm import common
 
 MAX_TRAIN_DOCS = 20_000
-#: Lengths of a token's starts that are features too; the longest one with evidence speaks.
-STEMS = (7, 6, 5, 4)
+#: Lengths of a token's starts that are features too, longest first; the first one with evidence speaks.
+STEMS = (4,)
 #: From so many tokens with evidence of one sign on, these speak for their stem too.
 SPREAD = 3
 PRIOR = 1000.0
