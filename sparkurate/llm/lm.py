@@ -1,20 +1,22 @@
 """Language-model scores by a weighted backoff automaton.
 
-Counting covers every training document. Tokens are words with A-Z lower-cased and one end a
-document. Unigrams are smoothed by absolute discounting; what that frees is the probability
-of an unknown token, one class. n-grams of order 2 to ORDER with counts of 2 or more are
-interpolated with the order below.
-
-The automaton's states are the empty context, the CONTEXTS most frequent words, and longer
-n-grams; an arc carries a token's log-probability in its state, a failure arc leads to the
-state of the context without its first word and carries its backoff weight. One left-to-right
-traversal of a text carries the state and adds up weights.
-
-What the automaton holds is bounded by parameters (WORDS unigrams and ARCS arcs an order, those
-of the highest counts), so its broadcast is bounded whatever the corpus. That bounds the model's
-order-2 and longer memory, not what is counted or scored: the exact counts of all other tokens
-stay in a table, and each text's other tokens get theirs by a shuffled join; in the automaton
-they take the failure arcs to the empty context.
+Counting covers every training document and every n-gram. Tokens are words with A-Z lower-cased
+and one end a document. Unigrams are smoothed by absolute discounting; what that frees is the
+probability of an unknown token, one class. n-grams of order 2 and 3 with counts of 2 or more
+are interpolated with the order below.
+
+The automaton's states are the empty context, the words and the bigrams; an arc carries a token's
+log-probability in its state, a failure arc leads to the state of the context without its first
+word and carries its backoff weight. Weights are pushed onto the arcs: an arc's weight is its
+log-probability less what the failure arc and the arc below it would give, plus its own state's
+backoff weight. A traversal's total is then the sum of the weights of all n-grams of the text that
+the automaton has, and needs no order, so a shuffled join can add it up.
+
+All tables grow with the input. The most frequent words and arcs (WORDS and ARCS an order) are
+broadcast too, which keeps frequent n-grams out of the join; all others of a text get their
+weights by the join. A bitmap of FILTER words spares the join most n-grams that no table has;
+when it fills up it spares less, with the same results. An n-gram is known by the 64-bit hash of
+its parts: with 10^9 n-grams any two agree with probability 0.03.
 
 Edge cases: a null or empty text is one end. With no training row every token is unknown, and
 the unknown class has probability 1. Rows are scored each for itself, whatever their id.
@@ -25,10 +27,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,15 +40,19 @@ from pyspark.sql import types as T
 
 from sparkurate.llm import common
 
-ORDER = 3
-#: Words' ids are below SPAN: a state and a word make one number.
-SPAN = 1 << 18
-WORDS = SPAN
-CONTEXTS = 1 << 12
-ARCS = 1 << 18
+#: The words and the arcs of an order that are broadcast; the join has all others.
+WORDS = 1 << 18
+ARCS = 1 << 20
+#: A bound on the words that n-grams are made of; None: all words.
+CONTEXTS: int | None = None
+#: The bitmap's 64-bit words, a power of two.
+FILTER = 1 << 22
 DISCOUNT = 0.75
+LEAST = 1e-12
 END = b"\n"
 FLUSH = 1 << 19
+HELD = 1 << 21
+GROUP = 1 << 20
 _words = re.compile(rb"[^\x20\x09-\x0D]+").findall
 
 
@@ -60,6 +68,62 @@ def _raw_texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in common.column_of(batch, "text").cast(pa.binary()).to_pylist()]
 
 
+def _groups(texts: list[bytes]) -> Iterator[list[list[bytes]]]:
+    """The texts' tokens, so many texts at a time as have some GROUP bytes."""
+    group: list[list[bytes]] = []
+    size = 0
+    for t in texts:
+        group.append(tokens(t))
+        size += len(t)
+        if size > GROUP:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _rotated(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _hashed(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    one, two, three, four, five = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    h = seed + five + np.uint64(8)
+    h ^= _rotated(x * two, 31) * one
+    h = _rotated(h, 27) * one + four
+    h ^= h >> np.uint64(33)
+    h *= two
+    h ^= h >> np.uint64(29)
+    h *= three
+    return h ^ (h >> np.uint64(32))
+
+
+def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of two longs."""
+    return _hashed(b.view(np.uint64), _hashed(a.view(np.uint64), np.full(len(a), 42, np.uint64))).view(np.int64)
+
+
+def word_keys(found: list[bytes]) -> np.ndarray:
+    """Spark's xxhash64 of each token."""
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(t, 42) for t in found), np.uint64, len(found)).view(np.int64)
+
+
+def _bigrams(keys: np.ndarray, ends: np.ndarray, top: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Each place's bigram with the next token, and whether it is one: no text's end starts any."""
+    ok = np.ones(len(keys) - 1, bool)
+    ok[ends[:-1] - 1] = False
+    if top is not None:
+        known = np.isin(keys, top)
+        ok &= known[:-1] & known[1:]
+    return pair(keys[:-1], keys[1:]), ok
+
+
+def _texts_keys(found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all texts' tokens one after the other; where each text ends."""
+    return word_keys([t for x in found for t in x]), np.cumsum([len(x) for x in found])
+
+
 def unigrams(docs: DataFrame) -> DataFrame:
     """token binary, c: the count of every token of docs, ends included."""
     common.ship(docs.sparkSession)
@@ -94,237 +158,209 @@ def at_most(counted: DataFrame, count: str, limit: int, least: int = 1) -> DataF
     return counted.where((F.col(count) >= least) & (step >= cut)) if cut is not None else counted.where(F.lit(False))
 
 
+def bitmap(*tables: DataFrame) -> np.ndarray:
+    """FILTER words with a bit for each key; FILTER rows at most meet the driver."""
+    high = F.shiftrightunsigned("key", 64 - (FILTER.bit_length() - 1)).cast("int")
+    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
+    bits = np.zeros(FILTER, np.int64)
+    for t in tables:
+        got = t.groupBy(high.alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        bits[got["at"].to_numpy()] |= got["bits"].to_numpy()
+    return bits
+
+
+def _maybe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = (keys.view(np.uint64) >> np.uint64(64 - (len(bits).bit_length() - 1))).astype(np.int64)
+    return (bits[at] >> (keys & 63)) & 1 == 1
+
+
 @dataclass
 class Automaton:
-    """Words by id (the most frequent first), arcs by state * SPAN + word, failures."""
+    """The model's totals, the words and arcs that are broadcast, and the bitmap of the others."""
 
-    words: list[bytes] = field(default_factory=list)
-    contexts: int = 0
-    counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     n: int = 0
     v: int = 0
-    unknown: float = 1.0
     discount: float = 0.5
+    unknown: float = 1.0
+    top: np.ndarray | None = None
+    word_keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    word_base: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    word_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     arc_keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     arc_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    arc_counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    arc_next: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    failure: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    backoff: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    last: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    depth: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
-
-    def ready(self) -> Automaton:
-        """Builds, once in a worker, the tables that a traversal reads."""
-        if "_ids" not in self.__dict__:
-            self._ids = {w: i for i, w in enumerate(self.words)}
-            self._arcs = dict(zip(self.arc_keys.tolist(), zip(self.arc_weights.tolist(), self.arc_next.tolist(), strict=True), strict=True))
-            self._unigram = np.log10(np.maximum(self.counts - self.discount, 1e-300) / max(1, self.n)).tolist()
-            self._base = np.log10((self.counts + 0.5) / (self.n + 0.5 * (self.v + 1))).tolist()
-            self._after = [i + 1 if i < self.contexts else 0 for i in range(len(self.words))]
-            self._failure, self._backoff = self.failure.tolist(), self.backoff.tolist()
-            down = np.zeros(len(self.failure))
-            for s in range(1, len(down)):  # a failure arc leads to a state of a lower number
-                down[s] = self.backoff[s] + down[self.failure[s]]
-            self._down = down.tolist()
-        return self
-
-    def probability(self, state: int, word: int) -> float:
-        """log10 of a known word's probability in a state."""
-        total = 0.0
-        while state:
-            arc = self._arcs.get(state * SPAN + word)
-            if arc:
-                return total + arc[0]
-            total += self._backoff[state]
-            state = self._failure[state]
-        return total + self._unigram[word]
-
-    def score(self, found: list[bytes]) -> tuple[float, float, dict[bytes, int]]:
-        """log10 probability and base score of a text's known part; the tokens left to the join."""
-        arcs, backoff, failure, unigram, base_of, get = self._arcs.get, self._backoff, self._failure, self._unigram, self._base, self._ids.get
-        state, total, base, down, after = 0, 0.0, 0.0, self._down, self._after
-        rest: dict[bytes, int] = {}
-        for token, word in zip(found, map(get, found), strict=True):
-            if word is None:
-                rest[token] = rest.get(token, 0) + 1
-                total += down[state]
-                state = 0
+    others: np.ndarray = field(default_factory=lambda: np.zeros(FILTER, np.int64))
+
+    def score(self, found: list[list[bytes]]) -> list[tuple[float, float, np.ndarray, np.ndarray]]:
+        """For each text: base score and log10 probability of what is broadcast; keys of other words and n-grams."""
+        keys, ends = _texts_keys(found)
+        place, there = _find(self.word_keys, keys)
+        base = np.where(there, np.append(self.word_base, 0)[place], 0)
+        total = np.where(there, np.append(self.word_weights, 0)[place], 0)
+        others = []
+        two, ok = _bigrams(keys, ends, self.top)
+        three, ok3 = pair(two[:-1], two[1:]), ok[:-1] & ok[1:]
+        for grams, valid in ((two, ok), (three, ok3)):
+            at = np.flatnonzero(valid)
+            grams = grams[at]
+            place, known = _find(self.arc_keys, grams)
+            np.add.at(total, at[known], self.arc_weights[place[known]])
+            rest = np.flatnonzero(~known)
+            rest = rest[_maybe(self.others, grams[rest])]
+            others.append((at[rest], grams[rest]))
+        starts = np.concatenate([[0], ends[:-1]])
+        sums = np.add.reduceat(base, starts), np.add.reduceat(total, starts)
+        rest_words = np.flatnonzero(~there)
+        cuts = [np.searchsorted(x, np.append(starts, len(keys))) for x in (rest_words, others[0][0], others[1][0])]
+        made = []
+        for i in range(len(found)):
+            words = keys[rest_words[cuts[0][i] : cuts[0][i + 1]]]
+            grams = np.concatenate([others[k][1][cuts[k + 1][i] : cuts[k + 1][i + 1]] for k in (0, 1)])
+            made.append((float(sums[0][i]), float(sums[1][i]), words, grams))
+        return made
+
+
+def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key is in a sorted table, and whether it is."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return place, table[place] == keys
+
+
+def gram_counts(docs: DataFrame, order: int, top: np.ndarray | None = None, below: np.ndarray | None = None) -> DataFrame:
+    """a, b, key, c: every n-gram of this order seen twice or more, by its context, its suffix and both.
+
+    below is the bitmap of the bigrams that are in the model: others can't be part of a trigram that is.
+    """
+    common.ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((top, below))
+
+    def add(parts: list[np.ndarray]) -> np.ndarray:
+        """Rows a, b, count with each pair once."""
+        a, b, c = np.concatenate(parts, axis=1)
+        sort = np.lexsort((b, a))
+        a, b, c = a[sort], b[sort], c[sort]
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+        return np.stack([a[first], b[first], np.add.reduceat(c, first) if len(first) else c])
+
+    def run(batches):
+        top, below = shared.value
+        parts, held = [], 0
+        for found in (x for batch in batches for x in _groups(_raw_texts(batch))):
+            keys, ends = _texts_keys(found)
+            if len(keys) < order:
                 continue
-            base += base_of[word]
-            while state:
-                arc = arcs(state * SPAN + word)
-                if arc:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += backoff[state]
-                state = failure[state]
+            two, ok = _bigrams(keys, ends, top)
+            if order == 2:
+                a, b = keys[:-1][ok], keys[1:][ok]
             else:
-                total += unigram[word]
-                state = after[word]
-        return total, base, rest
+                ok &= _maybe(below, two)
+                both = ok[:-1] & ok[1:]
+                a, b = two[:-1][both], two[1:][both]
+            parts.append(np.stack([a, b, np.ones(len(a), np.int64)]))
+            held += len(a)
+            if held > HELD:
+                parts = [add(parts)]
+                held = parts[0].shape[1]
+                if held > HELD // 2:
+                    yield from rows(parts[0])
+                    parts, held = [], 0
+        if parts:
+            yield from rows(add(parts))
 
+    def rows(got: np.ndarray):
+        for i in range(0, got.shape[1], 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in got], names=["a", "b", "c"])
 
-def build_unigrams(vocabulary: DataFrame) -> Automaton:
-    """The automaton of order 1 from the table of all counts."""
-    n, v, ones, twos = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("c") == 1, 1)), F.lit(0)), F.coalesce(F.sum(F.when(F.col("c") == 2, 1)), F.lit(0))).first()
-    got = at_most(vocabulary, "c", WORDS).toArrow()
-    rows = sorted(zip(got["c"].to_pylist(), got["token"].to_pylist(), strict=True), key=lambda r: (-r[0], r[1]))
-    discount = ones / (ones + 2 * twos) if ones else 0.5
-    discount = min(0.95, max(0.05, discount))
-    contexts = min(CONTEXTS, len(rows))
-    return Automaton(
-        words=[t for _, t in rows], contexts=contexts, counts=np.array([c for c, _ in rows], np.int64), n=n, v=v, discount=discount, unknown=discount * v / n if n else 1.0,
-        failure=np.zeros(contexts + 1, np.int64), backoff=np.zeros(contexts + 1), last=np.arange(-1, contexts), depth=np.concatenate([[0], np.ones(contexts)]).astype(np.int64),
-    )
-
-
-def arc_counts(docs: DataFrame, model: Automaton, order: int) -> DataFrame:
-    """key (state * SPAN + word), c: the n-grams of this order whose context is a state and whose word a context word."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    counted = docs.select("text").mapInArrow(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c")).where("c >= 2")
+    return counted.select("a", "b", F.xxhash64("a", "b").alias("key"), "c")
 
-    def rows(parts: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        keys, place = np.unique(np.concatenate(parts), return_inverse=True)
-        return keys, np.bincount(place, weights=np.concatenate(counts), minlength=len(keys)).astype(np.int64)
 
-    def run(batches):
-        own, states = shared.value, None
-        contexts = own.contexts
-        get = {w: i for i, w in enumerate(own.words[:contexts])}.get
-        if order > 2:  # states of order - 1 words by their key in the order below
-            deep = np.flatnonzero(own.depth[own.arc_next] == order - 1)
-            sort = deep[np.argsort(own.arc_keys[deep])]
-            states = own.arc_keys[sort], own.arc_next[sort]
-        parts: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        held = 0
-        for batch in batches:
-            found = []
-            for text in _raw_texts(batch):
-                ids = np.array([-1] + [get(t, -1) for t in tokens(text)], np.int64)
-                state = np.where(ids >= 0, ids + 1, 0)[:-1]
-                word = ids[1:]
-                for _ in range(order - 2):
-                    if not len(states[0]):
-                        state = np.zeros(0, np.int64)
-                        word = state
-                        break
-                    key = state * SPAN + word
-                    at = np.minimum(np.searchsorted(states[0], key), len(states[0]) - 1)
-                    state = np.where((state > 0) & (word >= 0) & (states[0][at] == key), states[1][at], 0)[:-1]
-                    word = word[1:]
-                keep = (state > 0) & (word >= 0)
-                found.append(state[keep] * SPAN + word[keep])
-            keys, c = np.unique(np.concatenate(found), return_counts=True)
-            parts.append(keys)
-            counts.append(c)
-            held += len(keys)
-            if held > 2 * FLUSH:
-                keys, c = rows(parts, counts)
-                parts, counts, held = [keys], [c], len(keys)
-                if held > FLUSH:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c)], names=["key", "c"])
-                    parts, counts, held = [], [], 0
-        if parts:
-            keys, c = rows(parts, counts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c)], names=["key", "c"])
-
-    return docs.select("text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-
-
-def extend(model: Automaton, counted: DataFrame, order: int) -> Automaton:
-    """Adds the order's most frequent n-grams as arcs, and as states while a higher order follows."""
-    got = at_most(counted, "c", ARCS, least=2).orderBy("key").toArrow()
-    keys, c = got["key"].to_numpy(), got["c"].to_numpy()
-    if not len(keys):
-        return model
-    model.ready()
-    state, word = keys // SPAN, keys % SPAN
-    # How often a state came up: a word's count, or its own arc's.
-    seen = np.zeros(len(model.failure))
-    seen[1 : model.contexts + 1] = model.counts[: model.contexts]
-    deep = model.depth[model.arc_next] > 1
-    for k in np.flatnonzero(deep):
-        seen[model.arc_next[k]] = model.arc_counts[k]
-    share = (c - DISCOUNT) / seen[state]
-    kept = 1 - np.bincount(state, weights=share, minlength=len(seen))
-    backoff = model.backoff.copy()
-    used = np.unique(state)
-    backoff[used] = np.log10(np.maximum(kept[used], 1e-12))
-    lower = np.array([model.probability(int(model.failure[s]), int(w)) for s, w in zip(state, word, strict=True)])
-    weights = np.log10(share + np.maximum(kept[state], 1e-12) * 10**lower)
-    # The state after an arc: its own n-gram if a longer order follows, else the longest known suffix.
-    suffix = word + 1
-    if order > 2:
-        known = model._arcs
-        for i, (s, w) in enumerate(zip(state.tolist(), word.tolist(), strict=True)):
-            arc = known.get(int(model.last[s] + 1) * SPAN + w)
-            if arc:
-                suffix[i] = arc[1]
-    fresh = order < ORDER
-    following = np.arange(len(model.failure), len(model.failure) + len(keys)) if fresh else suffix
-    return Automaton(
-        words=model.words, contexts=model.contexts, counts=model.counts, n=model.n, v=model.v, unknown=model.unknown, discount=model.discount,
-        arc_keys=np.concatenate([model.arc_keys, keys]), arc_weights=np.concatenate([model.arc_weights, weights]), arc_counts=np.concatenate([model.arc_counts, c]), arc_next=np.concatenate([model.arc_next, following]),
-        failure=np.concatenate([model.failure, suffix]) if fresh else model.failure, backoff=np.concatenate([backoff, np.zeros(len(keys))]) if fresh else backoff,
-        last=np.concatenate([model.last, word]) if fresh else model.last, depth=np.concatenate([model.depth, np.full(len(keys), order)]) if fresh else model.depth,
-    )
-
-
-def train(docs: DataFrame, order: int = ORDER) -> tuple[Automaton, DataFrame]:
-    """The automaton and the table of all unigram counts (token, c)."""
-    began = common.mark()
-    vocabulary = common.materialize(unigrams(docs))
-    model = build_unigrams(vocabulary)
-    for k in range(2, order + 1):
-        counted = common.materialize(arc_counts(docs, model, k))
-        model = extend(model, counted, k)
-    common.discard_since(began, docs.sparkSession, vocabulary)
-    return model, vocabulary
+def backoffs(below: DataFrame, grams: DataFrame) -> DataFrame:
+    """below and back: log10 of the weight of each failure arc, 0 where no n-gram has this context."""
+    spent = grams.groupBy(F.col("a").alias("key")).agg(F.sum(F.col("c") - DISCOUNT).alias("spent"))
+    back = F.when(F.col("spent").isNull(), 0.0).otherwise(F.log10(F.greatest(1 - F.col("spent") / F.col("c"), F.lit(LEAST))))
+    return below.join(spent, "key", "left").withColumn("back", back).drop("spent")
+
+
+def arcs(grams: DataFrame, below: DataFrame) -> DataFrame:
+    """key, c, p and the pushed weight of every n-gram; below has key, c, p, back of the order below."""
+    context = below.select(F.col("key").alias("a"), F.col("c").alias("_seen"), F.col("back").alias("_back"))
+    suffix = below.select(F.col("key").alias("b"), F.col("p").alias("_p"))
+    found = grams.join(context, "a").drop("a").withColumn("_own", (F.col("c") - DISCOUNT) / F.col("_seen")).drop("_seen").join(suffix, "b")
+    p = F.col("_own") + F.pow(F.lit(10.0), "_back") * F.col("_p")
+    return found.select("key", "c", p.alias("p"), (F.log10(p) - F.log10("_p") - F.col("_back")).alias("w"))
 
 
-def score(docs: DataFrame, model: Automaton, vocabulary: DataFrame) -> DataFrame:
+def train(docs: DataFrame) -> tuple[Automaton, DataFrame]:
+    """The automaton and the table of all weights (key, c, base, w); base is null but for words."""
+    began = common.mark()
+    vocabulary = common.materialize(unigrams(docs))
+    n, v, ones, twos = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("c") == 1, 1)), F.lit(0)), F.coalesce(F.sum(F.when(F.col("c") == 2, 1)), F.lit(0))).first()
+    discount = min(0.95, max(0.05, ones / (ones + 2 * twos) if ones else 0.5))
+    model = Automaton(n=n, v=v, discount=discount, unknown=discount * v / n if n else 1.0)
+    if CONTEXTS is not None:
+        model.top = np.array([r["key"] for r in vocabulary.orderBy(F.desc("c"), "token").limit(CONTEXTS).select(F.xxhash64("token").alias("key")).collect()], np.int64)
+    one = vocabulary.groupBy(F.xxhash64("token").alias("key")).agg(F.sum("c").alias("c")).withColumn("p", (F.col("c") - discount) / max(1, n))
+    two = common.materialize(gram_counts(docs, 2, model.top))
+    three = common.materialize(gram_counts(docs, 3, model.top, bitmap(two)))
+    words = common.materialize(backoffs(one, two))
+    pairs = common.materialize(backoffs(arcs(two, words), three))
+    none = F.lit(None).cast("double")
+    tables = [
+        words.select("key", "c", F.log10((F.col("c") + 0.5) / (n + 0.5 * (v + 1))).alias("base"), (F.log10("p") + F.col("back")).alias("w")),
+        pairs.select("key", "c", none.alias("base"), (F.col("w") + F.col("back")).alias("w")),
+        arcs(three, pairs).select("key", "c", none.alias("base"), "w"),
+    ]
+    weights = common.materialize(tables[0].union(tables[1]).union(tables[2]))
+    grams = weights.where("base is null")
+    got = at_most(weights.where("base is not null"), "c", WORDS).select("key", "base", "w").orderBy("key").toArrow()
+    model.word_keys, model.word_base, model.word_weights = (got[k].to_numpy() for k in ("key", "base", "w"))
+    got = at_most(grams, "c", 2 * ARCS).select("key", "w").orderBy("key").toArrow()
+    model.arc_keys, model.arc_weights = (got[k].to_numpy() for k in ("key", "w"))
+    model.others = bitmap(grams)
+    common.discard_since(began, docs.sparkSession, weights)
+    return model, weights
+
+
+def score(docs: DataFrame, model: Automaton, weights: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = T.ArrayType(T.StructType([T.StructField("token", T.BinaryType()), T.StructField("k", T.LongType())]))
-    schema = T.StructType([T.StructField("_row", T.LongType()), common.id_field(docs), T.StructField("n_tokens", T.LongType()), T.StructField("n_rest", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("log_p", T.DoubleType()), T.StructField("rest", rest)])
+    keys = [T.StructField(k, T.ArrayType(T.LongType())) for k in ("words", "grams")]
+    schema = T.StructType([T.StructField("_row", T.LongType()), common.id_field(docs), T.StructField("n_tokens", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("log_p", T.DoubleType()), *keys])
+
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) for x in parts]), pa.int32()), pa.array(np.concatenate(parts), pa.int64()))
 
     def start():
-        own = shared.value.ready()
+        own = shared.value
         numbers = iter(range(TaskContext.get().partitionId() << 40, (TaskContext.get().partitionId() + 1) << 40))
 
         def step(batch):
-            made = [own.score(found) + (len(found),) for found in map(tokens, _raw_texts(batch))]
-            names = pa.array([t for r in made for t in r[2]], pa.binary())
-            times = pa.array([k for r in made for k in r[2].values()], pa.int64())
-            ends = np.cumsum([0] + [len(r[2]) for r in made])
-            others = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([names, times], ["token", "k"]))
-            columns = [pa.array([next(numbers) for _ in made], pa.int64()), common.column_of(batch, "doc_id"), pa.array([r[3] for r in made], pa.int64()), pa.array([sum(r[2].values()) for r in made], pa.int64()), pa.array([r[1] for r in made], pa.float64()), pa.array([r[0] for r in made], pa.float64()), others]
+            made = [(len(x), *r) for found in _groups(_raw_texts(batch)) for x, r in zip(found, own.score(found), strict=True)]
+            columns = [pa.array([next(numbers) for _ in made], pa.int64()), common.column_of(batch, "doc_id"), pa.array([r[0] for r in made], pa.int64()), pa.array([r[1] for r in made]), pa.array([r[2] for r in made]), lists([r[3] for r in made]), lists([r[4] for r in made])]
             return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
         return step
 
     parts = common.materialize(common.map_rows(docs.select("doc_id", "text"), start, schema))
-    c = F.coalesce(F.col("c"), F.lit(0))
-    base = F.log10((c + 0.5) / F.lit(model.n + 0.5 * (model.v + 1)))
-    log_p = F.when(c > 0, F.log10((c - F.lit(model.discount)) / F.lit(float(max(1, model.n))))).otherwise(F.lit(math.log10(model.unknown)))
-    looked_up = parts.select("_row", F.explode("rest").alias("r")).select("_row", "r.token", "r.k").join(vocabulary, "token", "left")
-    sums = looked_up.groupBy("_row").agg(F.sum(F.col("k") * base).alias("rest_base"), F.sum(F.col("k") * log_p).alias("rest_log_p"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("rest_known"))
-    joined = parts.drop("rest").join(sums, "_row", "left")
+    asked = parts.select("_row", F.explode("words").alias("key"), F.lit(True).alias("word")).union(parts.select("_row", F.explode("grams").alias("key"), F.lit(False).alias("word")))
+    looked_up = asked.join(weights.select("key", F.col("base").isNotNull().alias("word"), "base", "w"), ["key", "word"], "left")
+    lone = F.lit(math.log10(0.5 / (model.n + 0.5 * (model.v + 1))))
+    base = F.when(F.col("word"), F.coalesce("base", lone)).otherwise(0.0)
+    log_p = F.coalesce("w", F.when(F.col("word"), F.lit(math.log10(model.unknown))).otherwise(0.0))
+    sums = looked_up.groupBy("_row").agg(F.sum(base).alias("rest_base"), F.sum(log_p).alias("rest_log_p"), F.sum(F.when(F.col("word") & F.col("w").isNull(), 1).otherwise(0)).alias("unknown"))
+    joined = parts.drop("words", "grams").join(sums, "_row", "left")
 
     def plus(a: str, b: str) -> Column:
         return F.col(a) + F.coalesce(F.col(b), F.lit(0))
 
-    return joined.select("doc_id", "n_tokens", (plus("n_tokens", "rest_known") - F.col("n_rest")).alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"), plus("base", "rest_base").cast("double").alias("base_score"), plus("log_p", "rest_log_p").cast("double").alias("score"))
+    return joined.select("doc_id", "n_tokens", (F.col("n_tokens") - F.coalesce("unknown", F.lit(0))).alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"), plus("base", "rest_base").cast("double").alias("base_score"), plus("log_p", "rest_log_p").cast("double").alias("score"))
 
 
 def op4_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held_out = common.fold("doc_id", 5) == 1
-    model, vocabulary = train(docs.where(~held_out))
-    scored = score(docs, model, vocabulary)
+    model, weights = train(docs.where(~held_out))
+    scored = score(docs, model, weights)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

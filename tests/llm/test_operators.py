@@ -210,6 +210,23 @@ def test_lm_small_head_gives_the_same(spark, monkeypatch):
     assert after == pytest.approx(before)
 
 
+@pytest.mark.parametrize("kept", [4, 1 << 20])
+def test_lm_counts_ngrams_of_rare_words(spark, monkeypatch, kept):
+    """5,000 words are more frequent than those of a trigram; it counts whether it is broadcast or joined."""
+    monkeypatch.setattr(lm, "WORDS", kept)
+    monkeypatch.setattr(lm, "ARCS", kept)
+    train = [(i, " ".join(f"w{k}" for k in random.Random(i).sample(range(5000), 5000)), None, None) for i in range(4)] + [(i, f"rare{i} qq rr ss", None, None) for i in (4, 5)]
+    test = [(900, "qq rr ss w1 qq rr zz", None, None), (901, "w1 w2 rr ss", None, None)]
+    got = {r.doc_id: r for r in lm.score(frame(spark, test), *lm.train(frame(spark, train))).collect()}
+    p = spec_lm([lm.tokens(t) for _, t, *_ in train], 1 << 30)[-1]
+    for i, text, *_ in test:
+        total, state = 0.0, ()
+        for t in lm.tokens(text):
+            total += math.log10(p(t, state))
+            state = (*state, t)[-2:] if t != b"zz" else ()
+        assert got[i].score == pytest.approx(total)
+
+
 def test_lm_edges(spark):
     model, vocabulary = lm.train(frame(spark, []))
     got = lm.score(frame(spark, ODD), model, vocabulary).collect()
