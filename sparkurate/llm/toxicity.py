@@ -7,7 +7,7 @@ clean tokens (each counted once a document), with an informative Dirichlet prior
 and PRIOR times its background frequency. Log-odds of less than Z standard errors, or nearer to 0 than MIN_ODDS,
 count as none. A token without evidence that no clean document has takes the log-odds of its
 longest stem with evidence; a stem's come from the tokens that have none of their own, or from
-SPREAD or more that agree. In a text, the first time that a token comes up counts.
+SPREAD or more that agree. Every occurrence of a token counts in the scan.
 
 A text's scores are log-odds less DRIFT. One left-to-right pass finds all maximal scoring
 segments in linear time (each is kept as a candidate until a better one contains it). Since
@@ -63,7 +63,7 @@ class Model:
     def evidence(self, text: str) -> tuple[list[tuple[int, float]], int]:
         """Places and log-odds of the tokens that have any; the number of tokens."""
         tokens = _token(text.lower())
-        words, stems, found, seen = self.words, self.stems, [], set()
+        words, stems, found = self.words, self.stems, []
         for i, t in enumerate(tokens):
             s = words.get(t)
             if s is None:
@@ -71,8 +71,7 @@ class Model:
                     s = stems.get(t[:n])
                     if s is not None:
                         break
-            if s and t not in seen:
-                seen.add(t)
+            if s:
                 found.append((i, s))
         return found, len(tokens)
 

@@ -413,6 +413,18 @@ def test_segments_match_brute_force():
         assert n == len(scores) and sum(s for *_, s in got) == pytest.approx(sum(s for *_, s in want)) and len(got) == len(want)
 
 
+def test_segments_of_repeated_passages():
+    """Each passage has its segment, also where earlier mentions have the same words."""
+    model = toxicity.Model({"bad": 4.0, "worse": 4.0}, {}, 1.0, -5.0)
+    filler = "plain " * 1000
+    segments, n = model.segments(f"bad worse {filler}bad worse")
+    assert n == 1004 and [(a, b) for a, b, _ in segments] == [(0, 2), (1002, 1004)]
+    late = f"bad {filler}worse {filler}bad worse bad worse"
+    segments, n = model.segments(late)
+    assert segments[-1][:2] == (n - 4, n) and segments[-1][2] == pytest.approx(4 * (4.0 - toxicity.DRIFT))
+    assert model.statistic(late) > model.statistic(f"bad {filler}worse {filler}")
+
+
 def test_toxicity_held_out(spark):
     got = queries.queries()["op10_toxicity"](spark, f"{DATA}/sf0.1").collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{DATA}/sf0.1/labels.parquet").collect()}
