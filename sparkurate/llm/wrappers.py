@@ -13,7 +13,7 @@ parts. So a host of any number of pages takes no more than its distinct shapes t
 The wrapper gives the main paths: slots outside navigation, headers, footers, sidebars,
 adverts, notices, forms and comments (by element, class or id), inside the article element or
 what is marked as content where the host has that. Constants inside them are template text
-if the host has MIN_PAGES different pages. The page's blocks of main paths are its text.
+if the host has MIN_PAGES different pages and they are on a SHARE of those whose main text differs. The page's blocks of main paths are its text.
 
 Edge cases: a null url is the empty host; null or empty html, or html without main text, gives
 an empty text. Raw text elements (scripts, styles and the like) and comments give no blocks.
@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import html as entities
 import json
+import math
 import re
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +37,8 @@ from sparkurate.llm import common
 
 SALTS = 64
 MIN_PAGES = 20
+#: Template text is on this share of a host's pages of different text (of some 270 where there are more).
+SHARE = 0.25
 PERIOD = 6
 #: Up to so many hosts (a few hundred bytes each) the wrappers are broadcast; beyond, a shuffled join.
 BROADCAST_HOSTS = 20_000
@@ -176,20 +180,32 @@ def text_key(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
+def page_bit(found: list[tuple[str, str]]) -> int:
+    """One of 64 bits, by the page's text outside navigation and the like: copies of a page have the same one."""
+    bit = 1 << (text_key("\n\n".join(t for s, t in found if not _aside_cached(s))) & 63)
+    return bit - (1 << 64) if bit >> 63 else bit
+
+
+def different_pages(bits: int) -> float:
+    """About how many pages of different text set these bits (linear counting); 266 at most."""
+    clear = 64 - (bits & ((1 << 64) - 1)).bit_count()
+    return 64 * math.log(64 / max(1, clear))
+
+
 class Node:
     """A node of a wrapper: what it matches, and what its texts were."""
 
-    __slots__ = ("chars", "high", "low", "optional", "pages", "repeated", "symbols")
+    __slots__ = ("bits", "chars", "high", "low", "optional", "pages", "repeated", "symbols")
 
-    def __init__(self, symbols, repeated, optional, low, high, chars, pages) -> None:
+    def __init__(self, symbols, repeated, optional, low, high, chars, pages, bits=0) -> None:
         self.symbols, self.repeated, self.optional = tuple(symbols), repeated, optional
-        self.low, self.high, self.chars, self.pages = low, high, chars, pages
+        self.low, self.high, self.chars, self.pages, self.bits = low, high, chars, pages, bits
 
     def join(self, other: Node) -> Node:
-        return Node(self.symbols, self.repeated or other.repeated, self.optional and other.optional, min(self.low, other.low), max(self.high, other.high), self.chars + other.chars, self.pages + other.pages)
+        return Node(self.symbols, self.repeated or other.repeated, self.optional and other.optional, min(self.low, other.low), max(self.high, other.high), self.chars + other.chars, self.pages + other.pages, self.bits | other.bits)
 
     def row(self) -> list:
-        return [list(self.symbols), self.repeated, self.optional, self.low, self.high, self.chars, self.pages]
+        return [list(self.symbols), self.repeated, self.optional, self.low, self.high, self.chars, self.pages, self.bits]
 
 
 def align(one: list[Node], other: list[Node]) -> list[Node]:
@@ -235,6 +251,9 @@ def _aside(symbol: str) -> bool:
     return False
 
 
+_aside_cached = lru_cache(1 << 16)(_aside)
+
+
 def _content(symbol: str) -> bool:
     for element in symbol.split("/"):
         name, *marks = re.split(r"[.#@]", element, maxsplit=1)
@@ -251,7 +270,11 @@ def main_paths(nodes: list[Node], pages: int) -> tuple[list[str], list[int]]:
     articles = {s for n in chosen for s in n.symbols if not _aside(s) and (not inside or _content(s))}
     if any("article" in _names(s) for s in articles):
         articles = {s for s in articles if "article" in _names(s)}
-    fixed = {n.low for n in chosen if n.low == n.high and n.pages > 1}
+    whole = 0
+    for n in nodes:
+        whole |= n.bits
+    least = SHARE * max(MIN_PAGES, different_pages(whole))
+    fixed = {n.low for n in chosen if n.low == n.high and different_pages(n.bits) >= least}
     varies = any(n.low != n.high for n in chosen)
     return sorted(articles), sorted(fixed) if pages >= MIN_PAGES and varies else []
 
@@ -260,7 +283,7 @@ def _names(symbol: str) -> set[str]:
     return {re.split(r"[.#@]", e, maxsplit=1)[0] for e in symbol.split("/")}
 
 
-_SHAPE = "host string, shape string, place int, low long, high long, chars long, pages long"
+_SHAPE = "host string, shape string, place int, low long, high long, chars long, pages long, bits long"
 
 
 def _shapes(pages: DataFrame) -> DataFrame:
@@ -271,13 +294,13 @@ def _shapes(pages: DataFrame) -> DataFrame:
         seen: dict[tuple[str, str], list[list[int]]] = {}
 
         def rows():
-            columns: list[list] = [[] for _ in range(7)]
+            columns: list[list] = [[] for _ in range(8)]
             for (host, shape), stats in seen.items():
                 for place, s in enumerate(stats):
                     for c, v in zip(columns, (host, shape, place, *s), strict=True):
                         c.append(v)
-            types = [pa.string(), pa.string(), pa.int32()] + [pa.int64()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "shape", "place", "low", "high", "chars", "pages"])
+            types = [pa.string(), pa.string(), pa.int32()] + [pa.int64()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "shape", "place", "low", "high", "chars", "pages", "bits"])
 
         for batch in batches:
             for host, page in zip(common.column_of(batch, "host").to_pylist(), common.texts_of(batch, "html"), strict=True):
@@ -286,18 +309,20 @@ def _shapes(pages: DataFrame) -> DataFrame:
                 shape = json.dumps([[list(s), r] for s, r, _, _ in nodes], ensure_ascii=False)
                 stats = seen.get((host, shape))
                 if stats is None:
-                    stats = seen[host, shape] = [[(1 << 63) - 1, -(1 << 63), 0, 0] for _ in nodes]
+                    stats = seen[host, shape] = [[(1 << 63) - 1, -(1 << 63), 0, 0, 0] for _ in nodes]
+                bit = page_bit(found)
                 for s, (_, _, first, end) in zip(stats, nodes, strict=True):
                     for _, text in found[first:end]:
                         key = text_key(text)
                         s[0], s[1], s[2] = min(s[0], key), max(s[1], key), s[2] + len(text)
                     s[3] += 1
+                    s[4] |= bit
             if len(seen) > 20_000:  # rows of one shape add up later
                 yield rows()
                 seen.clear()
         yield rows()
 
-    return pages.mapInArrow(run, _SHAPE).groupBy("host", "shape", "place").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("chars").alias("chars"), F.sum("pages").alias("pages"))
+    return pages.mapInArrow(run, _SHAPE).groupBy("host", "shape", "place").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("chars").alias("chars"), F.sum("pages").alias("pages"), F.bit_or("bits").alias("bits"))
 
 
 def _aligned(table: pa.Table) -> pa.Table:
@@ -308,7 +333,7 @@ def _aligned(table: pa.Table) -> pa.Table:
     wrapper: list[Node] = []
     for shape, rows in sorted(shapes.items(), key=lambda x: (-x[1][0]["pages"], x[0])):
         rows.sort(key=lambda r: r["place"])
-        wrapper = align(wrapper, [Node(s, rep, False, r["low"], r["high"], r["chars"], r["pages"]) for (s, rep), r in zip(json.loads(shape), rows, strict=True)])
+        wrapper = align(wrapper, [Node(s, rep, False, r["low"], r["high"], r["chars"], r["pages"], r["bits"]) for (s, rep), r in zip(json.loads(shape), rows, strict=True)])
     return pa.table({"host": pa.array([table["host"][0].as_py()], pa.string()), "nodes": pa.array([json.dumps([n.row() for n in wrapper], ensure_ascii=False)], pa.string())})
 
 

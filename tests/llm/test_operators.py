@@ -266,6 +266,16 @@ def test_template_text_in_the_article_goes(spark):
     assert all("Title 1" in r.text for r in wrappers.extract(same, wrappers.infer(same)).collect())
 
 
+def test_text_of_copied_pages_stays(spark):
+    """A block that only a page and its copy have is theirs, not the template's."""
+    rows = [(i, f"https://h.example/{i}", page(i, extra="<div>Read on in our shop</div>")) for i in range(24)]
+    quoted = page(50, extra="<blockquote>Only here</blockquote>")
+    rows += [(50, "https://h.example/50", quoted), (51, "https://h.example/51", quoted.replace("<title>", "<link rel=canonical href=/50><title>"))]
+    f = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract(f, wrappers.infer(f)).collect()}
+    assert got[50].endswith("Only here") and got[51] == got[50] and not any("shop" in t for t in got.values())
+
+
 def test_paths_outside_the_main_text():
     for path in ("nav/ul/li", "article.post/div.share-box", "div#comments/p", "main/aside/p", "article/header/h1", "div.ad"):
         assert wrappers._aside(path), path
