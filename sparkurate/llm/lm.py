@@ -1,366 +1,332 @@
-"""Language-model scores by a weighted backoff automaton.
-
-Counting covers every training document and every n-gram. Tokens are words with A-Z lower-cased
-and one end a document. Unigrams are smoothed by absolute discounting; what that frees is the
-probability of an unknown token, one class. n-grams of order 2 and 3 with counts of 2 or more
-are interpolated with the order below.
-
-The automaton's states are the empty context, the words and the bigrams; an arc carries a token's
-log-probability in its state, a failure arc leads to the state of the context without its first
-word and carries its backoff weight. Weights are pushed onto the arcs: an arc's weight is its
-log-probability less what the failure arc and the arc below it would give, plus its own state's
-backoff weight. A traversal's total is then the sum of the weights of all n-grams of the text that
-the automaton has, and needs no order, so a shuffled join can add it up.
-
-All tables grow with the input. The most frequent words and arcs (WORDS and ARCS an order) are
-broadcast too, which keeps frequent n-grams out of the join; all others of a text get their
-weights by the join. A bitmap of FILTER words spares the join most n-grams that no table has;
-when it fills up it spares less, with the same results. An n-gram is known by the 64-bit hash of
-its parts: with 10^9 n-grams any two agree with probability 0.03.
+"""Language-model scores by a weighted backoff automaton over all n-grams of the training texts.
+
+Tokens are words with A-Z lower-cased and one end a text. The automaton's states are the empty
+context, the words and the bigrams that training has; an arc is an n-gram of order 1 to 3. In a
+state h seen n times, the arc of a token seen c times after it has the probability
+(c + m * below) / (n + m), and the failure arc, which leads to the state without its first word,
+has the weight m / (n + m); below is the token's probability there. In the empty context it is
+(c + 0.5) / (N + 0.5 * (V + 1)), with one class for all unknown tokens. In every state
+probabilities sum to 1. No n-gram is left out, however rare. An order's m is what makes the
+failure arcs, over all training tokens, expect as many tokens as come up there once only: those
+that would be new if they were left out. It is solved from the counts' histograms by octave.
+
+The model is never in one place. Texts go in chunks of CHUNK bytes. A chunk asks for the counts of
+its own distinct n-grams: it sends each bucket of the hash space the keys there and how often its
+own training texts have them. A bucket adds up what all chunks sent and answers each with the
+whole corpus's counts, so it counts and looks up in one shuffle. A chunk with its answers has all
+arcs and states that its texts can reach, and traverses them from left to right. What a task holds
+is a chunk or a bucket, whose number grows with the corpus; no table is broadcast or collected.
+
+Keys are hashes of 62 bits and the order: of 10^9 n-grams any two agree with probability 0.1. They
+travel sorted, as differences in byte planes, in some 5.5 bytes. Chunks are cut in scan order by
+bytes, so that a task run again makes the same ones; no key, source or copy makes one larger.
 
 Edge cases: a null or empty text is one end. With no training row every token is unknown, and
-the unknown class has probability 1. Rows are scored each for itself, whatever their id.
+the unknown class has probability 1. Rows are scored each for itself, whatever their id. A text
+longer than CHUNK is a chunk of its own: it needs some 100 bytes of memory for a byte of text.
 """
 
 from __future__ import annotations
 
-import math
-import re
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkurate.llm import common
 
-#: The words and the arcs of an order that are broadcast; the join has all others.
-WORDS = 1 << 18
-ARCS = 1 << 20
-#: A bound on the words that n-grams are made of; None: all words.
-CONTEXTS: int | None = None
-#: The bitmap's 64-bit words, a power of two.
-FILTER = 1 << 22
-DISCOUNT = 0.75
-LEAST = 1e-12
-END = b"\n"
-FLUSH = 1 << 19
-HELD = 1 << 21
-GROUP = 1 << 20
-_words = re.compile(rb"[^\x20\x09-\x0D]+").findall
-
-
-def tokens(text: str | bytes) -> list[bytes]:
-    """Words of a text, or of its UTF-8 bytes, and the end."""
-    raw = text.encode() if isinstance(text, str) else text
-    found = _words(raw.lower())
-    found.append(END)
-    return found
-
-
-def _raw_texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t or b"" for t in common.column_of(batch, "text").cast(pa.binary()).to_pylist()]
-
-
-def _groups(texts: list[bytes]) -> Iterator[list[list[bytes]]]:
-    """The texts' tokens, so many texts at a time as have some GROUP bytes."""
-    group: list[list[bytes]] = []
-    size = 0
-    for t in texts:
-        group.append(tokens(t))
-        size += len(t)
-        if size > GROUP:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
-def _rotated(x: np.ndarray, by: int) -> np.ndarray:
-    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
-
-
-def _hashed(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    one, two, three, four, five = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    h = seed + five + np.uint64(8)
-    h ^= _rotated(x * two, 31) * one
-    h = _rotated(h, 27) * one + four
-    h ^= h >> np.uint64(33)
-    h *= two
-    h ^= h >> np.uint64(29)
-    h *= three
-    return h ^ (h >> np.uint64(32))
-
+#: Bytes of text in a chunk.
+CHUNK = 8 << 20
+#: Bytes of text for each bucket: some million keys.
+BUCKET = 4 << 20
+_BLOCK = 1 << 20
+_U = np.uint64
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection that spreads every bit over all 64."""
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+_BYTES = _mixed(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
+_BYTES[65:91] = _BYTES[97:123]
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, *range(9, 14)]] = True
+_END = _mixed(np.array([10], _U))[0]
+_END_KEY = _END & ~_U(3) | _U(1)
+#: Places in a bucket's statistics: training tokens, distinct ones, n-grams seen once by order;
+#: then, for contexts of one and two words, how often those of each octave come up and how many they are.
+_TOKENS, _DISTINCT, _ONCE, _OCTAVES = 0, 1, {2: 2, 3: 3}, {2: 4, 3: 132}
+_STATISTICS = 260
+
+
+def _powers(n: int) -> np.ndarray:
+    found = np.full(n, 0x9E3779B185EBCA87, _U)
+    found[0] = 1
+    return np.cumprod(found, out=found)
+
+
+def _blocks(raw: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Parts of some _BLOCK bytes that end in a blank: no word is cut."""
+    at = 0
+    while at < len(raw):
+        end = min(len(raw), at + _BLOCK)
+        if end < len(raw):
+            blank = np.flatnonzero(_BLANK[raw[at:end]])
+            if len(blank):
+                end = at + int(blank[-1]) + 1
+            else:
+                end = len(raw)
+                for start in range(at + _BLOCK, len(raw), _BLOCK):
+                    blank = np.flatnonzero(_BLANK[raw[start : start + _BLOCK]])
+                    if len(blank):
+                        end = start + int(blank[0]) + 1
+                        break
+        yield at, end
+        at = end
+
+
+def words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, A-Z lower-cased, and where it starts."""
+    raw = np.frombuffer(text, np.uint8)
+    hashes, places = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+    powers = _powers(64)
+    for at, end in _blocks(raw):
+        part = raw[at:end]
+        edges = np.flatnonzero(np.diff(_BLANK[part], prepend=True, append=True))
+        first, last = edges[0::2], edges[1::2]
+        if not len(first):
+            continue
+        size = last - first
+        starts = np.cumsum(size) - size
+        inside = np.arange(int(starts[-1] + size[-1])) - np.repeat(starts, size)
+        if size.max() > len(powers):
+            powers = _powers(int(size.max()))
+        hashes.append(_mixed(np.add.reduceat(_BYTES[part[inside + np.repeat(first, size)]] * powers[inside], starts)))
+        places.append(first + at)
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+class Traversal:
+    """The n-grams of some texts, in order; with their counts, the automaton's path through them.
+
+    keys are the distinct n-grams, sorted; place has the keys' places for all tokens as words,
+    then as the ends of bigrams, then of trigrams. bigram and trigram tell which tokens end one.
+    """
 
-def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of two longs."""
-    return _hashed(b.view(np.uint64), _hashed(a.view(np.uint64), np.full(len(a), 42, np.uint64))).view(np.int64)
+    def __init__(self, texts: list[bytes]) -> None:
+        hashes, at = words(b"\n".join(texts))
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        upto = np.searchsorted(at, np.append(begins[1:], np.iinfo(np.int64).max))
+        tokens = np.insert(hashes, upto, _END)
+        self.n_tokens = np.diff(upto, prepend=0) + 1
+        self.starts = np.cumsum(self.n_tokens) - self.n_tokens
+        n = len(tokens)
+        opening = np.zeros(n, bool)
+        opening[self.starts] = True
+        self.bigram = np.flatnonzero(~opening)
+        second = opening.copy()
+        second[1:] |= opening[:-1]
+        self.trigram = np.flatnonzero(~second)
+        two = np.zeros(n, _U)
+        two[1:] = _mixed(tokens[:-1] * _U(0xC2B2AE3D27D4EB4F) + tokens[1:])
+        three = _mixed(two[self.trigram - 1] * _U(0x165667B19E3779F9) + tokens[self.trigram])
+        keys = np.concatenate([tokens, two[self.bigram], three])
+        keys &= ~_U(3)
+        keys[:n] |= _U(1)
+        keys[n : n + len(self.bigram)] |= _U(2)
+        keys[n + len(self.bigram) :] |= _U(3)
+        order = np.argsort(keys)
+        new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
+        self.keys = keys[order[new]]
+        self.place = np.empty(len(keys), np.int64)
+        self.place[order] = np.cumsum(new) - 1
+
+    def own_counts(self, train: np.ndarray) -> np.ndarray:
+        """How often the texts that are marked have each key."""
+        text = np.repeat(np.arange(len(self.starts)), self.n_tokens)
+        marked = train[text]
+        weights = np.concatenate([marked, marked[self.bigram], marked[self.trigram]])
+        return np.bincount(self.place[weights], minlength=len(self.keys)).astype(_U)
+
+    def scores(self, counts: np.ndarray, total: int, distinct: int, mass: dict[int, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """n_known, base score and score of each text, from the counts of the keys."""
+        seen = counts[self.place].astype(float)
+        n, cut = int(self.n_tokens.sum()), len(self.bigram)
+        one, two, three = seen[:n], np.zeros(n), np.zeros(n)
+        two[self.bigram], three[self.trigram] = seen[n : n + cut], seen[n + cut :]
+        base = (one + 0.5) / (total + 0.5 * (distinct + 1))
+        # The state before a token is its longest known context. An arc's weight where there is one
+        # and the failure arcs' weights where there is none are one formula: c is 0 in the latter.
+        p = base.copy()
+        for order, own, context, at in ((2, two, one, self.bigram), (3, three, two, self.trigram)):
+            p[at] = (own[at] + mass[order] * p[at]) / (context[at - 1] + mass[order])
+        return tuple(np.add.reduceat(x, self.starts) for x in ((one > 0).astype(np.int64), np.log10(base), np.log10(p)))
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Unsigned 64-bit numbers as compressed byte planes."""
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
+
+
+def unpacked(blob: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(blob, 8 * n, asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u8").astype(_U, copy=False)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[tuple[int, list[bytes], pa.Array, np.ndarray]]:
+    """Number, texts, ids and training marks of each chunk of a task's rows."""
+    number, texts, size, parts = TaskContext.get().partitionId() << 32, [], 0, []
+
+    def closed():
+        ids = pa.concat_arrays([p[0] for p in parts])
+        marks = np.concatenate([p[1] for p in parts])
+        return number, texts, ids, marks
+
+    for batch in batches:
+        ids = common.column_of(batch, "doc_id")
+        marks = common.column_of(batch, "train").to_numpy(zero_copy_only=False).astype(bool)
+        begin = 0
+        for i, text in enumerate(common.column_of(batch, "text")):
+            raw = text.as_py() or b""
+            texts.append(raw)
+            size += len(raw) + 1
+            if size >= chunk:
+                parts.append((ids[begin : i + 1], marks[begin : i + 1]))
+                yield closed()
+                number, texts, size, parts, begin = number + 1, [], 0, [], i + 1
+        if begin < len(ids):
+            parts.append((ids[begin:], marks[begin:]))
+    if texts:
+        yield closed()
+
+
+def asked(rows: DataFrame, bits: int, chunk: int = CHUNK) -> DataFrame:
+    """chunk, bucket, n, keys, counts: what each chunk asks each bucket, and its own counts."""
+    names = ["chunk", "bucket", "n", "keys", "counts"]
 
+    def run(batches):
+        for number, texts, _, train in _chunks(batches, chunk):
+            path = Traversal(texts)
+            counts = path.own_counts(train)
+            bucket = (path.keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(path.keys), np.int64)
+            first = np.flatnonzero(np.diff(bucket, prepend=-1))
+            ends = np.append(first[1:], len(bucket))
+            made = [(number, int(bucket[a]), int(b - a), packed(np.diff(path.keys[a:b], prepend=_U(0))), packed(counts[a:b])) for a, b in zip(first, ends, strict=True)]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True)], names=names)
+
+    return rows.mapInArrow(run, "chunk long, bucket long, n long, keys binary, counts binary")
+
+
+def statistics(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """What distinct keys and their counts add to the corpus's statistics."""
+    found = np.zeros(_STATISTICS, np.int64)
+    order, seen = keys & _U(3), counts > 0
+    found[_TOKENS], found[_DISTINCT] = counts[order == 1].sum(), (seen & (order == 1)).sum()
+    for k in (2, 3):
+        found[_ONCE[k]] = ((order == k) & (counts == 1)).sum()
+        own = counts[seen & (order == k - 1) & (keys != _END_KEY)].astype(np.int64)
+        octave = np.frexp(own.astype(float))[1] - 1
+        found[_OCTAVES[k] : _OCTAVES[k] + 128 : 2] = np.bincount(octave, own, minlength=64).astype(np.int64)
+        found[_OCTAVES[k] + 1 : _OCTAVES[k] + 128 : 2] = np.bincount(octave, minlength=64)
+    return found
 
-def word_keys(found: list[bytes]) -> np.ndarray:
-    """Spark's xxhash64 of each token."""
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(t, 42) for t in found), np.uint64, len(found)).view(np.int64)
 
+def masses(found: np.ndarray) -> dict[int, float]:
+    """Each order's m, between e^-6 and e^30, by bisection."""
+    solved = {}
+    for k in (2, 3):
+        tokens, types = found[_OCTAVES[k] : _OCTAVES[k] + 128].reshape(64, 2).T.astype(float)
+        left = tokens / np.maximum(types, 1) - 1
+        low, high = -6.0, 30.0
+        for _ in range(60):
+            middle = (low + high) / 2
+            m = np.exp(middle)
+            if (tokens * m / (left.clip(0) + m)).sum() < found[_ONCE[k]]:
+                low = middle
+            else:
+                high = middle
+        solved[k] = float(np.exp(high))
+    return solved
 
-def _bigrams(keys: np.ndarray, ends: np.ndarray, top: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Each place's bigram with the next token, and whether it is one: no text's end starts any."""
-    ok = np.ones(len(keys) - 1, bool)
-    ok[ends[:-1] - 1] = False
-    if top is not None:
-        known = np.isin(keys, top)
-        ok &= known[:-1] & known[1:]
-    return pair(keys[:-1], keys[1:]), ok
 
+def _answered(table: pa.Table) -> pa.Table:
+    """Each chunk's answer from one bucket; the bucket's statistics on its first row."""
+    sizes = table["n"].to_numpy()
+    keys = np.concatenate([np.cumsum(unpacked(k.as_py(), n), dtype=_U) for k, n in zip(table["keys"], sizes, strict=True)])
+    counts = np.concatenate([unpacked(c.as_py(), n) for c, n in zip(table["counts"], sizes, strict=True)])
+    order = np.argsort(keys)
+    in_order = keys[order]
+    first = np.flatnonzero(np.diff(in_order, prepend=~in_order[:1]))
+    sums = np.add.reduceat(counts[order], first)
+    counts[order] = np.repeat(sums, np.diff(np.append(first, len(order))))
+    made = [packed(x) for x in np.split(counts, np.cumsum(sizes)[:-1])]
+    once = [statistics(in_order[first], sums).tolist()] + [None] * (len(sizes) - 1)
+    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "n": table["n"], "counts": pa.array(made, pa.binary()), "statistics": pa.array(once, pa.list_(pa.int64()))})
 
-def _texts_keys(found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of all texts' tokens one after the other; where each text ends."""
-    return word_keys([t for x in found for t in x]), np.cumsum([len(x) for x in found])
 
+def answers(rows: DataFrame, text_bytes: int, chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+    """chunk, bucket, n, counts: the whole corpus's counts for each chunk; statistics: once a bucket."""
+    bits = max(0, -(-text_bytes // bucket) - 1).bit_length()
+    return asked(rows, bits, chunk).groupBy("bucket").applyInArrow(_answered, "chunk long, bucket long, n long, counts binary, statistics array<long>")
 
-def unigrams(docs: DataFrame) -> DataFrame:
-    """token binary, c: the count of every token of docs, ends included."""
-    common.ship(docs.sparkSession)
 
-    def rows(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["token", "c"])
+def chunk_texts(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """chunk, ids, sizes, size, texts: each chunk's rows, its texts compressed."""
+    id_type = rows.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(id_type)), T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("texts", T.BinaryType())])
 
     def run(batches):
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in _raw_texts(batch):
-                seen.update(tokens(text))
-                if len(seen) > FLUSH:
-                    yield rows(seen)
-                    seen = Counter()
-        yield rows(seen)
-
-    return docs.select("text").mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
-
-
-def at_most(counted: DataFrame, count: str, limit: int, least: int = 1) -> DataFrame:
-    """The rows of the highest counts, no more than limit: all from the first count on that fits."""
-    # Counts in 64 steps an octave: a histogram of some thousand rows at most.
-    step = F.floor(F.log2(F.col(count)) * 64)
-    histogram = sorted(((r["s"], r["k"]) for r in counted.where(F.col(count) >= least).groupBy(step.alias("s")).agg(F.count("*").alias("k")).collect()), reverse=True)
-    total, cut = 0, None
-    for s, k in histogram:
-        total += k
-        if total > limit:
-            break
-        cut = s
-    return counted.where((F.col(count) >= least) & (step >= cut)) if cut is not None else counted.where(F.lit(False))
-
-
-def bitmap(*tables: DataFrame) -> np.ndarray:
-    """FILTER words with a bit for each key; FILTER rows at most meet the driver."""
-    high = F.shiftrightunsigned("key", 64 - (FILTER.bit_length() - 1)).cast("int")
-    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
-    bits = np.zeros(FILTER, np.int64)
-    for t in tables:
-        got = t.groupBy(high.alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
-        bits[got["at"].to_numpy()] |= got["bits"].to_numpy()
-    return bits
-
-
-def _maybe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = (keys.view(np.uint64) >> np.uint64(64 - (len(bits).bit_length() - 1))).astype(np.int64)
-    return (bits[at] >> (keys & 63)) & 1 == 1
-
-
-@dataclass
-class Automaton:
-    """The model's totals, the words and arcs that are broadcast, and the bitmap of the others."""
-
-    n: int = 0
-    v: int = 0
-    discount: float = 0.5
-    unknown: float = 1.0
-    top: np.ndarray | None = None
-    word_keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    word_base: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    word_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    arc_keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    arc_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    others: np.ndarray = field(default_factory=lambda: np.zeros(FILTER, np.int64))
-
-    def score(self, found: list[list[bytes]]) -> list[tuple[float, float, np.ndarray, np.ndarray]]:
-        """For each text: base score and log10 probability of what is broadcast; keys of other words and n-grams."""
-        keys, ends = _texts_keys(found)
-        place, there = _find(self.word_keys, keys)
-        base = np.where(there, np.append(self.word_base, 0)[place], 0)
-        total = np.where(there, np.append(self.word_weights, 0)[place], 0)
-        others = []
-        two, ok = _bigrams(keys, ends, self.top)
-        three, ok3 = pair(two[:-1], two[1:]), ok[:-1] & ok[1:]
-        for grams, valid in ((two, ok), (three, ok3)):
-            at = np.flatnonzero(valid)
-            grams = grams[at]
-            place, known = _find(self.arc_keys, grams)
-            np.add.at(total, at[known], self.arc_weights[place[known]])
-            rest = np.flatnonzero(~known)
-            rest = rest[_maybe(self.others, grams[rest])]
-            others.append((at[rest], grams[rest]))
-        starts = np.concatenate([[0], ends[:-1]])
-        sums = np.add.reduceat(base, starts), np.add.reduceat(total, starts)
-        rest_words = np.flatnonzero(~there)
-        cuts = [np.searchsorted(x, np.append(starts, len(keys))) for x in (rest_words, others[0][0], others[1][0])]
-        made = []
-        for i in range(len(found)):
-            words = keys[rest_words[cuts[0][i] : cuts[0][i + 1]]]
-            grams = np.concatenate([others[k][1][cuts[k + 1][i] : cuts[k + 1][i + 1]] for k in (0, 1)])
-            made.append((float(sums[0][i]), float(sums[1][i]), words, grams))
-        return made
+        for number, texts, ids, _ in _chunks(batches, chunk):
+            sizes = [len(t) for t in texts]
+            blob = pa.Codec("zstd", 1).compress(b"".join(texts), asbytes=True)
+            whole = pa.array([0, len(ids)], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.ListArray.from_arrays(whole, ids), pa.array([sizes], pa.list_(pa.int64())), pa.array([blob], pa.binary())], names=schema.names)
 
+    return rows.mapInArrow(run, schema)
 
-def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each key is in a sorted table, and whether it is."""
-    if not len(table):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return place, table[place] == keys
 
+def score(docs: DataFrame, train: str, chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text.
 
-def gram_counts(docs: DataFrame, order: int, top: np.ndarray | None = None, below: np.ndarray | None = None) -> DataFrame:
-    """a, b, key, c: every n-gram of this order seen twice or more, by its context, its suffix and both.
-
-    below is the bitmap of the bigrams that are in the model: others can't be part of a trigram that is.
+    train names the boolean column that marks the rows to learn from; null is not one.
     """
-    common.ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((top, below))
-
-    def add(parts: list[np.ndarray]) -> np.ndarray:
-        """Rows a, b, count with each pair once."""
-        a, b, c = np.concatenate(parts, axis=1)
-        sort = np.lexsort((b, a))
-        a, b, c = a[sort], b[sort], c[sort]
-        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
-        return np.stack([a[first], b[first], np.add.reduceat(c, first) if len(first) else c])
+    spark = docs.sparkSession
+    common.ship(spark)
+    rows = docs.select("doc_id", F.coalesce(F.col(train), F.lit(False)).alias("train"), F.col("text").cast("binary").alias("text"))
+    text_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    found = common.materialize(answers(rows, text_bytes, chunk, bucket))
+    sums = np.zeros(_STATISTICS, np.int64)
+    for r in found.select(F.posexplode("statistics").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect():
+        sums[r["at"]] = r["x"]
+    total, distinct, mass = int(sums[_TOKENS]), int(sums[_DISTINCT]), masses(sums)
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        made = []
+        for ids, sizes, blob in zip(left["ids"], left["sizes"].to_pylist(), left["texts"].to_pylist(), strict=True):
+            ends = np.cumsum(sizes)
+            whole = pa.Codec("zstd").decompress(blob, int(ends[-1]), asbytes=True) if ends[-1] else b""
+            path = Traversal([whole[e - s : e] for s, e in zip(sizes, ends, strict=True)])
+            got = sorted(zip(right["bucket"].to_pylist(), right["n"].to_pylist(), right["counts"].to_pylist(), strict=True))
+            known, base, log_p = path.scores(np.concatenate([unpacked(c, n) for _, n, c in got]), total, distinct, mass)
+            made.append(pa.table({"doc_id": ids.values, "n_tokens": path.n_tokens, "n_known": known, "train_tokens": np.full(len(sizes), total, np.int64), "base_score": base, "score": log_p}))
+        return pa.concat_tables(made)
 
-    def run(batches):
-        top, below = shared.value
-        parts, held = [], 0
-        for found in (x for batch in batches for x in _groups(_raw_texts(batch))):
-            keys, ends = _texts_keys(found)
-            if len(keys) < order:
-                continue
-            two, ok = _bigrams(keys, ends, top)
-            if order == 2:
-                a, b = keys[:-1][ok], keys[1:][ok]
-            else:
-                ok &= _maybe(below, two)
-                both = ok[:-1] & ok[1:]
-                a, b = two[:-1][both], two[1:][both]
-            parts.append(np.stack([a, b, np.ones(len(a), np.int64)]))
-            held += len(a)
-            if held > HELD:
-                parts = [add(parts)]
-                held = parts[0].shape[1]
-                if held > HELD // 2:
-                    yield from rows(parts[0])
-                    parts, held = [], 0
-        if parts:
-            yield from rows(add(parts))
-
-    def rows(got: np.ndarray):
-        for i in range(0, got.shape[1], 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in got], names=["a", "b", "c"])
-
-    counted = docs.select("text").mapInArrow(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c")).where("c >= 2")
-    return counted.select("a", "b", F.xxhash64("a", "b").alias("key"), "c")
-
-
-def backoffs(below: DataFrame, grams: DataFrame) -> DataFrame:
-    """below and back: log10 of the weight of each failure arc, 0 where no n-gram has this context."""
-    spent = grams.groupBy(F.col("a").alias("key")).agg(F.sum(F.col("c") - DISCOUNT).alias("spent"))
-    back = F.when(F.col("spent").isNull(), 0.0).otherwise(F.log10(F.greatest(1 - F.col("spent") / F.col("c"), F.lit(LEAST))))
-    return below.join(spent, "key", "left").withColumn("back", back).drop("spent")
-
-
-def arcs(grams: DataFrame, below: DataFrame) -> DataFrame:
-    """key, c, p and the pushed weight of every n-gram; below has key, c, p, back of the order below."""
-    context = below.select(F.col("key").alias("a"), F.col("c").alias("_seen"), F.col("back").alias("_back"))
-    suffix = below.select(F.col("key").alias("b"), F.col("p").alias("_p"))
-    found = grams.join(context, "a").drop("a").withColumn("_own", (F.col("c") - DISCOUNT) / F.col("_seen")).drop("_seen").join(suffix, "b")
-    p = F.col("_own") + F.pow(F.lit(10.0), "_back") * F.col("_p")
-    return found.select("key", "c", p.alias("p"), (F.log10(p) - F.log10("_p") - F.col("_back")).alias("w"))
-
-
-def train(docs: DataFrame) -> tuple[Automaton, DataFrame]:
-    """The automaton and the table of all weights (key, c, base, w); base is null but for words."""
-    began = common.mark()
-    vocabulary = common.materialize(unigrams(docs))
-    n, v, ones, twos = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("c") == 1, 1)), F.lit(0)), F.coalesce(F.sum(F.when(F.col("c") == 2, 1)), F.lit(0))).first()
-    discount = min(0.95, max(0.05, ones / (ones + 2 * twos) if ones else 0.5))
-    model = Automaton(n=n, v=v, discount=discount, unknown=discount * v / n if n else 1.0)
-    if CONTEXTS is not None:
-        model.top = np.array([r["key"] for r in vocabulary.orderBy(F.desc("c"), "token").limit(CONTEXTS).select(F.xxhash64("token").alias("key")).collect()], np.int64)
-    one = vocabulary.groupBy(F.xxhash64("token").alias("key")).agg(F.sum("c").alias("c")).withColumn("p", (F.col("c") - discount) / max(1, n))
-    two = common.materialize(gram_counts(docs, 2, model.top))
-    three = common.materialize(gram_counts(docs, 3, model.top, bitmap(two)))
-    words = common.materialize(backoffs(one, two))
-    pairs = common.materialize(backoffs(arcs(two, words), three))
-    none = F.lit(None).cast("double")
-    tables = [
-        words.select("key", "c", F.log10((F.col("c") + 0.5) / (n + 0.5 * (v + 1))).alias("base"), (F.log10("p") + F.col("back")).alias("w")),
-        pairs.select("key", "c", none.alias("base"), (F.col("w") + F.col("back")).alias("w")),
-        arcs(three, pairs).select("key", "c", none.alias("base"), "w"),
-    ]
-    weights = common.materialize(tables[0].union(tables[1]).union(tables[2]))
-    grams = weights.where("base is null")
-    got = at_most(weights.where("base is not null"), "c", WORDS).select("key", "base", "w").orderBy("key").toArrow()
-    model.word_keys, model.word_base, model.word_weights = (got[k].to_numpy() for k in ("key", "base", "w"))
-    got = at_most(grams, "c", 2 * ARCS).select("key", "w").orderBy("key").toArrow()
-    model.arc_keys, model.arc_weights = (got[k].to_numpy() for k in ("key", "w"))
-    model.others = bitmap(grams)
-    common.discard_since(began, docs.sparkSession, weights)
-    return model, weights
-
-
-def score(docs: DataFrame, model: Automaton, weights: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    keys = [T.StructField(k, T.ArrayType(T.LongType())) for k in ("words", "grams")]
-    schema = T.StructType([T.StructField("_row", T.LongType()), common.id_field(docs), T.StructField("n_tokens", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("log_p", T.DoubleType()), *keys])
-
-    def lists(parts: list[np.ndarray]) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) for x in parts]), pa.int32()), pa.array(np.concatenate(parts), pa.int64()))
-
-    def start():
-        own = shared.value
-        numbers = iter(range(TaskContext.get().partitionId() << 40, (TaskContext.get().partitionId() + 1) << 40))
-
-        def step(batch):
-            made = [(len(x), *r) for found in _groups(_raw_texts(batch)) for x, r in zip(found, own.score(found), strict=True)]
-            columns = [pa.array([next(numbers) for _ in made], pa.int64()), common.column_of(batch, "doc_id"), pa.array([r[0] for r in made], pa.int64()), pa.array([r[1] for r in made]), pa.array([r[2] for r in made]), lists([r[3] for r in made]), lists([r[4] for r in made])]
-            return pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-        return step
-
-    parts = common.materialize(common.map_rows(docs.select("doc_id", "text"), start, schema))
-    asked = parts.select("_row", F.explode("words").alias("key"), F.lit(True).alias("word")).union(parts.select("_row", F.explode("grams").alias("key"), F.lit(False).alias("word")))
-    looked_up = asked.join(weights.select("key", F.col("base").isNotNull().alias("word"), "base", "w"), ["key", "word"], "left")
-    lone = F.lit(math.log10(0.5 / (model.n + 0.5 * (model.v + 1))))
-    base = F.when(F.col("word"), F.coalesce("base", lone)).otherwise(0.0)
-    log_p = F.coalesce("w", F.when(F.col("word"), F.lit(math.log10(model.unknown))).otherwise(0.0))
-    sums = looked_up.groupBy("_row").agg(F.sum(base).alias("rest_base"), F.sum(log_p).alias("rest_log_p"), F.sum(F.when(F.col("word") & F.col("w").isNull(), 1).otherwise(0)).alias("unknown"))
-    joined = parts.drop("words", "grams").join(sums, "_row", "left")
-
-    def plus(a: str, b: str) -> Column:
-        return F.col(a) + F.coalesce(F.col(b), F.lit(0))
-
-    return joined.select("doc_id", "n_tokens", (F.col("n_tokens") - F.coalesce("unknown", F.lit(0))).alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"), plus("base", "rest_base").cast("double").alias("base_score"), plus("log_p", "rest_log_p").cast("double").alias("score"))
+    schema = T.StructType([common.id_field(docs), *[T.StructField(k, T.LongType()) for k in ("n_tokens", "n_known", "train_tokens")], *[T.StructField(k, T.DoubleType()) for k in ("base_score", "score")]])
+    return chunk_texts(rows, chunk).groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(scored, schema)
 
 
 def op4_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held_out = common.fold("doc_id", 5) == 1
-    model, weights = train(docs.where(~held_out))
-    scored = score(docs, model, weights)
+    scored = score(docs.select("doc_id", "text", (~held_out).alias("_lm_train")), "_lm_train")
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,6 +12,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from sparkurate.llm import bpe, common, langid, lm, mixing, mpeg, quality, queries, tokencount, toxicity, wrappers
 
@@ -152,86 +154,90 @@ def test_media_headers():
 # --- op4 -------------------------------------------------------------------------------------
 
 
-def spec_lm(train, contexts, order=3, d=0.75):
-    """The model by its formulas: nested dictionaries, probabilities by recursion."""
-    uni = Counter(t for x in train for t in x)
-    n, v = sum(uni.values()), len(uni)
-    ones, twos = sum(c == 1 for c in uni.values()), sum(c == 2 for c in uni.values())
-    du = min(0.95, max(0.05, ones / (ones + 2 * twos) if ones else 0.5))
-    top = set(sorted(uni, key=lambda t: (-uni[t], t))[:contexts])
-    grams = {1: {(t,): c for t, c in uni.items()}}
-    for k in range(2, order + 1):
-        c = Counter(tuple(x[i : i + k]) for x in train for i in range(len(x) - k + 1) if all(t in top for t in x[i : i + k]))
-        grams[k] = {g: m for g, m in c.items() if m >= 2 and (k == 2 or g[:-1] in grams[k - 1])}
+def lm_tokens(text):
+    return [*re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower()), b"\n"]
+
+
+def spec_lm(train):
+    """The model by its formulas: counts in dictionaries, probabilities by recursion."""
+    grams = Counter(tuple(x[i : i + k]) for x in train for k in (1, 2, 3) for i in range(len(x) - k + 1))
+    n, v = sum(map(len, train)), sum(len(g) == 1 for g in grams)
+
+    def mass(k):
+        octaves = defaultdict(list)
+        for g, c in grams.items():
+            if len(g) == k - 1 and g != (b"\n",):
+                octaves[c.bit_length()].append(c)
+        once = sum(c == 1 for g, c in grams.items() if len(g) == k)
+        low, high = -6.0, 30.0
+        for _ in range(60):
+            m = math.exp((low + high) / 2)
+            if sum(sum(x) * m / (sum(x) / len(x) - 1 + m) for x in octaves.values()) < once:
+                low = (low + high) / 2
+            else:
+                high = (low + high) / 2
+        return math.exp(high)
+
+    m = {k: mass(k) for k in (2, 3)}
 
     def p(word, context):
         if not context:
-            return (uni[word] - du) / n if uni[word] else du * v / n
+            return (grams[word,] + 0.5) / (n + 0.5 * (v + 1))
         k = len(context) + 1
-        if context not in grams[k - 1] or (k == 2 and context[0] not in top):
-            return p(word, context[1:])
-        seen = {g: c for g, c in grams[k].items() if g[:-1] == context}
-        total = grams[k - 1][context]
-        back = 1 - sum((c - d) / total for c in seen.values())
-        own = seen.get((*context, word))
-        return ((own - d) / total if own else 0) + back * p(word, context[1:])
+        return (grams[*context, word] + m[k] * p(word, context[1:])) / (grams[context] + m[k])
 
-    return uni, n, v, top, p
+    return grams, n, v, p
 
 
-def test_lm_matches_its_formulas(spark, monkeypatch):
-    monkeypatch.setattr(lm, "CONTEXTS", 6)
+@pytest.mark.parametrize("sizes", [(8 << 20, 4 << 20), (300, 64)])
+def test_lm_matches_its_formulas(spark, sizes):
+    """One chunk and one bucket, or many of both: every text has the score of the formulas."""
     rng = random.Random(4)
-    rows = [(i, " ".join(rng.choice("a b c d e f g h i j k l m".split()) for _ in range(rng.randrange(0, 40))), None, None) for i in range(60)]
-    train, test = rows[:45], [*rows[30:], (900, "zz a b a b NEW A B", None, None), (901, None, None, None), (901, None, None, None)]
-    model, vocabulary = lm.train(frame(spark, train))
+    train = [(i, " ".join(rng.choice("a b c d e f g h i j k l m zażółć".split()) for _ in range(rng.randrange(0, 40)))) for i in range(60)]
+    train += [(i, " ".join(f"w{k}" for k in random.Random(i).sample(range(2000), 2000))) for i in (70, 71)] + [(72, "rare qq rr\x0bss"), (73, "x" * 3000)]
+    test = [*train[30:], (900, "zz a b a b NEW A B"), (901, None), (901, None), (902, "qq rr ss w1 qq rr zz"), (903, "ZAŻÓŁĆ x")]
+    marked = frame(spark, [(*r, k, None) for k, rows in (("train", train), ("test", test)) for r in rows]).withColumn("held", F.col("lang") == "train")
     got = defaultdict(list)
-    for r in lm.score(frame(spark, test), model, vocabulary).collect():
+    for r in lm.score(marked, "held", *sizes).collect():
         got[r.doc_id].append(r)
-    uni, n, v, top, p = spec_lm([lm.tokens(t) for _, t, *_ in train], 6)
-    for i, text, *_ in test:
-        found = lm.tokens(text or "")
-        total, state = 0.0, ()
-        for t in found:
-            total += math.log10(p(t, state))
-            state = (*state, t)[-2:] if t in top else ()
-        r = got[i][0]
-        assert r.score == pytest.approx(total) and r.base_score == pytest.approx(sum(math.log10((uni[t] + 0.5) / (n + 0.5 * (v + 1))) for t in found))
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(found), sum(uni[t] > 0 for t in found), n)
-    assert len(got[901]) == 2
-
-
-def test_lm_small_head_gives_the_same(spark, monkeypatch):
-    rng = random.Random(6)
-    rows = [(i, words(rng, 30, "abc"), None, None) for i in range(50)]
-    before = {r.doc_id: r.base_score for r in lm.score(frame(spark, rows), *lm.train(frame(spark, rows[:40]))).collect()}
-    monkeypatch.setattr(lm, "WORDS", 32)
-    after = {r.doc_id: r.base_score for r in lm.score(frame(spark, rows), *lm.train(frame(spark, rows[:40]))).collect()}
-    assert after == pytest.approx(before)
-
-
-@pytest.mark.parametrize("kept", [4, 1 << 20])
-def test_lm_counts_ngrams_of_rare_words(spark, monkeypatch, kept):
-    """5,000 words are more frequent than those of a trigram; it counts whether it is broadcast or joined."""
-    monkeypatch.setattr(lm, "WORDS", kept)
-    monkeypatch.setattr(lm, "ARCS", kept)
-    train = [(i, " ".join(f"w{k}" for k in random.Random(i).sample(range(5000), 5000)), None, None) for i in range(4)] + [(i, f"rare{i} qq rr ss", None, None) for i in (4, 5)]
-    test = [(900, "qq rr ss w1 qq rr zz", None, None), (901, "w1 w2 rr ss", None, None)]
-    got = {r.doc_id: r for r in lm.score(frame(spark, test), *lm.train(frame(spark, train))).collect()}
-    p = spec_lm([lm.tokens(t) for _, t, *_ in train], 1 << 30)[-1]
-    for i, text, *_ in test:
-        total, state = 0.0, ()
-        for t in lm.tokens(text):
-            total += math.log10(p(t, state))
-            state = (*state, t)[-2:] if t != b"zz" else ()
-        assert got[i].score == pytest.approx(total)
+    grams, n, v, p = spec_lm([lm_tokens(t) for _, t in train])
+    for i, text in test:
+        found = lm_tokens(text)
+        total = sum(math.log10(p(t, tuple(found[max(0, k - 2) : k]))) for k, t in enumerate(found))
+        base = sum(math.log10((grams[t,] + 0.5) / (n + 0.5 * (v + 1))) for t in found)
+        for r in got[i]:
+            assert r.score == pytest.approx(total, rel=1e-9) and r.base_score == pytest.approx(base, rel=1e-9)
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (len(found), sum(grams[t,] > 0 for t in found), n)
+    assert len(got[901]) == 2 and sum(map(len, got.values())) == len(train) + len(test)
+
+
+def test_lm_probabilities_sum_to_one():
+    rng = random.Random(5)
+    train = [lm_tokens(" ".join(rng.choice("abcde") for _ in range(rng.randrange(30)))) for _ in range(40)]
+    grams, *_, p = spec_lm(train)
+    words = {g[0] for g in grams if len(g) == 1} | {b"unknown"}
+    for context in [(), (b"a",), (b"a", b"b"), (b"e", b"e")]:
+        assert sum(p(w, context) for w in words) == pytest.approx(1)
+
+
+def test_lm_query_holds_its_contract(spark, tmp_path):
+    """The query on a written table: held-out rows teach nothing; counts by a plain version."""
+    rng = random.Random(8)
+    rows = [(i, words(rng, rng.randrange(30), "abc"), "en", "a") for i in range(80)] + ODD
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.queries()["op4_lm_scoring"](spark, str(tmp_path)).collect()
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 if i is not None else False for i, *_ in rows}
+    train = [lm_tokens(t) for i, t, *_ in rows if not held[i]]
+    known = {t for x in train for t in x}
+    plain = sorted((str(i), held[i], len(lm_tokens(t)), sum(w in known for w in lm_tokens(t)), sum(map(len, train))) for i, t, *_ in rows)
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in got) == plain
+    assert all(r.score <= 0 and r.base_score <= 0 for r in got)
 
 
 def test_lm_edges(spark):
-    model, vocabulary = lm.train(frame(spark, []))
-    got = lm.score(frame(spark, ODD), model, vocabulary).collect()
+    got = lm.score(frame(spark, ODD).withColumn("held", F.lit(False)), "held").collect()
     assert len(got) == len(ODD) and all(r.score == 0 and r.n_known == 0 and r.train_tokens == 0 for r in got)
-    assert lm.score(frame(spark, []), model, vocabulary).collect() == []
+    assert lm.score(frame(spark, []).withColumn("held", F.lit(True)), "held").collect() == []
 
 
 # --- op5 -------------------------------------------------------------------------------------
