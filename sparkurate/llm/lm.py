@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from sparkurate.llm import common
 
 #: Bytes of text in a chunk.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Bytes of text for each bucket: some million keys.
 BUCKET = 4 << 20
 _BLOCK = 1 << 20
@@ -143,11 +143,14 @@ class Traversal:
         keys[:n] |= _U(1)
         keys[n : n + len(self.bigram)] |= _U(2)
         keys[n + len(self.bigram) :] |= _U(3)
+        del hashes, at, tokens, two, three
         order = np.argsort(keys)
-        new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
-        self.keys = keys[order[new]]
-        self.place = np.empty(len(keys), np.int64)
-        self.place[order] = np.cumsum(new) - 1
+        in_order = keys[order]
+        new = np.append(True, in_order[1:] != in_order[:-1])
+        self.keys = in_order[new]
+        del in_order, keys
+        self.place = np.empty(len(order), np.int32)
+        self.place[order] = np.cumsum(new, dtype=np.int32) - 1
 
     def own_counts(self, train: np.ndarray) -> np.ndarray:
         """How often the texts that are marked have each key."""
@@ -158,7 +161,7 @@ class Traversal:
 
     def scores(self, counts: np.ndarray, total: int, distinct: int, mass: dict[int, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """n_known, base score and score of each text, from the counts of the keys."""
-        seen = counts[self.place].astype(float)
+        seen = counts.astype(float)[self.place]
         n, cut = int(self.n_tokens.sum()), len(self.bigram)
         one, two, three = seen[:n], np.zeros(n), np.zeros(n)
         two[self.bigram], three[self.trigram] = seen[n : n + cut], seen[n + cut :]
