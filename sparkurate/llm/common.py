@@ -82,6 +82,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def broadcast_up_to(table: DataFrame, rows: int) -> DataFrame:
+    """A materialised table, marked for broadcast if it has no more than so many rows."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def mark() -> int:
     """The place from which discard_since() removes tables."""
     return len(_written)

@@ -10,14 +10,20 @@ longest stem with evidence; a stem's come from the tokens that have none of thei
 SPREAD or more that agree. Every occurrence of a token counts in the scan.
 
 A text's scores are log-odds less DRIFT. One left-to-right pass finds all maximal scoring
-segments in linear time (each is kept as a candidate until a better one contains it). Since
-every token without evidence has the same score, only tokens with evidence are visited.
-Under the null a segment of score S comes up in m tokens about m exp(-S) times; the sum of
-the significant segments' S less log m goes through a logistic curve fitted on the sample.
+segments. A candidate knows the last one before it that starts lower, so what a search has passed
+over is never looked at again: time is linear in the tokens. Since every token without evidence
+has the same score, only tokens with evidence are visited.
+
+Under the null the best segment of m tokens is below S with probability exp(-K m exp(-lambda S)).
+K and lambda are the most likely ones for the clean documents of the sample, where a document
+without any segment counts as censored. A segment's normalised score is lambda S - log(K m);
+it is significant if it is expected less than SIGNIFICANT times in a text, and all significant ones
+are returned. A text's statistic is their sum, or else the best one's score; a logistic curve fitted
+on the sample turns it into the score.
 
 Edge cases: null and empty texts have no segments; with no toxic or no clean training row
 every score is 0. Labels other than 0 and 1 are ignored; of several labels for a document
-the largest holds.
+the largest holds, and of several texts of one id the least one is learned from.
 """
 
 from __future__ import annotations
@@ -25,8 +31,6 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +42,7 @@ from sparkurate.llm import common
 
 MAX_TRAIN_DOCS = 20_000
 #: Lengths of a token's starts that are features too, longest first; the first one with evidence speaks.
-STEMS = (4,)
+STEMS = (7, 6, 5, 4)
 #: From so many tokens with evidence of one sign on, these speak for their stem too.
 SPREAD = 3
 PRIOR = 1000.0
@@ -47,72 +51,123 @@ Z = 3.2
 MIN_ODDS = 3.0
 MOST = 30.0
 DRIFT = 0.05
+#: How often a segment may be expected in a clean text to be called significant.
+SIGNIFICANT = 0.05
 THRESHOLD = 0.7
 FLUSH = 1 << 18
+#: Tokens whose log-odds a worker remembers, and their greatest length.
+RECENT = 1 << 18
+RECENT_LENGTH = 32
 _SAMPLE = 1 << 20
 _token = re.compile(r"[^\W_]+").findall
 
 
+def maximal_segments(found: list[tuple[int, float]]) -> list[tuple[int, int, float]]:
+    """Every maximal scoring segment (first token, end, score) of tokens with evidence, others at -DRIFT."""
+    # A candidate: first, end, total before it, total after it, the last candidate that starts lower.
+    kept: list[tuple[int, int, float, float, int]] = []
+    total, at = 0.0, 0
+    for i, s in found:
+        total -= DRIFT * (i - at)
+        at, left = i + 1, total
+        total += s - DRIFT
+        if s <= DRIFT:
+            continue
+        first, right, k = i, total, len(kept) - 1
+        while True:
+            while k >= 0 and kept[k][2] >= left:
+                k = kept[k][4]
+            if k < 0 or kept[k][3] >= right:
+                break
+            first, _, left, _, lower = kept[k]
+            del kept[k:]
+            k = lower
+        kept.append((first, at, left, right, k))
+    return [(a, b, right - left) for a, b, left, right, _ in kept]
+
+
 @dataclass
 class Model:
     words: dict[str, float]
     stems: dict[str, float]
     slope: float = 0.0
     offset: float = -50.0
+    decay: float = 1.0
+    rate: float = 1.0
+
+    def odds(self, token: str) -> float:
+        """Log-odds of a token; 0 without evidence."""
+        s = self.words.get(token)
+        if s is None:
+            for n in STEMS:
+                s = self.stems.get(token[:n])
+                if s is not None:
+                    break
+        return s or 0.0
 
     def evidence(self, text: str) -> tuple[list[tuple[int, float]], int]:
         """Places and log-odds of the tokens that have any; the number of tokens."""
         tokens = _token(text.lower())
-        words, stems, found = self.words, self.stems, []
+        known = self.__dict__.setdefault("_recent", {})
+        found = []
         for i, t in enumerate(tokens):
-            s = words.get(t)
+            s = known.get(t)
             if s is None:
-                for n in STEMS:
-                    s = stems.get(t[:n])
-                    if s is not None:
-                        break
+                s = self.odds(t)
+                if len(t) <= RECENT_LENGTH:
+                    if len(known) >= RECENT:
+                        known.clear()
+                    known[t] = s
             if s:
                 found.append((i, s))
         return found, len(tokens)
 
     def segments(self, text: str) -> tuple[list[tuple[int, int, float]], int]:
-        """Every maximal scoring segment: first token, end, score; the number of tokens."""
+        """Every maximal scoring segment and the number of tokens."""
         found, n = self.evidence(text)
-        # A candidate is (first, end, total before it, total after it).
-        kept: list[tuple[int, int, float, float]] = []
-        total, at = 0.0, 0
-        for i, s in found:
-            total -= DRIFT * (i - at)
-            at, before = i + 1, total
-            total += s - DRIFT
-            if s <= DRIFT:
-                continue
-            first, end, left, right = i, i + 1, before, total
-            k = len(kept) - 1
-            while k >= 0:
-                if kept[k][2] >= left:
-                    k -= 1  # it can't be extended to the right past a lower start
-                    continue
-                if kept[k][3] >= right:
-                    break
-                first, left = kept[k][0], kept[k][2]
-                del kept[k:]
-                k = len(kept) - 1
-            kept.append((first, end, left, right))
-        return [(a, b, right - left) for a, b, left, right in kept], n
-
-    def statistic(self, text: str) -> float:
-        """log of how unlikely the significant segments are by chance; 0: nothing found."""
-        segments, n = self.segments(text)
-        if not segments:
-            return 0.0
-        chance = math.log(n + 1)
-        best = max(s for _, _, s in segments)
-        return min(MOST, max(best, sum(s - chance for _, _, s in segments if s > chance) + chance) - 0.5 * chance)
+        return maximal_segments(found), n
 
-    def score(self, text: str) -> float:
-        x = self.slope * self.statistic(text) + self.offset
-        return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, x)))) if self.words or self.stems else 0.0
+    def judged(self, segments: list[tuple[int, int, float]], n: int) -> tuple[float, list[tuple[int, int, float]]]:
+        """The statistic of a text of n tokens with these segments, and the significant ones of them."""
+        if not segments:
+            return 0.0, []
+        chance = math.log(self.rate * (n + 1))
+        least = chance - math.log(SIGNIFICANT)
+        sure = [x for x in segments if self.decay * x[2] > least]
+        best = max(self.decay * x[2] for x in sure or segments) - chance
+        return min(MOST, max(best, sum(self.decay * x[2] - chance for x in sure))), sure
+
+    def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
+        """The score from 0 to 1 and the significant segments."""
+        statistic, sure = self.judged(*self.segments(text))
+        x = self.slope * statistic + self.offset
+        return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, x)))) if self.words or self.stems else 0.0, sure
+
+
+def fit_extremes(best: np.ndarray, tokens: np.ndarray, texts: np.ndarray) -> tuple[float, float]:
+    """lambda and K of the best segments' scores, each of so many texts and tokens in all; 0 is none.
+
+    P(best <= x) = exp(-K tokens exp(-lambda x)). Texts without a segment are censored at the least
+    score that any has. K has a closed form for each lambda; lambda is bisected.
+    """
+    some = best > 0
+    n, censored = texts[some].sum(), tokens[~some].sum()
+    if not n:
+        return 1.0, 1.0 / max(1.0, censored)
+    least = best[some].min()
+    s, m, w = best[some] - least, tokens[some], texts[some]
+
+    def rate(decay: float) -> float:
+        return n / (censored + (m * np.exp(-decay * s)).sum())
+
+    low, high = 1e-3, 50.0
+    for _ in range(60):
+        decay = math.sqrt(low * high)
+        if n / decay - (w * s).sum() + rate(decay) * (m * s * np.exp(-decay * s)).sum() > 0:
+            low = decay
+        else:
+            high = decay
+    return high, rate(high) * math.exp(high * least)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -133,10 +188,13 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
     sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Model({}, {})
+    began = common.mark()
     bound = F.when(F.col("toxic") == 1, int(_SAMPLE * min(1.0, max_train_docs / sizes[1]))).otherwise(int(_SAMPLE * min(1.0, max_train_docs / sizes[0])))
     chosen = marked.where(F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(_SAMPLE)) < bound)
-    # About 2 x max_train_docs ids of a few bytes: the bound of this broadcast.
-    sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    # 2 x max_train_docs ids in expectation; looked at before they are broadcast.
+    chosen = common.broadcast_up_to(common.materialize(chosen), 4 * max_train_docs)
+    found = docs.select("doc_id", "text").where("text is not null").join(chosen, "doc_id")
+    sample = common.materialize(found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic"))
     common.ship(docs.sparkSession)
 
     def rows(seen: dict[str, int]) -> pa.RecordBatch:
@@ -156,7 +214,6 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
                     seen = {}
         yield rows(seen)
 
-    began = common.mark()
     features = common.materialize(sample.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     n0, n1 = features.where("feature like 'w%'").agg(F.coalesce(F.sum("clean"), F.lit(0)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n0 or not n1:
@@ -185,19 +242,34 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
             stems[stem["feature"][1:]] = odds
     words = {w: r["odds"] for w, r in words.items()}
     if stems:  # what clean documents have of a stem's tokens stays out of it
-        starts = [F.substring("feature", 2, n).isin(*[x for x in stems if len(x) == n]) for n in STEMS if any(len(x) == n for x in stems)]
-        clean = features.where((F.col("feature").startswith("w")) & (F.col("clean") > 0) & reduce(or_, starts)).select("feature").toArrow()
-        words = {w[1:]: 0.0 for w in clean["feature"].to_pylist()} | words
+        starts = docs.sparkSession.createDataFrame([(x,) for x in stems], "start string")
+        tokens = features.where((F.col("feature").startswith("w")) & (F.col("clean") > 0)).select(F.substring("feature", 2, 1 << 30).alias("token"))
+        under_one = tokens.withColumn("start", F.explode(F.array(*[F.substring("token", 1, n) for n in STEMS]))).join(F.broadcast(starts), "start", "left_semi")
+        words = dict.fromkeys(under_one.select("token").toArrow()["token"].to_pylist(), 0.0) | words
     model = Model(words, stems)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches):
         own = shared.value
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([own.statistic(t) for t in common.texts_of(batch)], pa.float64()), common.column_of(batch, "toxic")], names=["x", "toxic"])
+            best, tokens = [], []
+            for text in common.texts_of(batch):
+                segments, n = own.segments(text)
+                best.append(max((x[2] for x in segments), default=0.0))
+                tokens.append(n + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(best, pa.float64()), pa.array(tokens, pa.int64()), common.column_of(batch, "toxic")], names=["best", "tokens", "toxic"])
+
+    # Equal scores are counted together: most clean texts have none.
+    clean = sample.where("toxic = 0").mapInArrow(measure, "best double, tokens long, toxic int").groupBy(F.round("best", 1).alias("best")).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).toArrow()
+    model.decay, model.rate = fit_extremes(*[np.array(clean[k].to_pylist(), float) for k in ("best", "tokens", "n")])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def statistics(batches):
+        own = shared.value
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([own.judged(*own.segments(t))[0] for t in common.texts_of(batch)], pa.float64()), common.column_of(batch, "toxic")], names=["x", "toxic"])
 
-    # Equal statistics are counted together: most clean texts have none.
-    points = sample.mapInArrow(measure, "x double, toxic int").groupBy(F.round("x", 1).alias("x")).agg(F.sum("toxic").alias("ones"), F.count("*").alias("n")).toArrow().to_pydict()
+    points = sample.mapInArrow(statistics, "x double, toxic int").groupBy(F.round("x", 1).alias("x")).agg(F.sum("toxic").alias("ones"), F.count("*").alias("n")).toArrow().to_pydict()
     x = np.repeat(np.array(points["x"] * 2), np.array(points["ones"] + [n - o for n, o in zip(points["n"], points["ones"], strict=True)]))
     y = np.repeat([1.0, 0.0], [sum(points["ones"]), sum(points["n"]) - sum(points["ones"])])
     model.slope, model.offset = fit_logistic(x, y)
@@ -206,7 +278,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score, segments array<struct<first, end, score>> (in tokens) of every row's whole text."""
+    """doc_id, score, segments array<struct<first, end, score>> (in tokens): the significant ones of the whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     segment = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())])
     schema = T.StructType([common.id_field(docs), T.StructField("score", T.DoubleType()), T.StructField("segments", T.ArrayType(segment))])
@@ -216,9 +288,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         own = shared.value
 
         def step(batch):
-            texts = common.texts_of(batch)
-            spans = [[{"first": a, "end": b, "score": s} for a, b, s in own.segments(t)[0]] for t in texts]
-            return pa.RecordBatch.from_arrays([common.column_of(batch, "doc_id"), pa.array([own.score(t) for t in texts], pa.float64()), pa.array(spans, arrow)], names=["doc_id", "score", "segments"])
+            made = [own.score(t) for t in common.texts_of(batch)]
+            spans = [[{"first": a, "end": b, "score": s} for a, b, s in found] for _, found in made]
+            return pa.RecordBatch.from_arrays([common.column_of(batch, "doc_id"), pa.array([s for s, _ in made], pa.float64()), pa.array(spans, arrow)], names=["doc_id", "score", "segments"])
 
         return step
 
@@ -243,6 +315,6 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def start():
         own = shared.value
-        return lambda batch: batch.filter(pa.array([own.score(t) < THRESHOLD for t in common.texts_of(batch)]))
+        return lambda batch: batch.filter(pa.array([own.score(t)[0] < THRESHOLD for t in common.texts_of(batch)]))
 
     return common.map_rows(docs, start, docs.schema)

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -414,9 +415,11 @@ def test_mixing_edges(spark):
 def test_segments_match_brute_force():
     rng = random.Random(12)
     for _ in range(400):
-        scores = [rng.choice([0, 0, -2.0, 1.5, 3.0, -4.0]) for _ in range(rng.randrange(0, 14))]
-        model = toxicity.Model({f"w{i}": s for i, s in enumerate(scores) if s}, {})
-        got, n = model.segments(" ".join(f"w{i}" for i in range(len(scores))))
+        odds = {"a": 0, "b": 0, "c": -2.0, "d": 1.5, "e": 3.0, "f": -4.0}
+        text = [rng.choice("abcdef") for _ in range(rng.randrange(0, 14))]
+        scores = [odds[t] for t in text]
+        model = toxicity.Model({t: s for t, s in odds.items() if s}, {})
+        got, n = model.segments(" ".join(text))
         values = [s - toxicity.DRIFT for s in scores]
 
         def best(low, high):
@@ -438,7 +441,43 @@ def test_segments_of_repeated_passages():
     late = f"bad {filler}worse {filler}bad worse bad worse"
     segments, n = model.segments(late)
     assert segments[-1][:2] == (n - 4, n) and segments[-1][2] == pytest.approx(4 * (4.0 - toxicity.DRIFT))
-    assert model.statistic(late) > model.statistic(f"bad {filler}worse {filler}")
+    assert model.judged(segments, n)[0] > model.judged(*model.segments(f"bad {filler}worse {filler}"))[0]
+
+
+def test_segments_take_linear_time():
+    """Candidates that can't be extended aren't walked again: ten times the features, some ten times the steps."""
+    took = []
+    for n in (20_000, 200_000):
+        began = time.perf_counter()
+        found = toxicity.maximal_segments([(i, 3.0 if i % 2 else -3.5) for i in range(n)])
+        took.append(time.perf_counter() - began)
+        assert len(found) == n // 2
+    assert took[1] < 40 * took[0]
+
+
+def test_extremes_are_recovered():
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(50, 2000, 40_000).astype(float)
+    best = (np.log(0.05 * tokens) - np.log(-np.log(rng.random(len(tokens))))) / 0.7
+    best[best < 3] = 0  # what is under 3 isn't seen: treated as nothing found, the rest decides
+    decay, rate = toxicity.fit_extremes(best, tokens, np.ones(len(tokens)))
+    assert decay == pytest.approx(0.7, rel=0.1) and rate == pytest.approx(0.05, rel=0.35)
+    assert toxicity.fit_extremes(np.zeros(2), np.array([10.0, 30.0]), np.ones(2)) == (1.0, 1 / 40)
+
+
+def test_toxicity_returns_significant_segments(spark):
+    """Only segments that are rare in clean text are returned, all of them, with the same score as the whole's."""
+    model = toxicity.Model({"bad": 6.0, "worse": 6.0, "odd": 2.0}, {}, 1.0, -5.0, 0.8, 0.01)
+    text = "bad worse " + "plain " * 200 + "odd " + "plain " * 200 + "worse bad worse"
+    got = toxicity.score(frame(spark, [(1, text, None, None)]), model).collect()[0]
+    assert [(x["first"], x["end"]) for x in got.segments] == [(0, 2), (403, 406)] and got.score == pytest.approx(model.score(text)[0])
+
+
+def test_toxicity_repeated_ids_teach_once(spark):
+    rows = [(i % 4, f"{'nasty' if i % 2 else 'nice'} word{i % 4}", None, None) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, toxic int")
+    once = toxicity.train(frame(spark, rows[:4]), labels)
+    assert toxicity.train(frame(spark, rows), labels) == once
 
 
 def test_toxicity_held_out(spark):
