@@ -1,12 +1,14 @@
 """Quality rules: adaptive thresholds from mergeable quantile sketches per language and source.
 
-Each whole text gives integer measures and rates per thousand. A sketch of a rate is its
-number of documents by bucket: buckets are exact below 64 and have a relative width of 1/32
+Each whole text gives integer measures and rates per thousand. A sketch of a rate or length is
+its number of documents by bucket: buckets are exact below 64 and have a relative width of 1/32
 above, so sketches merge by addition, in any order, with the same result. Each language and
-source gets its own sketch; those of fewer than MIN_DOCS documents give way to the merged
-sketch of the language, and that to the one of all documents. A document is kept if it passes
-the base rules and no rate is above its group's fence, the upper quartile and REACH quartile
-distances more, at least the rate's floor over the median.
+source gets its own sketches; those of fewer than MIN_DOCS documents give way to the merged
+sketches of the language, and those to the ones of all documents. A document is kept if it passes
+the base rules and no rate is above its group's fence: the upper quartile and REACH spreads more.
+A spread is the distance of the quartiles, or what one event (EVENTS) changes in the rate of a
+text of the group's median length, if that is more: a rate that most documents have at 0 has no
+other scale. All of a fence comes from the group's sketches.
 
 Edge cases: null and empty texts have no words, fail the base rules and don't enter a sketch.
 A null language or source counts as the empty one.
@@ -24,8 +26,9 @@ from pyspark.sql import types as T
 
 from sparkurate.llm import common
 
-#: Floors: how far over the median a rate (per thousand words or lines) may be in any case.
-FLOORS = {"symbols": 150, "dup_lines": 400, "repeats": 400, "word_length": 6000}
+#: Each rate's least event, as a number of what it counts, and the length that it is a rate of.
+EVENTS = {"symbols": (1, "words"), "dup_lines": (1, "lines"), "repeats": (6, "words"), "word_length": (1, "words")}
+#: How many spreads over the upper quartile a fence is.
 REACH = 6
 MIN_DOCS = 50
 MIN_WORDS = 50
@@ -95,9 +98,10 @@ def bucket_of(value: str) -> str:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """lang, source, rate, bucket, n: one sketch for each language, source and rate."""
-    stacked = ", ".join(f"'{k}', {k}" for k in rates())
-    long = measured.where("n_words > 0").select("lang", "source", *[v.alias(k) for k, v in rates().items()]).selectExpr("lang", "source", f"stack({len(rates())}, {stacked}) as (rate, value)")
+    """lang, source, rate, bucket, n: one sketch for each language, source and rate or length."""
+    values = rates() | {"words": F.col("n_words"), "lines": F.col("n_lines")}
+    stacked = ", ".join(f"'{k}', `{k}`" for k in values)
+    long = measured.where("n_words > 0").select("lang", "source", *[v.alias(k) for k, v in values.items()]).selectExpr("lang", "source", f"stack({len(values)}, {stacked}) as (rate, value)")
     return long.groupBy("lang", "source", "rate", F.expr(bucket_of("value")).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -107,21 +111,27 @@ def merge(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def fences(sketch: DataFrame, *keys: str) -> DataFrame:
-    """For each of keys: n_docs and a fence for each rate, from the sketch's quartiles."""
+    """For each of keys: n_docs and a fence for each rate, from the sketches' quartiles."""
     by = Window.partitionBy(*keys, "rate")
     # The lowest value of a bucket stands for it.
     value = F.expr("CASE WHEN bucket < 64 THEN bucket ELSE shiftleft(32L + (bucket - 64) % 32, 1 + (bucket - 64) div 32) END")
     ranked = sketch.withColumns({"value": value, "upto": F.sum("n").over(by.orderBy("bucket")), "total": F.sum("n").over(by)})
-    quartile = {k: F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("value"))) for k in (1, 2, 3)}
-    per_rate = ranked.groupBy(*keys, "rate").agg(F.max("total").alias("n_docs"), *[quartile[k].alias(f"q{k}") for k in quartile])
-    floor = F.create_map(*[F.lit(x) for pair in FLOORS.items() for x in pair])[F.col("rate")]
-    fence = F.greatest(F.col("q3") + REACH * (F.col("q3") - F.col("q1")), F.col("q2") + floor)
-    return per_rate.withColumn("fence", fence).groupBy(*keys).agg(F.max("n_docs").alias("n_docs"), *[F.max(F.when(F.col("rate") == r, F.col("fence"))).alias(f"{r}_fence") for r in FLOORS])
+
+    def quartile(rate: str, k: int) -> Column:
+        return F.min(F.when((F.col("rate") == rate) & (F.col("upto") * 4 >= F.col("total") * k), F.col("value")))
+
+    found = ranked.groupBy(*keys).agg(
+        F.max("total").alias("n_docs"),
+        *[quartile(r, k).alias(f"{r}_q{k}") for r in EVENTS for k in (1, 3)],
+        *[quartile(r, 2).alias(f"{r}_q2") for r in ("words", "lines")],
+    )
+    made = [F.expr(f"{r}_q3 + {REACH} * greatest({r}_q3 - {r}_q1, {1000 * n} div {length}_q2)").alias(f"{r}_fence") for r, (n, length) in EVENTS.items()]
+    return found.select(*keys, "n_docs", *made)
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """lang, source and a fence for each rate, from the group's sketch or a merged one."""
-    names = [f"{r}_fence" for r in FLOORS]
+    names = [f"{r}_fence" for r in EVENTS]
 
     def level(*keys: str, tag: str) -> DataFrame:
         found = fences(merge(sketch, *keys), *keys)
@@ -146,7 +156,7 @@ def judge(docs: DataFrame) -> DataFrame:
     within = F.lit(True)
     for name, rate in rates().items():
         within = within & F.when(F.col("n_words") > 0, rate <= F.col(f"{name}_fence")).otherwise(False)
-    return judged.select("doc_id", *MEASURES[:5], base_failed.alias("base_failed"), (~base_failed & within).alias("kept"), "n_lines", "lang", "source", *[f"{r}_fence" for r in FLOORS])
+    return judged.select("doc_id", *MEASURES[:5], base_failed.alias("base_failed"), (~base_failed & within).alias("kept"), "n_lines", "lang", "source", *[f"{r}_fence" for r in EVENTS])
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -159,7 +169,7 @@ def oracle() -> str:
     high = "(length(bin(value)) - 1)"
     bucket = f"CASE WHEN value < 64 THEN value ELSE 32 * {high} - 160 + (value >> ({high} - 5)) END"
     value = "CASE WHEN bucket < 64 THEN bucket ELSE (32 + (bucket - 64) % 32) << (1 + (bucket - 64) // 32) END"
-    floor = "CASE rate " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in FLOORS.items()) + " END"
+    made = ", ".join(f"q3['{r}'] + {REACH} * greatest(q3['{r}'] - q1['{r}'], {1000 * n} // q2['{length}']) AS {r}_fence" for r, (n, length) in EVENTS.items())
 
     def level(name: str, keys: str) -> str:
         k = f"{keys}, " if keys else ""
@@ -167,9 +177,9 @@ def oracle() -> str:
 {name}_counts AS (SELECT {k}rate, bucket, {value} AS v, count(*) AS n FROM bucketed GROUP BY ALL),
 {name}_ranked AS (SELECT *, sum(n) OVER (PARTITION BY {k}rate ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {k}rate) AS total FROM {name}_counts),
 {name}_quartiles AS (SELECT {k}rate, max(total) AS n_docs, min(v) FILTER (upto * 4 >= total) AS q1, min(v) FILTER (upto * 4 >= total * 2) AS q2, min(v) FILTER (upto * 4 >= total * 3) AS q3 FROM {name}_ranked GROUP BY {k}rate),
-{name}_fences AS (SELECT {k}max(n_docs) AS n_docs, {", ".join(f"max(greatest(q3 + {REACH} * (q3 - q1), q2 + {floor})) FILTER (rate = '{r}') AS {r}_fence" for r in FLOORS)} FROM {name}_quartiles {"GROUP BY " + keys if keys else ""})"""
+{name}_fences AS (SELECT {k}n_docs, {made} FROM (SELECT {k}max(n_docs) AS n_docs, {", ".join(f"map(list(rate), list(q{i})) AS q{i}" for i in (1, 2, 3))} FROM {name}_quartiles {"GROUP BY " + keys if keys else ""}))"""
 
-    pick = ", ".join(f"CASE WHEN o.n_docs >= {MIN_DOCS} THEN o.{r}_fence WHEN l.n_docs >= {MIN_DOCS} THEN l.{r}_fence ELSE a.{r}_fence END AS {r}_fence" for r in FLOORS)
+    pick = ", ".join(f"CASE WHEN o.n_docs >= {MIN_DOCS} THEN o.{r}_fence WHEN l.n_docs >= {MIN_DOCS} THEN l.{r}_fence ELSE a.{r}_fence END AS {r}_fence" for r in EVENTS)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
@@ -179,12 +189,12 @@ repeated AS (SELECT rid, count(DISTINCT p + s) AS n FROM again, (VALUES (0), (1)
 m AS (SELECT w.rid, doc_id, lang, source, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines
   FROM w LEFT JOIN repeated ON w.rid = repeated.rid),
-r AS (SELECT lang, source, {", ".join(f"{v} AS {k}" for k, v in rate.items())} FROM m WHERE n_words > 0),
-bucketed AS (SELECT lang, source, rate, {bucket} AS bucket FROM (UNPIVOT r ON {", ".join(rate)} INTO NAME rate VALUE value)),
+r AS (SELECT lang, source, {", ".join(f"{v} AS {k}" for k, v in rate.items())}, n_words AS words, n_lines AS lines FROM m WHERE n_words > 0),
+bucketed AS (SELECT lang, source, rate, {bucket} AS bucket FROM (UNPIVOT r ON {", ".join(rate)}, words, lines INTO NAME rate VALUE value)),
 {level("own", "lang, source")}, {level("lang", "lang")}, {level("all", "")},
 t AS (SELECT o.lang, o.source, {pick} FROM own_fences o JOIN lang_fences l ON o.lang = l.lang CROSS JOIN all_fences a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
   NOT base_failed AND n_words > 0 AND {" AND ".join(f"{v} <= {k}_fence" for k, v in rate.items())} AS kept,
-  {", ".join(f"{r}_fence::BIGINT AS {r}_fence" for r in FLOORS)}
+  {", ".join(f"{r}_fence::BIGINT AS {r}_fence" for r in EVENTS)}
 FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m) LEFT JOIN t USING (lang, source)
 """

@@ -85,6 +85,33 @@ def test_sketches_merge_exactly(spark):
     assert not kept[999].kept and not kept[999].base_failed and sum(r.kept for r in kept.values()) == 200
 
 
+def test_fences_follow_their_group(spark):
+    """Each fence is the plain formula over its own group's values; the same text is judged by its source."""
+    rng = random.Random(21)
+    code = [(i, words(rng, 60) + " #" * rng.randrange(10, 30), "en", "code") for i in range(120)]
+    prose = [(i, words(rng, 60) + " #" * (rng.random() < 0.1), "en", "prose") for i in range(200, 320)]
+    both = [(i, words(rng, 60) + " #" * 25, "en", s) for i, s in ((900, "code"), (901, "prose"))]
+    got = {r.doc_id: r for r in quality.judge(frame(spark, code + prose + both)).collect()}
+    assert got[900].kept and not got[901].kept
+
+    def plain(rows, rate, event, length):
+        made = [dict(zip(quality.MEASURES, quality.measure(t), strict=True)) for _, t, *_ in rows]
+
+        def quartile(values, k):  # the least value that k quarters of all are up to, as its bucket has it
+            x = sorted(values)[math.ceil(len(values) * k / 4) - 1]
+            return x if x < 64 else x >> (x.bit_length() - 6) << (x.bit_length() - 6)
+
+        values = [rate(m) for m in made]
+        spread = max(quartile(values, 3) - quartile(values, 1), 1000 * event // quartile([m[length] for m in made], 2))
+        return quartile(values, 3) + quality.REACH * spread
+
+    for rows, r in ((code + both[:1], got[900]), (prose + both[1:], got[901])):
+        assert r.symbols_fence == plain(rows, lambda m: 1000 * m["n_symbols"] // m["n_words"], 1, "n_words")
+        assert r.repeats_fence == plain(rows, lambda m: 1000 * m["n_repeat_words"] // m["n_words"], 6, "n_words")
+        assert r.dup_lines_fence == plain(rows, lambda m: 1000 * m["n_dup_lines"] // m["n_lines"], 1, "n_lines")
+        assert r.word_length_fence == plain(rows, lambda m: 1000 * m["word_chars"] // m["n_words"], 1, "n_words")
+
+
 def test_quality_edges(spark):
     got = quality.judge(frame(spark, ODD)).collect()
     assert len(got) == len(ODD) and all(r.base_failed and not r.kept for r in got)
