@@ -311,19 +311,96 @@ def test_text_of_copied_pages_stays(spark):
 
 
 def test_paths_outside_the_main_text():
-    for path in ("nav/ul/li", "article.post/div.share-box", "div#comments/p", "main/aside/p", "article/header/h1", "div.ad"):
+    for path in ("nav/ul/li", "header/p", "div#comments/p", "main/aside/p", "div.ad", "article/footer/p", "article/div.ad"):
         assert wrappers._aside(path), path
-    for path in ("article.has-sidebar/p", "div.with-sidebar/main/p", "div.content/p", "article/div.download/p"):
+    for path in ("article.has-sidebar/p", "div.with-sidebar/main/p", "div.content/p", "article/div.download/p", "article/header/h1", "article/section.related-work/p", "article/div.copyright-law/p"):
         assert not wrappers._aside(path), path
 
 
+def test_unclosed_elements_lose_nothing():
+    for name in ("button", "select", "object", "svg", "textarea", "script", "iframe"):
+        got = [t for _, t, _ in wrappers.blocks(f"<p>one</p><{name}>go<p>two</p><p>three</p>")]
+        assert got == ["one", "two", "three"], name
+        assert [t for _, t, _ in wrappers.blocks(f"<p>one</p><{name}>go</{name}><p>two</p>")] == ["one", "two"], name
+    assert [t for _, t, _ in wrappers.blocks("<button>a<p>x</p><button>b</button><p>y</p>")] == ["x", "y"]
+
+
+def wrapper_of(stream):
+    return [wrappers.Node(s, r, False, [(1, 1, 1, 0, 0, 1)] * len(s), 1) for s, r, _, _ in wrappers.fold(list(stream))]
+
+
 def test_alignment():
-    def wrapper(*symbols):
-        return [wrappers.Node(s, r, False, 1, 1, 1, 1) for s, r, _, _ in wrappers.fold(list(symbols))]
+    assert wrappers.expression(wrapper_of("abbcdcd")) == "(a) (b)+ (c d)+"
+    assert wrappers.expression(wrappers.align(wrapper_of("abbc"), wrapper_of("abxc"))) == "(a) (b)+ (x)? (c)"
+    assert wrappers.expression(wrappers.align(wrapper_of("ac"), wrapper_of("abbc"))) == "(a) (b)* (c)"
 
-    assert wrappers.expression(wrapper("a", "b", "b", "c", "d", "c", "d")) == "(a) (b)+ (c d)+"
-    assert wrappers.expression(wrappers.align(wrapper("a", "b", "b", "c"), wrapper("a", "b", "x", "c"))) == "(a) (b)+ (x)? (c)"
-    assert wrappers.expression(wrappers.align(wrapper("a", "c"), wrapper("a", "b", "b", "c"))) == "(a) (b)* (c)"
+
+def test_wrappers_match_every_stream_they_come_from():
+    """As a plain regular expression, a wrapper matches each of its pages; alignments are common subsequences."""
+    rng = random.Random(13)
+    for _ in range(300):
+        streams = ["".join(rng.choice("abcde") for _ in range(rng.randrange(0, 12))) for _ in range(rng.randrange(1, 5))]
+        whole = wrapper_of(streams[0])
+        for stream in streams[1:]:
+            whole = wrappers.align(whole, wrapper_of(stream))
+        expression = wrappers.expression(whole).replace(" ", "")
+        assert all(re.fullmatch(expression, x) for x in streams), (streams, expression)
+    for size in (10, 300):
+        for letters in ("ab", "abcdefgh", [str(i) for i in range(400)]):
+            one, other = ([rng.choice(letters) for _ in range(size)] for _ in range(2))
+            found = wrappers.common_places(one, other)
+            assert all(one[i] == other[j] for i, j in found) and all(a < c and b < d for (a, b), (c, d) in zip(found, found[1:], strict=False))
+            if size == 10:
+                best = [[0] * 11 for _ in range(11)]
+                for i in range(10):
+                    for j in range(10):
+                        best[i + 1][j + 1] = best[i][j] + 1 if one[i] == other[j] else max(best[i][j + 1], best[i + 1][j])
+                assert len(found) >= best[10][10] - 3
+
+
+NAMES = ["x1", "x2", "x3", "x4", "x5"]
+
+
+def neutral_page(rng, i, shop):
+    """A page whose names say nothing, and the main text that it was made from."""
+    menu = "".join(f"<li><a href=/{k}>{words(rng, 2)}</a>" for k in range(rng.randrange(3, 8)))
+    parts = [("h1", words(rng, 4))] + [(rng.choice(["p", "p", "p", "blockquote", "h2"]), words(rng, rng.randrange(12, 40))) for _ in range(rng.randrange(3, 9))]
+    body = "".join(f"<{n}>{t}</{n}>" for n, t in parts)
+    page = f"<title>{words(rng, 3)}</title><div class=x1><ul>{menu}</ul></div><div class=x2>{words(rng, 6)}</div><div class=x3 id=k{i}>{body}<div class=x4>{shop}</div></div><div class=x5><p>{words(rng, 5)}</p></div>"
+    return page, "\n\n".join(t for _, t in parts)
+
+
+def test_inference_alone_finds_the_article(spark, tmp_path):
+    """The query against the texts that pages were made from: neutral names, several hosts, copies, odd rows."""
+    rng = random.Random(31)
+    made = {i: (f"https://h{i % 3}.example/{i}", *neutral_page(rng, i, f"Read on in our shop {i % 3}")) for i in range(90)}
+    rows = [(i, url, html) for i, (url, html, _) in made.items()]
+    rows += [(500, made[0][0], made[0][1]), (7, *made[7][:2]), (600, None, None), (601, "https://h0.example/", "")]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for name in ("host", "text", "salt", "matching", "shape", "part"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    docs.write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.queries()["op5_html_extraction"](spark, str(tmp_path)).collect()
+    want = {i: text for i, (_, _, text) in made.items()} | {500: made[0][2], 600: "", 601: ""}
+    assert len(got) == len(rows) and all(r.text == want[r.page_id] and r.n_chars == len(r.text) for r in got)
+
+
+def test_long_pages_and_many_shapes(spark, monkeypatch):
+    """A page of 20,000 different blocks, and more shapes than a task aligns: in three levels here."""
+    rng = random.Random(32)
+    long = "<article>" + "".join(f"<div class=c{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}><p>paragraph {k}</p></div>" for k in range(20_000)) + "</article>"
+    deep = "<article>" + "<div>" * 30_000 + "deep down" + "</div>" * 30_000 + "<p>after</p></article>"
+    rows = [(1, "https://long.example/", long), (2, "https://deep.example/", deep)]
+    rows += [(10 + i, "https://h.example/", f"<nav>Menu</nav><article><h1>T{i}</h1>" + "".join(f"<{rng.choice(['p', 'pre', 'h2', 'blockquote', 'ul'])}>part {k} of {i}" for k in range(9)) + "</article>") for i in range(300)]
+    f = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = common.materialize(wrappers.infer(f, part=16))
+    assert found.count() == 3
+    for limit in (1 << 30, 0):
+        monkeypatch.setattr(wrappers, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(wrappers, "PAGES_A_SALT", 50)
+        got = {r.page_id: r.text.split("\n\n") for r in wrappers.extract(f, found).collect()}
+        assert got[1] == [f"paragraph {k}" for k in range(20_000)] and got[2] == ["deep down", "after"]
+        assert all(got[10 + i] == [f"T{i}"] + [f"part {k} of {i}" for k in range(9)] for i in range(300))
 
 
 # --- op7 and op9 -----------------------------------------------------------------------------
