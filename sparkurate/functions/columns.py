@@ -304,9 +304,9 @@ def assistant_label(messages: Column) -> Column:
 
 
 def json_text(c: Column) -> Column:
-    """A JSON string literal with non-ASCII kept."""
+    """A JSON string literal with non-ASCII kept; null for null."""
     # to_json leaves the slash and non-ASCII alone, as the format wants it.
-    return F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    return F.when(c.isNotNull(), F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1))
 
 
 def json_object(*pairs: tuple[str, Column]) -> Column:

@@ -11,9 +11,18 @@ from sparkurate import schemas
 from sparkurate.functions import columns as C
 from sparkurate.functions import values as V
 
-STYLES = ("legacy_full_json", "strict_label_only", "strict_label_only_with_taxonomy")
-#: Prompt style and answer style of each ablation variant.
-ABLATION = {"legacy_full_json": ("legacy_full_json", "full_json"), "strict_label_only": ("strict_label_only", "label_only"), "strict_label_only_with_taxonomy": ("strict_label_only_with_taxonomy", "label_only")}
+#: Who is asked how: the parts of each prompt, in order, and what stands between them. A pair is
+#: the text without and with internal unknowns in the catalog; LINES are the catalog's entries.
+LINES, LAST = object(), object()
+PROMPTS = {
+    "legacy_full_json": ("", (V.LEGACY_SYSTEM,), (V.LEGACY_USER,)),
+    "strict_label_only": (" ", (V.CLASSIFY, V.JSON_ONLY, V.OUTPUTS, V.NO_INVENTION), (V.USER, V.USER_FALLBACK)),
+    "strict_label_only_with_taxonomy": ("\n", (V.CLASSIFY, V.JSON_ONLY, V.CHOOSE, V.FALLBACK, V.NO_INVENTION, "Allowed labels:", LINES, LAST), (V.USER, V.USER_FALLBACK)),
+    "desktop": ("\n", (V.CLASSIFY, V.JSON_ONLY, V.CHOOSE, V.FALLBACK[True], V.NO_THINKING, V.NO_INVENTION, "Allowed labels:", LINES), ()),
+}
+STYLES = tuple(PROMPTS)[:3]
+#: The ablation's variants are the prompt styles; only the first answers in full.
+ABLATION = {s: (s, "label_only" if i else "full_json") for i, s in enumerate(STYLES)}
 
 
 def catalog_rows(manifest: Sequence[Sequence[str]], internal: bool = False) -> list[tuple[str, ...]]:
@@ -21,36 +30,27 @@ def catalog_rows(manifest: Sequence[Sequence[str]], internal: bool = False) -> l
     return [tuple(m[:5]) for m in manifest] + [V.UNKNOWN_ENTRY] + (list(V.INTERNAL_ENTRIES) if internal else [])
 
 
-def _internal(catalog: Sequence[Sequence[str]]) -> bool:
-    return any(e[0] in V.INTERNAL_UNKNOWN for e in catalog)
-
-
-def taxonomy_lines(catalog: Sequence[Sequence[str]]) -> list[str]:
-    def line(entry: Sequence[str]) -> str:
-        inside = entry[0] in V.INTERNAL_UNKNOWN
-        return f"- {entry[0]} = {entry[4] if inside else entry[2]}{V.INTERNAL_NOTE if inside else ''}"
-
-    return [line(e) for e in catalog if e[0] != V.UNKNOWN] + [V.LAST_LINE[_internal(catalog)]]
+def render(style: str, turn: int, catalog: Sequence[Sequence[str]]) -> str:
+    """A style's system (1) or user (2) prompt for a catalog."""
+    if style not in PROMPTS:
+        raise ValueError(f"no prompt style {style!r}")
+    notes = {e[0]: (e[4], V.INTERNAL_NOTE) for e in catalog if e[0] in V.INTERNAL_UNKNOWN}
+    texts = []
+    for part in PROMPTS[style][turn]:
+        if part is LINES:
+            texts += ["- {} = {}{}".format(e[0], *notes.get(e[0], (e[2], ""))) for e in catalog if e[0] != V.UNKNOWN]
+        else:
+            choice = V.LAST_LINE if part is LAST else part
+            texts.append(choice[bool(notes)] if isinstance(choice, dict) else choice)
+    return ("" if turn == 2 else PROMPTS[style][0]).join(texts)
 
 
 def system_prompt(style: str, catalog: Sequence[Sequence[str]]) -> str:
-    inside = _internal(catalog)
-    if style == STYLES[0]:
-        return V.LEGACY_SYSTEM
-    if style == STYLES[1]:
-        return " ".join((V.CLASSIFY, V.JSON_ONLY, V.OUTPUTS[inside], V.NO_INVENTION))
-    if style == STYLES[2]:
-        return "\n".join([V.CLASSIFY, V.JSON_ONLY, V.CHOOSE, V.FALLBACK[inside], V.NO_INVENTION, "Allowed labels:", *taxonomy_lines(catalog)])
-    raise ValueError(f"no prompt style {style!r}")
+    return render(style, 1, catalog)
 
 
 def user_prompt(style: str, catalog: Sequence[Sequence[str]]) -> str:
-    return V.LEGACY_USER if style == STYLES[0] else V.USER + V.USER_FALLBACK[_internal(catalog)]
-
-
-def desktop_prompt(catalog: Sequence[Sequence[str]]) -> str:
-    lines = [x for x in taxonomy_lines(catalog)[:-1]]
-    return "\n".join([V.CLASSIFY, V.JSON_ONLY, V.CHOOSE, V.FALLBACK[True], V.NO_THINKING, V.NO_INVENTION, "Allowed labels:", *lines])
+    return render(style, 2, catalog)
 
 
 def mobile_prompt(labels: Sequence[str]) -> str:

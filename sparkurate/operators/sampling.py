@@ -65,6 +65,11 @@ def add_shortages(*parts: DataFrame, label: str = "label_id") -> DataFrame:
     return total.groupBy(label).agg(F.sum("missing").alias("missing"))
 
 
+def shortage_report(short: DataFrame, label: str = "label_id") -> DataFrame:
+    """Shortages in label order with their place; there are no more than labels."""
+    return short.withColumn("place", F.row_number().over(Window.orderBy(label)).cast("long"))
+
+
 def oversample(df: DataFrame, label: str, labels: tuple[str, ...], ids: list[str], extra: int, seed: int = V.SEED, reason: str = "hard_negative_oversample") -> DataFrame:
     """df and, after it, up to ``extra`` rows again of each of the labels, with a reason."""
     if extra <= 0:

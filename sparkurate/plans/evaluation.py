@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkurate.functions import columns as C
 from sparkurate.functions import jsonscan
 from sparkurate.operators import metrics
+from sparkurate.session import scratch_folder
 
 
 def scanned(results: DataFrame) -> DataFrame:
@@ -29,9 +30,11 @@ def evaluate(results: DataFrame, known: DataFrame, mapping: dict[str, str] | Non
     """One row: rates, metrics, per_class map, top_confusions, invalid_examples.
 
     known: label, label_place of the supported labels. Labels collapse after the exact match.
-    The rows are scanned once; everything else comes from the confusion table.
+    The rows are scanned once, to a written table; everything else comes from the confusion table.
     """
-    rows = scanned(results).persist()
+    spark, folder = results.sparkSession, scratch_folder(results.sparkSession)
+    scanned(results).write.parquet(folder)
+    rows = spark.read.parquet(folder)
     pairs = rows.withColumns({"truth": C.collapse(F.col("truth"), mapping), "pred": C.collapse(F.col("pred"), mapping)})
     confused = metrics.confusion(pairs)
     classes = metrics.per_class(confused, known)

@@ -476,37 +476,36 @@ def ordered_string_agg(spark, sf_dir):
 
 # --- free text and JSON ----------------------------------------------------------------------
 
-_ANSWERS = ['{"label_id": "%s"}', 'thinking {"a": 1} then {"label_id": "x"}', "{}", "not json", '{"label_id": "  "}', '{bad} {"label_id": "%s"}', "[1]", '{"label_id": 7}']
-# What the answers hold: their own object or label, by place; %s is the event's type.
-_FOUND = ['{"label_id": "%s"}', '{"a": 1}', "{}", None, '{"label_id": "  "}', '{"label_id": "%s"}', None, '{"label_id": 7}']
-_LABELS = ["%s", "missing_label", "invalid_json", "invalid_json", "missing_label", "%s", "invalid_json", "missing_label"]
+# Answers are made of the events' own JSON and types by one expression that both engines run; DuckDB
+# finds objects by a pattern and reads them with its JSON functions.
+_ANSWER = """CASE event_id % 8 WHEN 0 THEN concat('{"label_id": "', event_type, '"}') WHEN 1 THEN concat('so ', props, ' or {"label_id": "x"}') WHEN 2 THEN props WHEN 3 THEN event_type WHEN 4 THEN '{"label_id": "  "}'
+WHEN 5 THEN concat('{bad} {"label_id": " ', event_type, ' "} ', props) WHEN 6 THEN concat('[', event_id, ']') ELSE concat('{"label_id": ', event_id, '}') END"""
+_OBJECTS = f"""answers AS (SELECT *, {_ANSWER} AS text FROM events), objects AS (SELECT *, nullif(regexp_extract(text, '\\{{"[^{{}}]*\\}}'), '') AS parsed FROM answers),
+read AS (SELECT *, trim(CASE WHEN json_type(parsed, '$.label_id') = 'VARCHAR' THEN json_extract_string(parsed, '$.label_id') ELSE '' END) AS own FROM objects),
+found AS (SELECT *, CASE WHEN parsed IS NULL THEN 'invalid_json' WHEN own = '' THEN 'missing_label' ELSE own END AS label FROM read)"""
 
 
-def _answers(spark, sf_dir, texts=tuple(_ANSWERS)):
-    return table(spark, sf_dir, "events").select("event_id", F.replace(_pick("event_id", list(texts)), F.lit("%s"), F.col("event_type")).alias("text"))
+def _answers(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", "event_type", F.expr(_ANSWER).alias("text"))
 
 
-def _answers_sql(values) -> str:
-    return f"replace({_sql_pick('event_id', values)}, '%s', event_type)"
-
-
-@query(f"SELECT event_id, {_answers_sql(_FOUND)} IS NOT NULL AS valid, {_answers_sql(_FOUND)} AS parsed FROM events")
+@query(f"WITH {_OBJECTS} SELECT event_id, parsed IS NOT NULL AND json_valid(parsed) AS valid, parsed FROM found")
 def find_json_object(spark, sf_dir):
     return _answers(spark, sf_dir).select("event_id", jsonscan.scan(F.col("text")).alias("s")).select("event_id", "s.valid", "s.parsed")
 
 
-@query(f"SELECT event_id, {_answers_sql(_LABELS)} AS label FROM events")
+@query(f"WITH {_OBJECTS} SELECT event_id, label FROM found")
 def extract_label(spark, sf_dir):
     return _answers(spark, sf_dir).select("event_id", jsonscan.scan(F.col("text")).alias("s")).select("event_id", "s.label")
 
 
 def _results(spark, sf_dir):
-    return _answers(spark, sf_dir).select(F.col("event_id").alias("place"), F.concat(F.lit('{"label_id": "'), F.lit("view"), F.lit('"}')).alias("labels"), F.col("text").alias("response"), F.array(F.concat(F.lit("images/"), F.col("event_id").cast("string"))).alias("images"))
+    truth = F.concat(F.lit('{"label_id": "'), F.col("event_type"), F.lit('"}'))
+    return _answers(spark, sf_dir).select(F.col("event_id").alias("place"), truth.alias("labels"), F.col("text").alias("response"), F.array(F.concat(F.lit("images/"), F.col("event_id").cast("string"))).alias("images"))
 
 
 @query(
-    f"""SELECT count(*) AS num_examples, round(count(*) FILTER (f IS NOT NULL) / count(*), 9) AS valid_json_rate, round(count(*) FILTER (f = '{{"label_id": "view"}}') / count(*), 9) AS exact_json_match_rate
-FROM (SELECT {_answers_sql(_FOUND)} AS f FROM events)"""
+    f"""WITH {_OBJECTS} SELECT count(*) AS num_examples, round(count(parsed) / count(*), 9) AS valid_json_rate, round(count(*) FILTER (parsed = '{{"label_id": "' || event_type || '"}}') / count(*), 9) AS exact_json_match_rate FROM found"""
 )
 def json_rates(spark, sf_dir):
     rates = metrics.json_rates(evaluation.scanned(_results(spark, sf_dir)))
@@ -514,8 +513,8 @@ def json_rates(spark, sf_dir):
 
 
 @query(
-    f"""SELECT event_id AS place, 'images/' || event_id AS image, '{{"label_id": "view"}}' AS labels, {_answers_sql(_ANSWERS)} AS response FROM events
-WHERE {_answers_sql(_LABELS)} IN ('invalid_json', 'missing_label') ORDER BY event_id LIMIT 50"""
+    f"""WITH {_OBJECTS} SELECT event_id AS place, 'images/' || event_id AS image, '{{"label_id": "' || event_type || '"}}' AS labels, text AS response FROM found
+WHERE label IN ('invalid_json', 'missing_label') ORDER BY event_id LIMIT 50"""
 )
 def invalid_examples(spark, sf_dir):
     return evaluation.invalid_examples(evaluation.scanned(_results(spark, sf_dir)))
@@ -548,13 +547,16 @@ def url_fallbacks(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.explode(C.size_fallbacks(url)).alias("url"))
 
 
-_PATHS = ["D:\\Data\\raw_cache\\P_01\\4027.jpg", "/a/images/P/1.jpg", "x//y/z.jpg", "images/raw_cache/q.jpg", "one.jpg", "a/./b.jpg"]
-_REBASED = ["/root/P_01/4027.jpg", "/root/P/1.jpg", "/root/y/z.jpg", "/root/raw_cache/q.jpg", "/root/one.jpg", "/root/b.jpg"]
+_PATH = "CASE page_id % 5 WHEN 0 THEN replace(url, '/', chr(92)) WHEN 1 THEN concat('/srv/images/', url) WHEN 2 THEN concat('raw_cache//./', url) WHEN 3 THEN concat('raw_cache/x/images/', page_id) ELSE url END"
 
 
-@query(f"SELECT p_partkey, {_sql_pick('p_partkey', _REBASED)} AS path FROM part")
+@query(
+    f"""WITH p AS (SELECT page_id, list_filter(string_split(replace({_PATH}, chr(92), '/'), '/'), lambda x: x <> '') AS parts FROM pages),
+i AS (SELECT *, coalesce(nullif(list_position(parts, 'images'), 0), nullif(list_position(parts, 'raw_cache'), 0), greatest(len(parts) - 2, 0)) AS k FROM p)
+SELECT page_id, '/root/' || array_to_string(list_filter(parts[k + 1:], lambda x: x <> '.'), '/') AS path FROM i"""
+)
 def path_rewrite(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", C.rebase_path(_pick("p_partkey", _PATHS), "/root/").alias("path"))
+    return table(spark, sf_dir, "pages").select("page_id", C.rebase_path(F.expr(_PATH), "/root/").alias("path"))
 
 
 @query("SELECT doc_id, CASE WHEN length(c) > 520 THEN substr(c, 1, 517) || '...' ELSE c END AS text FROM (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '[ \\r\\n\\t]+', ' ', 'g')) AS c FROM documents)")
@@ -562,43 +564,54 @@ def compact_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", C.shorten(F.col("text")).alias("text"))
 
 
-_MOBILE = ['thinking... {"label_id":"FUN_12"} done', "{label_id:unknown}", "not json", '{"LABEL_ID" : "PLANT_01"} {"label_id":"FUN_01"}', "} {", '{"x":1}']
+_REPLY = """CASE event_id % 6 WHEN 0 THEN concat('look: {"n": ', event_id, ', "label_id" : "', event_type, '"} and {"label_id":"', event_id, '"}') WHEN 1 THEN concat('{LABEL_ID:', event_type, '}') WHEN 2 THEN props
+WHEN 3 THEN concat('label_id: ', event_type) WHEN 4 THEN concat('} {"label_id":" ', event_type, ' "') ELSE concat('"label_id":"', event_id, '" ', props) END"""
+_QUOTED = "'(?i)\"label_id\"\\s*:\\s*\"([^\"]+)\"'"
 
 
-@query(f"SELECT p_partkey, {_sql_pick('p_partkey', ['FUN_12', 'unknown', 'unknown', 'PLANT_01', 'unknown', 'unknown'])} AS label FROM part")
+@query(f"""SELECT event_id, coalesce(nullif(regexp_extract(regexp_extract(trim({_REPLY}), '(?s)\\{{.*\\}}'), '(?i)"?label_id"?\\s*:\\s*"?([A-Za-z0-9_]+)"?', 1), ''), 'unknown') AS label FROM events""")
 def parse_label_mobile(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", C.label_mobile(_pick("p_partkey", _MOBILE)).alias("label"))
-
-
-_OUT = ['log {"label_id": "A"} {"label_id": " B "}', "nothing", '"label_id":"C"', ""]
-_ERR = ["", '"label_id": "E"', "", "none"]
+    return table(spark, sf_dir, "events").select("event_id", C.label_mobile(F.expr(_REPLY)).alias("label"))
 
 
-@query(f"SELECT p_partkey, {_sql_pick('p_partkey', ['B', 'E', 'C', 'unknown'])} AS label FROM part")
+@query(f"""SELECT event_id, coalesce(trim(regexp_extract_all(out, {_QUOTED}, 1)[-1]), trim(regexp_extract_all(err, {_QUOTED}, 1)[-1]), 'unknown') AS label
+FROM (SELECT event_id, {_REPLY} AS out, CASE WHEN event_id % 4 = 0 THEN concat('failed "label_id" : "', event_type, '"') ELSE event_type END AS err FROM events)""")
 def parse_label_desktop(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", C.label_desktop(_pick("p_partkey", _OUT), _pick("p_partkey", _ERR)).alias("label"))
+    error = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit('failed "label_id" : "'), "event_type", F.lit('"'))).otherwise(F.col("event_type"))
+    return table(spark, sf_dir, "events").select("event_id", C.label_desktop(F.expr(_REPLY), error).alias("label"))
 
 
-_IDS = ["unknown", "PLANT_01", "FUN_20", "FUN_21", "PLANT_00", "plant_01", "PLANT_1", "UNK_NON_TARGET_PLANT", "FUN_010"]
+_MADE_LABEL = "CASE p_partkey % 7 WHEN 0 THEN 'unknown' WHEN 1 THEN lower(concat('PLANT_', lpad(cast(p_partkey % 25 as string), 2, '0'))) WHEN 2 THEN concat('FUN_', cast(p_partkey % 25 as string)) WHEN 3 THEN p_brand ELSE concat(CASE WHEN p_partkey % 2 = 0 THEN 'PLANT_' ELSE 'FUN_' END, lpad(cast(p_partkey % 25 as string), 2, '0')) END"
 
 
-@query(f"SELECT l AS label, l IN ('unknown', 'PLANT_01', 'FUN_20') AS valid, count(*) AS n FROM (SELECT {_sql_pick('p_partkey', _IDS)} AS l FROM part) GROUP BY 1, 2")
+@query(
+    f"""SELECT l AS label, l = 'unknown' OR (split_part(l, '_', 1) IN ('PLANT', 'FUN') AND len(string_split(l, '_')) = 2 AND length(split_part(l, '_', 2)) = 2 AND coalesce(try_cast(split_part(l, '_', 2) AS INT) BETWEEN 1 AND 20, false)) AS valid, count(*) AS n
+FROM (SELECT {_MADE_LABEL} AS l FROM part) GROUP BY 1, 2"""
+)
 def label_valid(spark, sf_dir):
-    labels = table(spark, sf_dir, "part").select(_pick("p_partkey", _IDS).alias("label"))
+    labels = table(spark, sf_dir, "part").select(F.expr(_MADE_LABEL).alias("label"))
     return labels.groupBy("label", C.label_valid(F.col("label")).alias("valid")).agg(F.count("*").alias("n"))
 
 
-_RAW = ['{"label_id":"PLANT_07"}', '{"label_id":"  FUN_03 rest', '{"label_id":"DOG"}', "", "x", '{"label_id":"ł FUN_09"}']
+_OUTPUT = f"CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN '' ELSE concat('{{\"label_id\":\"', CASE WHEN p_partkey % 3 = 0 THEN 'ł é ' ELSE '' END, {_MADE_LABEL}, CASE WHEN p_partkey % 2 = 0 THEN '\"}}' ELSE ' and so on' END) END"
 
 
-@query(f"SELECT p_partkey, '{{\"label_id\":\"' || {_sql_pick('p_partkey', ['PLANT_07', 'FUN_03', 'unknown', 'unknown', 'unknown', 'FUN_09'])} || '\"}}' AS output FROM part")
+@query(
+    f"""WITH o AS (SELECT p_partkey, nullif(regexp_extract({_OUTPUT}, '^\\{{"label_id":"[^A-Za-z0-9_]*([A-Za-z0-9_]+)', 1), '') AS l FROM part)
+SELECT p_partkey, '{{"label_id":"' || CASE WHEN l = 'unknown' OR (l[:-4] IN ('PLANT', 'FUN') AND l[-3] = '_' AND try_cast(l[-2:] AS INT) BETWEEN 1 AND 20) THEN l ELSE 'unknown' END || '"}}' AS output FROM o"""
+)
 def normalize_output(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", C.normal_output(_pick("p_partkey", _RAW)).alias("output"))
+    return table(spark, sf_dir, "part").select("p_partkey", C.normal_output(F.expr(_OUTPUT)).alias("output"))
+
 
+_IMAGE_URL = "CASE page_id % 5 WHEN 0 THEN concat(url, '.PNG') WHEN 1 THEN concat(split_part(url, '?', 1), '.a.JpEg?x=.gif') WHEN 2 THEN concat(split_part(url, '#', 1), '/x.webp#y.png') WHEN 3 THEN 'http://h.jpg' ELSE url END"
 
-@query(f"SELECT p_partkey, {_sql_pick('p_partkey', ['.png', '.jpg', '.jpeg', '.jpg', '.webp'])} AS extension FROM part")
+
+@query(
+    f"""SELECT page_id, coalesce(nullif(lower(regexp_extract(regexp_replace(split_part(split_part(u, '#', 1), '?', 1), '^[a-z]+://[^/]*', ''), '(?i)\\.(jpg|jpeg|png|webp)$')), ''), '.jpg') AS extension FROM (SELECT page_id, {_IMAGE_URL} AS u FROM pages)"""
+)
 def image_extension(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", C.image_extension(_pick("p_partkey", ["https://h/a.PNG?x=.gif", "https://h.jpg", "http://h/b.c.jpeg#f", None, "/p/x.webp"])).alias("extension"))
+    return table(spark, sf_dir, "pages").select("page_id", C.image_extension(F.expr(_IMAGE_URL)).alias("extension"))
 
 
 # --- composite operators ---------------------------------------------------------------------
@@ -689,11 +702,32 @@ def dataset_violations(spark, sf_dir):
     return dataset.violations(rows, labels, attribution, spark.createDataFrame(_QUOTA_ROWS, "split string, label_id string, quota long"))
 
 
-@query(f"SELECT variant, count(*) AS n, count(DISTINCT content) AS contents FROM (SELECT 'legacy_full_json' AS variant, role AS content FROM conversations JOIN {_CATALOG_SQL} ON role = c.label_id UNION ALL SELECT 'strict_label_only', role FROM conversations JOIN {_CATALOG_SQL} ON role = c.label_id UNION ALL SELECT 'strict_label_only_with_taxonomy', role FROM conversations JOIN {_CATALOG_SQL} ON role = c.label_id) GROUP BY 1")
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+# A prompt as its sentences and, where it lists labels, the catalog's lines.
+_LISTED = "(SELECT string_agg('- ' || label_id || ' = s_' || label_id, chr(10) ORDER BY place) FROM (VALUES ('user', 0), ('assistant', 1), ('system', 2)) AS l(label_id, place))"
+_SYSTEMS = {
+    "legacy_full_json": _quoted(V.LEGACY_SYSTEM),
+    "strict_label_only": _quoted(" ".join((V.CLASSIFY, V.JSON_ONLY, V.OUTPUTS[False], V.NO_INVENTION))),
+    "strict_label_only_with_taxonomy": f"concat_ws(chr(10), {', '.join(map(_quoted, (V.CLASSIFY, V.JSON_ONLY, V.CHOOSE, V.FALLBACK[False], V.NO_INVENTION, 'Allowed labels:')))}, {_LISTED}, {_quoted(V.LAST_LINE[False])})",
+}
+_FULL = """'{"label_id": "' || role || '", "kingdom": "' || kingdom || '", "scientific_name": "s_' || role || '", "polish_name": "p_' || role || '"}'"""
+_ALONE = """'{"label_id": "' || role || '"}'"""
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS variant, {system} AS system, {_quoted(V.LEGACY_USER if i == 0 else V.USER + V.USER_FALLBACK[False])} AS user_said, {_FULL if i == 0 else _ALONE} AS answer, count(*) AS n FROM conversations JOIN {_CATALOG_SQL} ON role = c.label_id GROUP BY role, kingdom"
+        for i, (name, system) in enumerate(_SYSTEMS.items())
+    )
+)
 def prompt_ablation(spark, sf_dir):
     manifest = [(r, k, f"s_{r}", f"p_{r}", f"e_{r}") for r, k in (("user", "plants"), ("assistant", "fungi"), ("system", "plants"))]
     rows = table(spark, sf_dir, "conversations").select(F.col("role").alias("label_id"), F.lit("i").alias("image_path"))
-    return rendering.ablation(rows, manifest).groupBy("variant").agg(F.count("*").alias("n"), F.countDistinct(F.element_at("messages", 3)["content"]).alias("contents"))
+    said = [F.element_at("messages", i)["content"].alias(k) for i, k in ((1, "system"), (2, "user_said"), (3, "answer"))]
+    return rendering.ablation(rows, manifest).groupBy("variant", *said).agg(F.count("*").alias("n"))
 
 
 @query("SELECT count(*) FILTER (n_regionkey <> 3) AS kept, count(*) FILTER (n_regionkey = 3) AS removed, count(*) AS total FROM nation")

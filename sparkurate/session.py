@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -10,8 +13,6 @@ def local_session(cores: int = 8, memory: str = "8g", shuffle_partitions: int =
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
-        # A pruned CSV read would keep rows that a whole read drops as malformed.
-        "spark.sql.csv.parser.columnPruning.enabled": "false",
         "spark.driver.memory": memory,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -19,3 +20,14 @@ def local_session(cores: int = 8, memory: str = "8g", shuffle_partitions: int =
     session = SparkSession.builder.master(f"local[{cores}]").config(map=settings).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below the session's shared checkpoint folder; a temporary one where all is local and none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="scratch-")
+    return f"{base}/files/{uuid.uuid4().hex}"

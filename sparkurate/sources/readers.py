@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import gzip
 import re
-from pathlib import Path
+from fnmatch import fnmatchcase
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,7 +17,23 @@ _SUFFIXES = (".csv", ".csv.gz", ".tsv", ".tsv.gz", ".parquet")
 _SHARD_SUFFIXES = (".csv", ".csv.gz", ".parquet")
 
 
-def find_files(folder: str, stem: str, all_shards: bool = False) -> list[str]:
+def _session() -> SparkSession:
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
+def listed(spark: SparkSession, folder: str, deep: bool = False) -> list[str]:
+    """Paths of the files in a folder of any file system that Spark reads, sorted."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    files, found = system.listFiles(place, deep), []
+    while files.hasNext():
+        found.append(re.sub(r"^file:/+", "/", files.next().getPath().toString()))
+    return sorted(found)
+
+
+def find_files(folder: str, stem: str, all_shards: bool = False, spark: SparkSession | None = None) -> list[str]:
     """Paths of a table's file by its stem: the folder itself comes before its subfolders.
 
     A whole file is preferred to shards (stem-*). Of several matches the first in order is
@@ -26,47 +41,48 @@ def find_files(folder: str, stem: str, all_shards: bool = False) -> list[str]:
     """
     wanted = [f"{stem}{s}" for s in _SUFFIXES] + [f"{stem}-*{s}" for s in _SHARD_SUFFIXES]
     for deep in (False, True):
+        files = listed(spark or _session(), folder, deep)
         for pattern in wanted:
-            found = sorted(map(str, Path(folder).rglob(pattern) if deep else Path(folder).glob(pattern)))
+            found = [f for f in files if fnmatchcase(f.rpartition("/")[2], pattern)]
             if found:
                 return found if all_shards else found[:1]
     raise FileNotFoundError(f"no file of the table {stem!r} in {folder}")
 
 
-def sniff_delimiter(path: str) -> str:
-    """The separator that the header line has most of."""
-    opened = gzip.open if path.endswith(".gz") else open
-    with opened(path, "rt", encoding="utf-8-sig", errors="replace") as file:
-        header = file.readline()
+def _header(spark: SparkSession, path: str) -> str:
+    first = spark.read.text(path).first()
+    return first["value"].removeprefix("\ufeff") if first else ""
+
+
+def _separator(header: str) -> str:
     return max(("\t", ",", ";", "|"), key=header.count)
 
 
+def sniff_delimiter(path: str, spark: SparkSession | None = None) -> str:
+    """The separator that the header line has most of."""
+    return _separator(_header(spark or _session(), path))
+
+
 def read_untyped(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     """Every column a string; rows of another number of fields are dropped. Parquet is read as such.
 
     Columns are chosen by the file's header, so files may have more and in any order. A gzip
-    file is one task: its rows are dealt out at once.
+    file is one task: its rows are dealt out at once. The session's settings don't matter.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if paths[0].endswith(".parquet"):
         table = spark.read.parquet(*paths)
         names = schema.names if schema else table.columns
         return table.select(*[F.col(n).cast("string").alias(n) for n in names])
-    separator = sniff_delimiter(paths[0])
-    opened = gzip.open if paths[0].endswith(".gz") else open
-    with opened(paths[0], "rt", encoding="utf-8-sig") as file:
-        header = [h.strip().strip('"') for h in file.readline().rstrip("\r\n").split(separator)]
-    # Malformed rows are dropped by a whole read alone: columns are pruned after it.
-    pruning = "spark.sql.csv.parser.columnPruning.enabled"
-    before = spark.conf.get(pruning, "true")
-    spark.conf.set(pruning, "false")
-    try:
-        table = spark.read.schema(schemas.strings(*header)).options(header=True, sep=separator, mode="DROPMALFORMED", escape='"', multiLine=False).csv(paths)
-        if paths[0].endswith(".gz"):
-            table = table.repartition(spark.sparkContext.defaultParallelism)
-        return table.select(*schema.names) if schema else table
-    finally:
-        spark.conf.set(pruning, before)
+    line = _header(spark, paths[0])
+    separator = _separator(line)
+    header = [h.strip().strip('"') for h in line.rstrip("\r\n").split(separator)]
+    # A pruned read would keep malformed rows: this one reads all columns, which are chosen after it.
+    options = {"header": True, "sep": separator, "mode": "DROPMALFORMED", "escape": '"', "multiLine": False, "columnPruning": False}
+    table = spark.read.schema(schemas.strings(*header)).options(**options).csv(paths)
+    if paths[0].endswith(".gz"):
+        table = table.repartition(spark.sparkContext.defaultParallelism)
+    return table.select(*schema.names) if schema else table
 
 
 def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
@@ -106,16 +122,18 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def read_json_lines_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """As read_json_lines, but the first bad row is an error that names its file and line."""
-    broken = spark.read.text(path, wholetext=False).withColumn("line", F.monotonically_increasing_id()).where((F.trim("value") != "") & F.try_parse_json("value").isNull())
-    first = broken.select(F.input_file_name().alias("file"), "value").limit(1).collect()
+    """As read_json_lines, but the first bad row is an error that names its file and line.
+
+    First is by file, then by line; both passes are Spark's, so any file system will do.
+    """
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")]
+    lines = spark.read.text(path).select("value", *place)
+    broken = lines.where((F.trim("value") != "") & F.try_parse_json("value").isNull())
+    first = broken.agg(F.min(F.struct("file", "block", "row")).alias("at")).first()["at"]
     if first:
-        number = "unknown"
-        local = re.sub(r"^file:/+", "/", first[0]["file"])
-        if Path(local).is_file():
-            with open(local, encoding="utf-8") as file:
-                number = next((i for i, row in enumerate(file, 1) if row.rstrip("\r\n") == first[0]["value"]), number)
-        raise ValueError(f"bad JSON in {local} at line {number}")
+        before = lines.where((F.col("file") == first["file"]) & ((F.col("block") < first["block"]) | ((F.col("block") == first["block"]) & (F.col("row") <= first["row"]))))
+        local = re.sub(r"^file:/+", "/", first["file"])
+        raise ValueError(f"bad JSON in {local} at line {before.count()}")
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 

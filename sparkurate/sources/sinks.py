@@ -6,8 +6,9 @@ import json
 import shutil
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkurate import schemas
 from sparkurate.functions import columns as C
@@ -20,6 +21,19 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def python_json(df: DataFrame) -> Column:
+    """A row of strings and string arrays as one JSON object, with ", " and ": " between; nulls are null."""
+    fields = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.ArrayType):
+            items = F.array_join(F.transform(f.name, lambda x: F.coalesce(C.json_text(x), F.lit("null"))), ", ")
+            value = F.concat(F.lit("["), items, F.lit("]"))
+        else:
+            value = C.json_text(F.col(f.name)) if isinstance(f.dataType, T.StringType) else F.lower(F.col(f.name).cast("string"))
+        fields.append(F.concat(C.json_text(F.lit(f.name)), F.lit(": "), F.coalesce(value, F.lit("null"))))
+    return F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
+
+
 def record_rows(selected: DataFrame, image_root: str, failed: DataFrame | None = None) -> DataFrame:
     """records.csv rows of selected candidates: fixed decimals, flags as words, failed downloads left out.
 
@@ -40,9 +54,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header=True, quote='"', escape='"', emptyValue="").csv(path)
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    """One object a line, non-ASCII kept, null fields left out."""
-    df.write.mode("overwrite").option("ignoreNullFields", True).json(path)
+def write_json_lines(df: DataFrame, path: str, spaced: bool = False) -> None:
+    """One object a line, non-ASCII kept; null fields left out, or with spaced kept, and blanks after "," and ":"."""
+    if spaced:
+        df.select(python_json(df).alias("value")).write.mode("overwrite").text(path)
+    else:
+        df.write.mode("overwrite").option("ignoreNullFields", True).json(path)
 
 
 def rewrite_json_lines(df: DataFrame, path: str) -> None:
@@ -102,14 +119,26 @@ def bundle(examples: DataFrame, out: str, prefix: str = "") -> DataFrame:
     return examples.withColumn("images", F.transform("images", lambda i: C.portable_path(i, prefix)))
 
 
+def _place(path: str):
+    """A path's Hadoop file system, configuration and path."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    place, settings = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()
+    return place.getFileSystem(settings), settings, place
+
+
 def copy_side_files(source: str, out: str, names: tuple[str, ...] = ("labels.json", "species_manifest.csv", "attribution.csv", "records.csv"), fall_back_to_parent: bool = True) -> list[str]:
     """Small files beside a dataset; one that is missing is looked for in the parent folder."""
     copied = []
+    parent = source.rstrip("/").rpartition("/")[0]
     for name in names:
-        for folder in (Path(source), Path(source).parent) if fall_back_to_parent else (Path(source),):
-            if (folder / name).is_file():
-                Path(out).mkdir(parents=True, exist_ok=True)
-                shutil.copyfile(folder / name, Path(out) / name)
+        for folder in (source, parent) if fall_back_to_parent else (source,):
+            files, settings, place = _place(f"{folder.rstrip('/')}/{name}")
+            if files.exists(place) and not files.getFileStatus(place).isDirectory():
+                to, _, target = _place(f"{out.rstrip('/')}/{name}")
+                to.mkdirs(target.getParent())
+                stream = to.create(target, True)
+                # Copies the bytes, and closes both.
+                SparkSession.getActiveSession()._jvm.org.apache.hadoop.io.IOUtils.copyBytes(files.open(place), stream, settings, True)
                 copied.append(name)
                 break
     return copied
@@ -118,13 +147,14 @@ def copy_side_files(source: str, out: str, names: tuple[str, ...] = ("labels.jso
 def write_summary(summary: DataFrame, path: str) -> str:
     """The evaluation's one row as an indented document; returns a digest rounded to four places."""
     row = json.loads(summary.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).first()["j"])
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(row, ensure_ascii=False, indent=2), encoding="utf-8")
+    write_text(json.dumps(row, ensure_ascii=False, indent=2), path)
     return "\n".join(f"{k}: {v:.4f}" if isinstance(v, float) else f"{k}: {v}" for k, v in row.items() if isinstance(v, (int, float)))
 
 
 def write_text(content: str, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(content, encoding="utf-8")
-
-
+    """A small text to a file of any file system that Spark writes; folders are made."""
+    files, _, place = _place(path)
+    files.mkdirs(place.getParent())
+    stream = files.create(place, True)
+    stream.write(bytearray(content.encode()))
+    stream.close()

@@ -25,8 +25,8 @@ def test_licenses(spark):
 
 
 def test_labels_in_text(spark):
-    texts = ['{"label_id":"PLANT_01"}', 'thinking... {"label_id":"FUN_12"} done', "{label_id:unknown}", "not json", None]
-    assert values(spark, texts, C.label_mobile)[:4] == ["PLANT_01", "FUN_12", "unknown", "unknown"]
+    texts = ['{ "label_id" : "moss_7" }', 'First, a look: {"n": 2, "label_id":"fern"} - sure', "{LABEL_ID: lichen_3, n: 1}", "no braces, label_id: x", "}{", "", None]
+    assert values(spark, texts, C.label_mobile)[:6] == ["moss_7", "fern", "lichen_3", "unknown", "unknown", "unknown"]
     assert values(spark, [('x {"label_id":"A"} "label_id" : "B"', ""), ("", '"LABEL_ID":"E"'), (None, None)], C.label_desktop, "a string, b string") == ["B", "E", "unknown"]
     assert values(spark, ['{"label_id":"FUN_03', '{"label_id":"', "x"], C.label_prefixed) == ["FUN_03", "", ""]
     assert values(spark, ["unknown", "FUN_20", "FUN_21", "PLANT_00", "UNK_NON_TARGET_PLANT", "FUN_01\n"], C.label_valid) == [True, True, False, False, False, False]
@@ -40,7 +40,7 @@ def test_numbers(spark):
 
 
 def test_paths(spark):
-    assert values(spark, ["D:\\Data\\raw_cache\\PLANT_01\\402734711.jpg", "", "/x/images/"], lambda c: C.rebase_path(c, "/root")) == ["/root/PLANT_01/402734711.jpg", "/root", "/root"]
+    assert values(spark, ["E:\\photos\\images\\moss\\a.b.png", "raw_cache/fern\\7.jpg", "", "/x/images/"], lambda c: C.rebase_path(c, "/srv")) == ["/srv/moss/a.b.png", "/srv/fern/7.jpg", "/srv", "/srv"]
     assert values(spark, ["/a/b/c.jpg", "c.jpg", "/c.jpg"], lambda c: C.portable_path(c, "p/")) == ["p/images/b/c.jpg", "p/images/misc/c.jpg", "p/images/misc/c.jpg"]
     assert values(spark, ["/a", "C:\\x", "b/c"], lambda c: C.resolve_path(c, "/r")) == ["/a", "C:\\x", "/r/b/c"]
     assert values(spark, ["s"], lambda c: C.query_string(("q", F.lit("a b&c")), ("n", c))) == ["q=a%20b%26c&n=s"]
@@ -113,10 +113,11 @@ def test_table_allocation_is_the_same(spark, capacities, data):
 
 
 def test_prompts():
-    manifest = [("PLANT_01", "plants", "Pinus sylvestris", "sosna zwyczajna", "Scots pine")]
+    manifest = [("moss_1", "plants", "Moss maior", "mech", "great moss")]
     public, training = rendering.catalog_rows(manifest), rendering.catalog_rows(manifest, internal=True)
-    lines = rendering.taxonomy_lines(training)
-    assert lines[0] == "- PLANT_01 = Pinus sylvestris" and lines[1].endswith("(collapse to public unknown outside training)") and "UNK_*" in lines[-1]
+    lines = rendering.system_prompt("strict_label_only_with_taxonomy", training).split("\n")[6:]
+    assert lines[0] == "- moss_1 = Moss maior" and lines[1].endswith("(collapse to public unknown outside training)") and "UNK_*" in lines[-1]
+    assert rendering.render("desktop", 1, public).endswith("Allowed labels:\n- moss_1 = Moss maior")
     assert rendering.system_prompt("strict_label_only_with_taxonomy", public).count("\n") == 7
     assert "Allowed labels:" in rendering.system_prompt("strict_label_only_with_taxonomy", public)
     with pytest.raises(ValueError):
