@@ -1,10 +1,11 @@
 """Byte-level BPE encoding and decoding with a two-tier lookup.
 
 Tier one: a minimal perfect hash over the vocabulary's byte strings (hash and displace: one
-displacement for each bucket of about four keys, as many slots as keys) tells whether a whole
-pre-token is a token. Tier two: misses are merged with a heap over linked bytes, always the
+displacement for each bucket of about four keys, as many slots as keys) finds a whole pre-token's
+slot, which holds the token and its id. Tier two: misses are merged with a heap over linked bytes, always the
 lowest rank first and the leftmost on ties, O(n log n) for n bytes, so very long pre-tokens
-are fine. A bounded two-generation cache keeps the results of recent pre-tokens.
+are fine. A two-generation cache, bounded in entries and their length, keeps the results of recent
+pre-tokens.
 
 The tables that each worker builds depend on the vocabulary alone (tens of thousands of
 entries); only the path of its file is sent. A null text is an empty one and has no ids.
@@ -24,15 +25,17 @@ from pyspark.sql import types as T
 
 from sparkurate.llm import common
 
+#: Entries of a generation of the cache, and the bytes of the longest pre-token in it.
 CACHE = 300_000
+CACHED_BYTES = 64
 PRIME = (1 << 31) - 1
 _loaded: dict[tuple[str, str], Codec] = {}
 
 
 class PerfectHash:
-    """Minimal perfect hash of distinct byte strings; find() returns a key's place or -1."""
+    """Minimal perfect hash of distinct byte strings; find() returns the key's value, from its slot, or -1."""
 
-    def __init__(self, keys: list[bytes]) -> None:
+    def __init__(self, keys: list[bytes], values: list[int]) -> None:
         import xxhash
 
         self._digest = xxhash.xxh3_64_intdigest
@@ -74,9 +77,9 @@ class PerfectHash:
             slot_of[own] = slot
             self.shift[b] = -1 - slot
         self.keys: list[bytes] = [b""] * n
-        self.places: list[int] = [0] * n
-        for place, slot in enumerate(slot_of.tolist()):
-            self.keys[slot], self.places[slot] = keys[place], place
+        self.values: list[int] = [0] * n
+        for key, value, slot in zip(keys, values, slot_of.tolist(), strict=True):
+            self.keys[slot], self.values[slot] = key, value
 
     def find(self, key: bytes) -> int:
         if not self.n:
@@ -85,7 +88,7 @@ class PerfectHash:
         low = h & 0xFFFFFFFF
         shift = self.shift[low % self.buckets]
         slot = -1 - shift if shift < 0 else (low // self.buckets + shift * (h >> 32 | 1)) % PRIME % self.n
-        return self.places[slot] if self.keys[slot] == key else -1
+        return self.values[slot] if self.keys[slot] == key else -1
 
 
 class Codec(dict):
@@ -98,8 +101,7 @@ class Codec(dict):
             pairs = [line.split() for line in file if line.strip()]
         self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
         self.tokens = {i: t for t, i in self.ranks.items()}
-        self.keys_in_order = list(self.ranks)
-        self.known = PerfectHash(self.keys_in_order)
+        self.known = PerfectHash(list(self.ranks), list(self.ranks.values()))
         self.split = regex.compile(pattern).findall
         self.older: dict[str, bytes] = {}
 
@@ -107,9 +109,10 @@ class Codec(dict):
         packed = self.older.get(piece)
         if packed is None:
             raw = piece.encode()
-            place = self.known.find(raw)
-            ids = [self.ranks[self.keys_in_order[place]]] if place >= 0 else self.merge(raw)
-            packed = np.array(ids, "<i4").tobytes()
+            rank = self.known.find(raw)
+            packed = np.array([rank] if rank >= 0 else self.merge(raw), "<i4").tobytes()
+            if len(raw) > CACHED_BYTES:
+                return packed
         if len(self) >= CACHE:
             self.older = dict(self)
             self.clear()

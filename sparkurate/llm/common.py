@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -57,18 +58,28 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; one is set only if none is."""
+    """The shared checkpoint folder of the session; one is set only if none is and all is on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if folder:
         return folder
     current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
         current = spark.sparkContext.getCheckpointDir()
     return current
 
 
-_written: list[str] = []
+class _Written(threading.local):
+    """The tables that this thread's query has written: another thread's aren't its to remove."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_written = _Written()
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -76,7 +87,7 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append(path)
+    _written.paths.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -89,13 +100,13 @@ def broadcast_up_to(table: DataFrame, rows: int) -> DataFrame:
 
 def mark() -> int:
     """The place from which discard_since() removes tables."""
-    return len(_written)
+    return len(_written.paths)
 
 
 def discard_since(place: int, spark: SparkSession, *keep: DataFrame) -> None:
     """Removes the tables written since mark(), but for those that a result still reads."""
     kept = {df._scratch for df in keep}
-    for path in [p for p in _written[place:] if p not in kept]:
+    for path in [p for p in _written.paths[place:] if p not in kept]:
         _remove(path, spark)
 
 
@@ -108,7 +119,8 @@ def discard(*tables: DataFrame) -> None:
 def _remove(path: str, spark: SparkSession) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    _written.remove(path)
+    if path in _written.paths:
+        _written.paths.remove(path)
 
 
 def map_rows(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]], schema: T.StructType) -> DataFrame:

@@ -10,10 +10,13 @@ broadcast is bounded; more languages than that raise an error.
 Nulls and edge cases: a null text, or one without a letter, is ``und`` with score 0; so is
 everything if nothing can be learned. Null ids or languages are never trained on, null ids
 are still predicted. Long texts are counted in overlapping pieces: counts add up.
+Scoring takes a batch of texts as one sparse matrix, summed by rows against the broadcast one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +32,8 @@ SMOOTHING = 0.5
 #: Overlapping n-grams are not independent; at most so many count as evidence for the score.
 EVIDENCE = 64
 PIECE = 1 << 20
+#: n-grams of a batch of texts that is scored at once.
+CELLS = 1 << 18
 _SAMPLE = 1 << 20
 _letters: np.ndarray | None = None
 
@@ -41,9 +46,9 @@ def _letter_table() -> np.ndarray:
     return _letters
 
 
-def gram_counts(text: str) -> np.ndarray | None:
-    """int64[BUCKETS] of the text's hashed n-grams; None if it has no letter."""
-    total = None
+def grams(text: str) -> np.ndarray:
+    """The bucket of each of the text's hashed n-grams; none if it has no letter."""
+    found = [np.zeros(0, np.int64)]
     for at in range(0, len(text), PIECE):
         codes = np.frombuffer(text[max(0, at - 2) : at + PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _letter_table()[codes]
@@ -56,11 +61,43 @@ def gram_counts(text: str) -> np.ndarray | None:
         line[1:-1] = np.where(letter, codes, 32)[keep]
         two = line[:-1] * np.uint64(0x9E3779B1) + line[1:]
         three = two[:-1] * np.uint64(0x85EBCA77) + line[2:]
-        grams = np.concatenate([line[1:-1] * np.uint64(0xC2B2AE3D), two * np.uint64(0x27D4EB2F) + np.uint64(2), three * np.uint64(0x165667B1) + np.uint64(3)])
-        grams ^= grams >> np.uint64(29)
-        part = np.bincount(((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(49)).astype(np.int64), minlength=BUCKETS)
-        total = part if total is None else total + part
-    return total
+        made = np.concatenate([line[1:-1] * np.uint64(0xC2B2AE3D), two * np.uint64(0x27D4EB2F) + np.uint64(2), three * np.uint64(0x165667B1) + np.uint64(3)])
+        made ^= made >> np.uint64(29)
+        found.append(((made * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(49)).astype(np.int64))
+    return np.concatenate(found)
+
+
+def sparse_counts(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches of texts as sparse rows: the first text, where each text's cells start, their buckets and counts.
+
+    A batch has some CELLS n-grams, or one text.
+    """
+    first, held, size = 0, [], 0
+
+    def batch():
+        keys = np.sort(np.concatenate([g + i * BUCKETS for i, g in enumerate(held)]))
+        start = np.flatnonzero(np.diff(keys, prepend=-1))
+        cells = keys[start]
+        return first, np.searchsorted(cells, np.arange(len(held) + 1) * BUCKETS), cells % BUCKETS, np.diff(np.append(start, len(keys)))
+
+    for text in texts:
+        own = grams(text) if text else np.zeros(0, np.int64)
+        if len(own) > CELLS:  # a long text's n-grams are counted by themselves
+            if held:
+                yield batch()
+                first, held, size = first + len(held), [], 0
+            counted = np.bincount(own, minlength=BUCKETS)
+            used = np.flatnonzero(counted)
+            yield first, np.array([0, len(used)]), used, counted[used]
+            first += 1
+            continue
+        held.append(own)
+        size += len(own)
+        if size > CELLS:
+            yield batch()
+            first, held, size = first + len(held), [], 0
+    if held:
+        yield batch()
 
 
 class Model:
@@ -72,16 +109,26 @@ class Model:
         self.log_p = np.log(mass / mass.sum(axis=1, keepdims=True)).astype(np.float32).T.copy() if languages else np.zeros((BUCKETS, 0), np.float32)
         self.prior = np.log((docs + 1.0) / (docs.sum() + len(languages))) if languages else np.zeros(0)
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        counts = gram_counts(text) if text and self.languages else None
-        if counts is None:
-            return "und", 0.0
-        used = np.flatnonzero(counts)
-        n = counts[used]
-        total = float(n.sum())
-        scores = (n[:, None] * self.log_p[used].astype(np.float64)).sum(axis=0) * min(1.0, EVIDENCE / total) + self.prior
-        best = int(scores.argmax())
-        return self.languages[best], float(1.0 / np.exp(scores - scores[best]).sum())
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text: sparse counts times the matrix, a batch of texts at a time."""
+        found: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
+        if not self.languages:
+            return found
+        for first, starts, buckets, n in sparse_counts(texts):
+            rows = np.flatnonzero(np.diff(starts))
+            if not len(rows):
+                continue
+            sums = np.empty((len(rows), len(self.languages)))
+            for low in range(0, len(self.languages), 16):  # some languages at a time: cells x 16 numbers are held
+                part = self.log_p[buckets, low : low + 16].astype(np.float64) * n[:, None]
+                sums[:, low : low + 16] = np.add.reduceat(part, starts[rows], axis=0)
+            total = np.add.reduceat(n, starts[rows])
+            scores = sums * np.minimum(1.0, EVIDENCE / total)[:, None] + self.prior
+            best = scores.argmax(axis=1)
+            sure = 1.0 / np.exp(scores - scores[np.arange(len(rows)), best][:, None]).sum(axis=1)
+            for row, k, p in zip(rows.tolist(), best.tolist(), sure.tolist(), strict=True):
+                found[first + row] = self.languages[k], p
+        return found
 
 
 def train(docs: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> Model:
@@ -103,15 +150,19 @@ def train(docs: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> Model:
         seen: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(common.column_of(batch, "lang").to_pylist(), common.texts_of(batch), strict=True):
-                if (made := gram_counts(text)) is not None:
-                    seen[lang] = made if lang not in seen else seen[lang] + made
+                made = grams(text)
+                if len(made):
+                    counted = np.bincount(made, minlength=BUCKETS)
+                    seen[lang] = counted if lang not in seen else seen[lang] + counted
         for lang, made in seen.items():
             used = np.flatnonzero(made)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(used), pa.string()), "bucket": pa.array(used, pa.int32()), "n": pa.array(made[used], pa.int64())})
 
     place = {k: i for i, k in enumerate(names)}
     got = sample.select("text", "lang").mapInArrow(count, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    counts[[place[k] for k in got["lang"].to_pylist()], got["bucket"].to_numpy()] = got["n"].to_numpy()
+    lang = got["lang"].combine_chunks().dictionary_encode()
+    rows_of = np.array([place[k] for k in lang.dictionary.to_pylist()], np.int64)
+    counts[rows_of[lang.indices.to_numpy()], got["bucket"].to_numpy()] = got["n"].to_numpy()
     return Model(names, counts, np.array([n for _, n in sizes], float))
 
 
@@ -124,7 +175,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         known = shared.value
 
         def step(batch):
-            made = [known.predict(t) for t in common.column_of(batch, "text").to_pylist()]
+            made = known.predict(common.column_of(batch, "text").to_pylist())
             ids = common.column_of(batch, "doc_id")
             return pa.RecordBatch.from_arrays([ids, pa.array([a for a, _ in made], pa.string()), pa.array([b for _, b in made], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
@@ -150,7 +201,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         known = shared.value
 
         def step(batch):
-            made = [known.predict(t) for t in common.column_of(batch, "text").to_pylist()]
+            made = known.predict(common.column_of(batch, "text").to_pylist())
             return batch.filter(pa.array([a != "und" and b >= 0.5 for a, b in made]))
 
         return step

@@ -6,15 +6,17 @@ repetition limit, or the largest whose weights have a target share of the greate
 A look at the sources is one aggregate over one row a source, for several halvings at once.
 
 A budget of tokens is then split by weight. A source is drawn in passes, each a permutation of
-its documents by the md5 of seed and id: whole passes first, then the start of one more until
+its documents by the md5 of seed, id and text: whole passes first, then the start of one more until
 the source's part of the budget is used up. The permutation is a permutation of blocks (the
 first hex digits) and of each block's documents, so that where a pass stops is found from
 block sums: no window has more rows than a block or STEP digits of block sums, whatever the
 size of a source. Budget None is the least that draws every document at least once.
 
-Edge cases: a null source is the empty one; a null id has the empty string's place; rows
-without tokens go with the place where they stand; repeated rows are drawn each for itself; an
-empty table gives an empty result; a single source keeps weight 1.
+Edge cases: a null source is the empty one; a null id counts as the empty string, so rows
+without an id, or of one id, are spread by their texts; rows without tokens go with the place
+where they stand; rows that are equal have one place and are drawn each for itself; an empty
+table gives an empty result; a single source keeps weight 1. Columns of documents may have any name
+that doesn't start with _mix_.
 """
 
 from __future__ import annotations
@@ -53,7 +55,7 @@ def prepared(docs: DataFrame, seed: str = SEED) -> DataFrame:
         {
             "_mix_source": F.coalesce(F.col("source").cast("string"), F.lit("")),
             "_mix_tokens": n_tokens(),
-            "_mix_place": F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
+            "_mix_place": F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))),
         }
     )
 
@@ -148,12 +150,13 @@ def block_starts(rows: DataFrame, digits: int, step: int = STEP) -> DataFrame:
 
 
 def assign(rows: DataFrame, sources: DataFrame, planned: DataFrame, totals: Totals, sums_from: DataFrame | None = None, digits: int | None = None, step: int = STEP) -> DataFrame:
-    """rows with weight and copies: how often each row is drawn."""
+    """rows with _mix_weight and _mix_copies: how often each row is drawn."""
     digits = digits or digits_for(totals.rows)
     blocks = block_starts(sums_from if sums_from is not None else rows, digits, step).join(planned, "_mix_source")
+    blocks = blocks.select("_mix_source", "_mix_block", *[F.col(k).alias(f"_mix_{k}") for k in ("before", "weight", "passes", "room")])
     placed = rows.withColumn("_mix_block", F.substring("_mix_place", 1, digits)).join(blocks, ["_mix_source", "_mix_block"])
     upto = F.sum("_mix_tokens").over(Window.partitionBy("_mix_source", "_mix_block").orderBy("_mix_place", "doc_id", "_mix_tokens").rowsBetween(Window.unboundedPreceding, 0))
-    return placed.withColumn("copies", F.col("passes") + F.when(F.col("before") + upto <= F.col("room"), 1).otherwise(0))
+    return placed.withColumn("_mix_copies", F.col("_mix_passes") + F.when(F.col("_mix_before") + upto <= F.col("_mix_room"), 1).otherwise(0))
 
 
 def op8_source_mixing(spark, sf_dir: str) -> DataFrame:
@@ -163,14 +166,14 @@ def op8_source_mixing(spark, sf_dir: str) -> DataFrame:
     sources, totals = shares(rows)
     exponent = exponent_for(sources, totals, totals.tokens, max_repetition=MAX_REPETITION)
     drawn = assign(rows, sources, plan(sources, totals, exponent, totals.tokens), totals)
-    return drawn.select("doc_id", F.col("_mix_source").alias("source"), F.col("_mix_tokens").alias("n_tokens"), F.round("weight", 6).alias("weight"), "copies")
+    return drawn.select("doc_id", F.col("_mix_source").alias("source"), F.col("_mix_tokens").alias("n_tokens"), F.round("_mix_weight", 6).alias("weight"), F.col("_mix_copies").alias("copies"))
 
 
 def oracle() -> str:
     """DuckDB SQL for op8_source_mixing."""
     greatest_ratio = "(SELECT max(pow(share, {0}) / share) / sum(pow(share, {0})) FROM s WHERE tokens > 0)"
     return f"""
-WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens, md5('{SEED}|' || coalesce(doc_id::VARCHAR, '')) AS place FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens, md5('{SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS place FROM documents),
 t AS (SELECT sum(n_tokens)::BIGINT AS total FROM d),
 s AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens) / any_value(total)::DOUBLE AS share FROM d, t GROUP BY source),
 b(i, low, high) AS (
@@ -197,4 +200,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     sources, totals = shares(slim)
     exponent = exponent_for(sources, totals, None, max_repetition=COVER_SPREAD)
     drawn = assign(rows, sources, plan(sources, totals, exponent, None), totals, sums_from=slim)
-    return drawn.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1))))).select(*docs.columns)
+    return drawn.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.greatest("_mix_copies", F.lit(1))))).select(*docs.columns)

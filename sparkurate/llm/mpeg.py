@@ -153,7 +153,7 @@ def _id3v2(data: bytes, at: int) -> tuple[int, dict[str, str]]:
     if flags & 0x40 and len(body) >= 4:
         place = sum(b << s for b, s in zip(body[:4], (21, 14, 7, 0), strict=True)) if major >= 4 else 4 + int.from_bytes(body[:4], "big")
     name, width = (3, 3) if major == 2 else (4, 4)
-    while major in (2, 3, 4) and place + name + width <= len(body) and body[place] and len(found) < 1000:
+    while major in (2, 3, 4) and place + name + width <= len(body) and body[place]:
         key = body[place : place + name].decode("latin-1")
         raw = body[place + name : place + name + width]
         length = sum((b & 0x7F) << s for b, s in zip(raw, (21, 14, 7, 0), strict=True)) if major == 4 else int.from_bytes(raw, "big")
@@ -300,8 +300,13 @@ def media_columns(media: DataFrame) -> DataFrame:
 
 
 def digests(media: DataFrame) -> DataFrame:
-    """The query's columns of a table of streams, read back from the stored bytes."""
+    """The query's columns of a table of streams, read back from the stored bytes.
+
+    The exact duration is duration_samples over sample_rate; frame_offsets are the frames' byte
+    places in the stream, to seek to.
+    """
     fields = [("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType())]
+    fields += [("duration_samples", T.LongType()), ("sample_rate", T.LongType()), ("frame_offsets", T.ArrayType(T.LongType()))]
     schema = T.StructType([common.id_field(media), *[T.StructField(*f) for f in fields]])
 
     def start():
@@ -311,10 +316,9 @@ def digests(media: DataFrame) -> DataFrame:
                 found = scan(m)
                 payload = payload_of(m, found)
                 feature = {k: found[k] for k in ("rate", "layer", "channels", "n_frames", "n_samples", "crc_checked", "crc_failed", "resyncs", "skipped_bytes", "table", "table_ok", "vbr")}
-                feature["duration_ns"] = found["n_samples"] * 10**9 // max(1, found["rate"])
-                feature["offsets_crc32"] = zlib.crc32(np.array(found["offsets"], "<i8").tobytes())
-                rows.append((int(found["tags"].get("TXXX:payload_bytes", 0)), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), json.dumps(feature, sort_keys=True)))
-            columns = [pa.array(c, pa.int64() if isinstance(f[1], T.LongType) else pa.string()) for c, f in zip(zip(*rows, strict=True), fields, strict=True)]
+                rows.append((int(found["tags"].get("TXXX:payload_bytes", 0)), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), json.dumps(feature, sort_keys=True), found["n_samples"], found["rate"], found["offsets"]))
+            kinds = {"bigint": pa.int64(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64())}
+            columns = [pa.array(c, kinds[f[1].simpleString()]) for c, f in zip(zip(*rows, strict=True), fields, strict=True)]
             return pa.RecordBatch.from_arrays([common.column_of(batch, "doc_id"), *columns], names=["doc_id", *[f[0] for f in fields]])
 
         return step

@@ -5,8 +5,8 @@ sets are one class from the start; the least id stands for it. Each class has a
 HASHES minwise values. In each of TREES independent trees a node picks one or two of the
 places of the signature, by a hash of the node; a child holds the node's members that have
 the same value there. Nodes of up to LIMIT members are compared exhaustively: first the
-signatures (pairs that agree in less than CUT of the places are over four standard errors
-below the threshold), then the full sets. Larger nodes branch on.
+signatures (a pair at the threshold agrees in less than CUT of the places with probability
+8e-9), then the full sets. Larger nodes branch on.
 
 A pair at the threshold stays together in a child of a node with probability 0.91 and, however
 deep a tree goes, with 0.75; independent trees would all miss it with
@@ -22,7 +22,9 @@ chunks, and no pairs are emitted: a node's links leave as one star for each comp
 
 Edge cases: null and empty texts have an empty set and are linked with nothing. Rows without
 an id never stand for others; a row without an id whose set nobody with an id has is kept.
-Rows of one id count as one document. Words are lower-cased in A-Z alone.
+Rows of one id count as one document. Ids of any type will do; the least one is least in its
+type's order. Ids that aren't whole numbers are known by 64-bit hashes inside. Words are
+lower-cased in A-Z alone.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from sparkurate.llm import common
 SHINGLE = 5
 THRESHOLD = 85  # per cent
 HASHES = 64
-CUT = 0.65
+CUT = 0.55
 TREES = 8
 LIMIT = 2048
 LIMIT_SHINGLES = 1 << 20
@@ -90,6 +92,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> _U(32)).astype(np.uint32)
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """doc_id, rep (the id as a number, or its hash), text."""
+    whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    number = F.col("doc_id").cast("long") if whole else F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id"))
+    return docs.select("doc_id", number.alias("rep"), "text")
+
+
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, two hashes of the whole set, signature (null for an empty set)."""
     schema = T.StructType([common.id_field(docs), T.StructField("n_shingles", T.LongType()), T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType()), T.StructField("signature", T.BinaryType())])
@@ -209,7 +218,7 @@ def _links(table: pa.Table) -> pa.Table:
 
 
 def compare(nodes: DataFrame, signatures: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links a, b (stars around the least id) found in small nodes (node, rep), confirmed on full sets."""
+    """Links a, b (stars around the least rep) found in small nodes (node, rep), confirmed on full sets; docs is identified()."""
     began = common.mark()
     near = common.materialize(nodes.join(signatures.select("rep", "signature"), "rep").select("node", "rep", "signature").groupBy("node").applyInArrow(_alike, "node long, rep long"))
     wanted = common.materialize(near.select("rep").distinct())
@@ -223,7 +232,7 @@ def compare(nodes: DataFrame, signatures: DataFrame, docs: DataFrame) -> DataFra
 
         return step
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi")
+    picked = docs.select("rep", "text").join(wanted, "rep", "left_semi")
     sets = common.map_rows(picked, start, T.StructType([T.StructField("rep", T.LongType()), T.StructField("shingles", T.BinaryType())]))
     sets = common.materialize(sets.where(F.length("shingles") > 0))
     links = common.materialize(near.join(sets, "rep").select("node", "rep", "shingles").groupBy("node").applyInArrow(_links, "a long, b long").distinct())
@@ -300,8 +309,11 @@ def _bodies(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     began = common.mark()
+    whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    docs = identified(docs)
     known = common.materialize(features(docs))
-    classes = known.where("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b").agg(F.min(F.col("doc_id").cast("long")).alias("rep"), F.first("signature").alias("signature"))
+    rep = F.min(F.col("doc_id").cast("long") if whole else F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")))
+    classes = known.where("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b").agg(rep.alias("rep"), F.min("doc_id").alias("own"), F.first("signature").alias("signature"))
     classes = common.materialize(classes)
     signatures = classes.where("rep is not null").select("rep", F.col("n_shingles").alias("n"), "signature")
 
@@ -341,10 +353,13 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
         every = every.union(more)
     labels = components(every)
     common.discard_since(began, docs.sparkSession, known, classes, labels)
-    named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("n_shingles", "set_a", "set_b", F.coalesce("component", "rep").alias("_class"))
+    named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("n_shingles", "set_a", "set_b", "own", F.coalesce("component", "rep").alias("_class"))
+    if not whole:  # a component's name is its least id, not its least hash
+        named = named.join(named.groupBy("_class").agg(F.min("own").alias("_least")), "_class", "left").drop("_class").withColumnRenamed("_least", "_class")
     joined = known.drop("signature").join(named, ["n_shingles", "set_a", "set_b"], "left")
-    component = F.coalesce(F.col("_class"), F.col("doc_id").cast("long"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id").cast("long") == component, component.isNull()).alias("kept"))
+    own = F.col("doc_id").cast("long") if whole else F.col("doc_id")
+    component = F.coalesce(F.col("_class"), own)
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(own == component, component.isNull()).alias("kept"))
 
 
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Texts longer than SPLIT characters are cut at safe boundaries: one ASCII space between two
 ASCII letters or digits. No piece of the model has its space mark inside, so no merge crosses
-such a space, and the mark that the space would give is the one put before the next part.
+such a space, and the mark that the space would give is the one put before the next part; both
+are looked up in the model, and texts of a model where they don't hold are encoded whole.
 Parts are encoded in batches of about BATCH_BYTES bytes, so that a batch's memory doesn't
 depend on the number or length of its texts. A text without a boundary is encoded whole.
 
@@ -34,6 +35,9 @@ def processor(path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         mark = "▁"
         splits = not any(mark in model.id_to_piece(i).lstrip(mark) for i in range(model.get_piece_size()))
+        # The model has to put the mark before a text, as it does for a space between words.
+        probes = [("a", "b"), ("0", "Z"), ("the end", "x9"), ("Z", "a b")]
+        splits = splits and all(model.encode(f"{x} {y}") == model.encode(x) + model.encode(y) for x, y in probes)
         _loaded[path] = (model, splits)
     return _loaded[path]
 
@@ -71,7 +75,7 @@ def count_texts(texts: list[str], path: str) -> list[int]:
             if part:
                 waiting.append(part)
                 owners.append(i)
-                held += len(part)
+                held += len(part) if part.isascii() else len(part.encode())
                 if held >= BATCH_BYTES:
                     flush()
     if waiting:

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -8,9 +9,14 @@ from sparkurate.llm import neardup
 DDL = "doc_id long, text string, source string"
 
 
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
 def brute(rows):
-    """Components by comparing all pairs of sets."""
-    sets = [(i, set(neardup.shingle_set(t or "").tolist())) for i, t, _ in rows]
+    """Components by comparing all pairs of sets of words in plain tuples."""
+    sets = [(i, shingles(t or "")) for i, t, *_ in rows]
     parent = {i: i for i, _ in sets}
 
     def find(x):
@@ -77,3 +83,29 @@ def test_exhaustive_comparison():
     a = np.arange(100, dtype=np.uint64)
     sets = [a, a[:-5], np.arange(200, 300, dtype=np.uint64), a[15:]]
     assert neardup.components_of([5, 3, 4, 9], sets) == [(3, 5), (3, 9)]
+
+
+def test_ids_of_any_type(spark):
+    """String ids: the least one in string order names a component."""
+    rows = [(f"d{i:03}", t, s) for i, t, s in corpus(7, groups=2, copies=20, alone=10)] + [(None, "a b c d e f", "x"), ("zz", None, None)]
+    want, _ = brute([r for r in rows if r[0] is not None])
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string, source string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is not None:
+            assert (r.component_id, r.kept) == (want[r.doc_id], want[r.doc_id] == r.doc_id)
+
+
+def test_query_holds_its_contract(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = corpus(9, groups=3, copies=25, alone=25) + [(5000, None, None), (5001, "", "a"), (5002, "One two", "a"), (5003, "one\ttwo", "b"), (5004, "x" * 100_000, "b")]
+    docs = spark.createDataFrame(rows, DDL)
+    for name in ("rep", "n", "signature", "own", "node", "_class", "component"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want, sizes = brute(rows)
+    got = neardup.op6_near_duplicates(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.component_id, r.n_shingles, r.kept) for r in got) == sorted((i, want[i], sizes[i], want[i] == i) for i, *_ in rows)
+    left = neardup.stage(spark, docs, "")
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i in want if want[i] == i}
