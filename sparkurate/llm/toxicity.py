@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +55,8 @@ DRIFT = 0.05
 SIGNIFICANT = 0.05
 THRESHOLD = 0.7
 FLUSH = 1 << 18
-#: Tokens whose log-odds a worker remembers, and their greatest length.
-RECENT = 1 << 18
+#: Tokens whose log-odds a task remembers, and their greatest length.
+RECENT = 1 << 16
 RECENT_LENGTH = 32
 _SAMPLE = 1 << 20
 _token = re.compile(r"[^\W_]+").findall
@@ -250,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches):
-        own = shared.value
+        own = replace(shared.value)  # what it remembers goes with the task
         for batch in batches:
             best, tokens = [], []
             for text in common.texts_of(batch):
@@ -265,7 +265,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def statistics(batches):
-        own = shared.value
+        own = replace(shared.value)  # what it remembers goes with the task
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([own.judged(*own.segments(t))[0] for t in common.texts_of(batch)], pa.float64()), common.column_of(batch, "toxic")], names=["x", "toxic"])
 
@@ -285,7 +285,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     arrow = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def start():
-        own = shared.value
+        own = replace(shared.value)  # what it remembers goes with the task
 
         def step(batch):
             made = [own.score(t) for t in common.texts_of(batch)]
@@ -314,7 +314,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(_trained(spark, docs, sf_dir))
 
     def start():
-        own = shared.value
+        own = replace(shared.value)  # what it remembers goes with the task
         return lambda batch: batch.filter(pa.array([own.score(t)[0] < THRESHOLD for t in common.texts_of(batch)]))
 
     return common.map_rows(docs, start, docs.schema)
