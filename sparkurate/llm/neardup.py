@@ -2,16 +2,17 @@
 
 A document's set holds the 64-bit hashes of its distinct 5-word shingles. Documents of equal
 sets are one class from the start; the least id stands for it. Each class has a signature of
-HASHES minwise values. In each of TREES independent trees a node picks one or two of the
+HASHES minwise values. In each of several independent trees a node picks one or two of the
 places of the signature, by a hash of the node; a child holds the node's members that have
 the same value there. Nodes of up to LIMIT members are compared exhaustively: first the
-signatures (a pair at the threshold agrees in less than CUT of the places with probability
-8e-9), then the full sets. Larger nodes branch on.
+signatures (a pair at the threshold agrees in less than the threshold less SLACK of the places
+with probability 8e-9 at 85 per cent and 2e-8 at 80), then the full sets. Larger nodes branch on.
 
-A pair at the threshold stays together in a child of a node with probability 0.91 and, however
-deep a tree goes, with 0.75; independent trees would all miss it with
-0.25 ** TREES = 1.5e-5, but all draw from the same places: by a review's calculation 2.7e-5 after
-4 levels, 1.9e-4 after 8 and 3.9e-4 after 12.
+A pair of similarity t stays together in a child of a node with probability t + t (1 - t) / 2 and is
+parted in a tree, however deep, with (1 - t) (2 - t) / t**2: 0.24 at 85 per cent, 0.38 at 80.
+There are as many trees as bring the product under MISS, if trees were independent: 8 at 85 per cent,
+12 at 80. But all draw from the same places: by a review's calculation for 85 per cent a pair
+at the threshold is missed with 2.7e-5 after 4 levels, 1.9e-4 after 8 and 3.9e-4 after 12.
 
 Groups of thousands of near copies: after STAR_LEVEL levels a large node is also cut into
 chunks of under LIMIT that share PIVOTS members, each compared exhaustively. Nodes that are
@@ -29,6 +30,7 @@ lower-cased in A-Z alone.
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -41,9 +43,10 @@ from sparkurate.llm import common
 
 SHINGLE = 5
 THRESHOLD = 85  # per cent
+STAGE_THRESHOLD = 80  # the pipeline's
 HASHES = 64
-CUT = 0.55
-TREES = 8
+SLACK = 0.3
+MISS = 2e-5
 LIMIT = 2048
 LIMIT_SHINGLES = 1 << 20
 STAR_LEVEL = 4
@@ -92,6 +95,15 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> _U(32)).astype(np.uint32)
 
 
+def trees_for(threshold: int) -> int:
+    """How many trees part a pair at the threshold (per cent) with MISS at most; 70 is the least that will do."""
+    parted = (100 - threshold) * (200 - threshold) / max(threshold, 1) ** 2
+    trees = 1 if threshold >= 100 else math.ceil(math.log(MISS) / math.log(parted)) if parted < 1 else math.inf
+    if trees > len(_ROOTS):
+        raise ValueError(f"a similarity of {threshold} per cent needs more than {len(_ROOTS)} trees")
+    return trees
+
+
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, rep (the id as a number, or its hash), text."""
     whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
@@ -137,7 +149,7 @@ def children(nodes: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.
 _ROWS = T.StructType([T.StructField("node", T.LongType()), T.StructField("rep", T.LongType()), T.StructField("n", T.LongType())])
 
 
-def branch(members: DataFrame, trees: int = TREES) -> DataFrame:
+def branch(members: DataFrame, trees: int = 0) -> DataFrame:
     """members: rep, n, signature and, below the roots, node. Returns the children's node, rep, n."""
     rooted = "node" not in members.columns
 
@@ -155,11 +167,11 @@ def branch(members: DataFrame, trees: int = TREES) -> DataFrame:
     return common.map_rows(members, start, _ROWS)
 
 
-def linked(sizes: np.ndarray, size: int, shared: np.ndarray) -> np.ndarray:
-    return 100 * shared >= THRESHOLD * (sizes + size - shared)
+def linked(sizes: np.ndarray, size: int, shared: np.ndarray, threshold: int) -> np.ndarray:
+    return 100 * shared >= threshold * (sizes + size - shared)
 
 
-def components_of(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def components_of(ids: list[int], sets: list[np.ndarray], threshold: int = THRESHOLD) -> list[tuple[int, int]]:
     """Exhaustive comparison: (least id of its component, id) of every member linked with another.
 
     From each member reached, only members not reached yet are compared: their links suffice
@@ -191,7 +203,7 @@ def components_of(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int
             mark[own] = True
             shared = np.bincount(owners[mark[elements]], minlength=m)
             mark[own] = False
-            new = np.flatnonzero(free & linked(sizes, int(sizes[i]), shared))
+            new = np.flatnonzero(free & linked(sizes, int(sizes[i]), shared, threshold))
             free[new] = False
             group.extend(new.tolist())
             todo.extend(new.tolist())
@@ -200,27 +212,28 @@ def components_of(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int
     return links
 
 
-def _alike(table: pa.Table) -> pa.Table:
+def _alike(table: pa.Table, threshold: int) -> pa.Table:
     """The members of a node whose signature is near another's."""
+    least = (threshold / 100 - SLACK) * HASHES
     signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(-1, HASHES)
     keep = np.zeros(len(signatures), bool)
     for i in range(len(signatures) - 1):
-        near = (signatures[i + 1 :] == signatures[i]).sum(axis=1) >= CUT * HASHES
+        near = (signatures[i + 1 :] == signatures[i]).sum(axis=1) >= least
         if near.any():
             keep[i] = True
             keep[i + 1 :] |= near
     return table.select(["node", "rep"]).filter(pa.array(keep))
 
 
-def _links(table: pa.Table) -> pa.Table:
-    found = components_of(table["rep"].to_pylist(), [np.frombuffer(b, np.uint64) for b in table["shingles"].to_pylist()])
+def _links(table: pa.Table, threshold: int) -> pa.Table:
+    found = components_of(table["rep"].to_pylist(), [np.frombuffer(b, np.uint64) for b in table["shingles"].to_pylist()], threshold)
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
-def compare(nodes: DataFrame, signatures: DataFrame, docs: DataFrame) -> DataFrame:
+def compare(nodes: DataFrame, signatures: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
     """Links a, b (stars around the least rep) found in small nodes (node, rep), confirmed on full sets; docs is identified()."""
     began = common.mark()
-    near = common.materialize(nodes.join(signatures.select("rep", "signature"), "rep").select("node", "rep", "signature").groupBy("node").applyInArrow(_alike, "node long, rep long"))
+    near = common.materialize(nodes.join(signatures.select("rep", "signature"), "rep").select("node", "rep", "signature").groupBy("node").applyInArrow(lambda t: _alike(t, threshold), "node long, rep long"))
     wanted = common.materialize(near.select("rep").distinct())
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
@@ -235,7 +248,7 @@ def compare(nodes: DataFrame, signatures: DataFrame, docs: DataFrame) -> DataFra
     picked = docs.select("rep", "text").join(wanted, "rep", "left_semi")
     sets = common.map_rows(picked, start, T.StructType([T.StructField("rep", T.LongType()), T.StructField("shingles", T.BinaryType())]))
     sets = common.materialize(sets.where(F.length("shingles") > 0))
-    links = common.materialize(near.join(sets, "rep").select("node", "rep", "shingles").groupBy("node").applyInArrow(_links, "a long, b long").distinct())
+    links = common.materialize(near.join(sets, "rep").select("node", "rep", "shingles").groupBy("node").applyInArrow(lambda t: _links(t, threshold), "a long, b long").distinct())
     common.discard_since(began, docs.sparkSession, links)
     return links
 
@@ -306,8 +319,8 @@ def _bodies(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return found.where("outside > 0")
 
 
-def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row; sets are linked from a similarity of threshold per cent on."""
     began = common.mark()
     whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
     docs = identified(docs)
@@ -317,7 +330,7 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     classes = common.materialize(classes)
     signatures = classes.where("rep is not null").select("rep", F.col("n_shingles").alias("n"), "signature")
 
-    rows = common.materialize(branch(signatures, trees))
+    rows = common.materialize(branch(signatures, trees_for(threshold)))
     found, links, labels = [], [], None
     for level in range(1, MAX_LEVELS + 1):
         sizes = _sizes(rows)
@@ -327,13 +340,13 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
             break
         rows = common.materialize(rows.join(large.select("node"), "node"))
         if level == STAR_LEVEL:
-            links.append(compare(_star_nodes(rows, large), signatures, docs))
+            links.append(compare(_star_nodes(rows, large), signatures, docs, threshold))
             labels = components(links[0])
         if labels is not None:
             mixed = common.materialize(large.join(_bodies(rows, labels), "node"))
             settled = mixed if level == MAX_LEVELS else mixed.where(F.col("outside") <= FEW)
             if not settled.isEmpty():
-                links.append(compare(_rest_nodes(rows, settled, labels), signatures, docs))
+                links.append(compare(_rest_nodes(rows, settled, labels), signatures, docs, threshold))
             if level == MAX_LEVELS:
                 break
             rows = rows.join(mixed.where(F.col("outside") > FEW).select("node"), "node")
@@ -347,7 +360,7 @@ def near_duplicates(docs: DataFrame, trees: int = TREES) -> DataFrame:
     members = found[0][0]
     for more, _ in found[1:]:
         members = members.union(more)
-    links.append(compare(members.select("node", "rep").join(chosen, "node"), signatures, docs))
+    links.append(compare(members.select("node", "rep").join(chosen, "node"), signatures, docs, threshold))
     every = links[0]
     for more in links[1:]:
         every = every.union(more)
@@ -367,8 +380,8 @@ def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near duplicates the document of the least id stays, with all its rows."""
-    found = near_duplicates(docs)
+    """Pipeline stage: of each group of near duplicates (80 per cent) the document of the least id stays, with all its rows."""
+    found = near_duplicates(docs, STAGE_THRESHOLD)
     gone = common.materialize(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct())
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)

@@ -14,7 +14,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute(rows):
+def brute(rows, threshold=85):
     """Components by comparing all pairs of sets of words in plain tuples."""
     sets = [(i, shingles(t or "")) for i, t, *_ in rows]
     parent = {i: i for i, _ in sets}
@@ -26,7 +26,7 @@ def brute(rows):
 
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= threshold * len(a | b):
                 low, high = sorted((find(i), find(j)))
                 parent[high] = low
     return {i: find(i) for i, _ in sets}, {i: len(s) for i, s in sets}
@@ -51,9 +51,9 @@ def corpus(seed, groups=6, copies=60, alone=60):
     return rows
 
 
-def check(spark, rows):
-    want, sizes = brute(rows)
-    got = neardup.near_duplicates(spark.createDataFrame(rows, DDL)).collect()
+def check(spark, rows, threshold=85):
+    want, sizes = brute(rows, threshold)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, DDL), threshold).collect()
     assert len(got) == len(rows)
     for r in got:
         assert (r.component_id, r.n_shingles, r.kept) == (want[r.doc_id], sizes[r.doc_id], want[r.doc_id] == r.doc_id)
@@ -63,6 +63,19 @@ def test_components_match_brute_force(spark):
     check(spark, corpus(1))
 
 
+def test_other_thresholds(spark):
+    rows = corpus(3, groups=4, copies=40, alone=30)
+    assert brute(rows, 80)[0] != brute(rows)[0]
+    check(spark, rows, 80)
+
+
+def test_trees_follow_the_threshold():
+    assert [neardup.trees_for(t) for t in (100, 90, 85, 80)] == [1, 6, 8, 12]
+    for t in (0, 50, 68):
+        with pytest.raises(ValueError):
+            neardup.trees_for(t)
+
+
 @pytest.mark.parametrize(("star", "levels", "few"), [(1, 2, 8), (2, 3, 0)])
 def test_large_nodes_lose_no_link(spark, monkeypatch, star, levels, few):
     for name, value in (("LIMIT", 16), ("STAR_LEVEL", star), ("MAX_LEVELS", levels), ("FEW", few)):
@@ -107,5 +120,6 @@ def test_query_holds_its_contract(spark, tmp_path):
     want, sizes = brute(rows)
     got = neardup.op6_near_duplicates(spark, str(tmp_path)).collect()
     assert sorted((r.doc_id, r.component_id, r.n_shingles, r.kept) for r in got) == sorted((i, want[i], sizes[i], want[i] == i) for i, *_ in rows)
+    want, _ = brute(rows, 80)
     left = neardup.stage(spark, docs, "")
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i in want if want[i] == i}
