@@ -4,8 +4,9 @@ Texts are lower-cased, every run of non-letters becomes one space, and the 1-, 2
 3-grams of what remains are hashed into BUCKETS counters. Training sums the counters of a
 language over a bounded, documented sample (MAX_TRAIN_DOCS documents a language in
 expectation, chosen by a hash of the id, so the choice is the same in every run). The matrix
-of log-probabilities has languages x BUCKETS cells, languages <= MAX_LANGUAGES, so its
-broadcast is bounded; more languages than that raise an error.
+of log-probabilities is broadcast and has at most MATRIX cells (32 MB): up to 256 languages have
+all BUCKETS counters; with more, neighbouring counters are one, as few as that needs. The driver
+holds the languages' names and the matrix.
 
 Nulls and edge cases: a null text, or one without a letter, is ``und`` with score 0; so is
 everything if nothing can be learned. Null ids or languages are never trained on, null ids
@@ -27,7 +28,10 @@ from sparkurate.llm import common
 
 BUCKETS = 1 << 15
 MAX_TRAIN_DOCS = 4000
-MAX_LANGUAGES = 1000
+#: Cells of the matrix, unless it has more languages than that.
+MATRIX = 1 << 23
+#: Up to so many languages' sample bounds are broadcast; beyond, a shuffled join.
+BROADCAST_LANGUAGES = 100_000
 SMOOTHING = 0.5
 #: Overlapping n-grams are not independent; at most so many count as evidence for the score.
 EVIDENCE = 64
@@ -67,7 +71,12 @@ def grams(text: str) -> np.ndarray:
     return np.concatenate(found)
 
 
-def sparse_counts(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def buckets_for(languages: int) -> int:
+    """How many counters a language has, a power of two."""
+    return 1 << (min(BUCKETS, max(1, MATRIX // max(1, languages))).bit_length() - 1)
+
+
+def sparse_counts(texts: list[str | None], buckets: int = BUCKETS) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Batches of texts as sparse rows: the first text, where each text's cells start, their buckets and counts.
 
     A batch has some CELLS n-grams, or one text.
@@ -75,18 +84,18 @@ def sparse_counts(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np
     first, held, size = 0, [], 0
 
     def batch():
-        keys = np.sort(np.concatenate([g + i * BUCKETS for i, g in enumerate(held)]))
+        keys = np.sort(np.concatenate([g + i * buckets for i, g in enumerate(held)]))
         start = np.flatnonzero(np.diff(keys, prepend=-1))
         cells = keys[start]
-        return first, np.searchsorted(cells, np.arange(len(held) + 1) * BUCKETS), cells % BUCKETS, np.diff(np.append(start, len(keys)))
+        return first, np.searchsorted(cells, np.arange(len(held) + 1) * buckets), cells % buckets, np.diff(np.append(start, len(keys)))
 
     for text in texts:
-        own = grams(text) if text else np.zeros(0, np.int64)
+        own = grams(text) // (BUCKETS // buckets) if text else np.zeros(0, np.int64)
         if len(own) > CELLS:  # a long text's n-grams are counted by themselves
             if held:
                 yield batch()
                 first, held, size = first + len(held), [], 0
-            counted = np.bincount(own, minlength=BUCKETS)
+            counted = np.bincount(own, minlength=buckets)
             used = np.flatnonzero(counted)
             yield first, np.array([0, len(used)]), used, counted[used]
             first += 1
@@ -106,7 +115,7 @@ class Model:
     def __init__(self, languages: list[str], counts: np.ndarray, docs: np.ndarray) -> None:
         self.languages = languages
         mass = counts + SMOOTHING
-        self.log_p = np.log(mass / mass.sum(axis=1, keepdims=True)).astype(np.float32).T.copy() if languages else np.zeros((BUCKETS, 0), np.float32)
+        self.log_p = np.log(mass / mass.sum(axis=1, keepdims=True)).astype(np.float32).T.copy() if languages else np.zeros((counts.shape[1], 0), np.float32)
         self.prior = np.log((docs + 1.0) / (docs.sum() + len(languages))) if languages else np.zeros(0)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -114,7 +123,7 @@ class Model:
         found: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
         if not self.languages:
             return found
-        for first, starts, buckets, n in sparse_counts(texts):
+        for first, starts, buckets, n in sparse_counts(texts, len(self.log_p)):
             rows = np.flatnonzero(np.diff(starts))
             if not len(rows):
                 continue
@@ -134,35 +143,33 @@ class Model:
 def train(docs: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> Model:
     """docs: doc_id, text, lang of the rows to learn from."""
     rows = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null and doc_id is not null")
-    sizes = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect())
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect())
     names = [k for k, _ in sizes]
-    counts = np.zeros((len(names), BUCKETS))
+    buckets = buckets_for(len(names))
+    counts = np.zeros((len(names), buckets))
     if not names:
         return Model([], counts, np.zeros(0))
-    bound = F.create_map(*[F.lit(x) for k, n in sizes for x in (k, int(_SAMPLE * min(1.0, max_train_docs / n)))])
-    sample = rows.where(F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(_SAMPLE)) < bound[F.col("lang")])
-    schema = "lang string, bucket int, n long"
+    bounds = docs.sparkSession.createDataFrame([(k, i, int(_SAMPLE * min(1.0, max_train_docs / n))) for i, (k, n) in enumerate(sizes)], "lang string, place int, bound long")
+    if len(names) <= BROADCAST_LANGUAGES:
+        bounds = F.broadcast(bounds)
+    sample = rows.join(bounds, "lang").where(F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(_SAMPLE)) < F.col("bound"))
+    schema = "place int, bucket int, n long"
     common.ship(docs.sparkSession)
 
     def count(batches):
-        seen: dict[str, np.ndarray] = {}
+        seen: dict[int, np.ndarray] = {}
         for batch in batches:
-            for lang, text in zip(common.column_of(batch, "lang").to_pylist(), common.texts_of(batch), strict=True):
-                made = grams(text)
+            for place, text in zip(common.column_of(batch, "place").to_pylist(), common.texts_of(batch), strict=True):
+                made = grams(text) // (BUCKETS // buckets)
                 if len(made):
-                    counted = np.bincount(made, minlength=BUCKETS)
-                    seen[lang] = counted if lang not in seen else seen[lang] + counted
-        for lang, made in seen.items():
+                    counted = np.bincount(made, minlength=buckets)
+                    seen[place] = counted if place not in seen else seen[place] + counted
+        for place, made in seen.items():
             used = np.flatnonzero(made)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(used), pa.string()), "bucket": pa.array(used, pa.int32()), "n": pa.array(made[used], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"place": pa.array([place] * len(used), pa.int32()), "bucket": pa.array(used, pa.int32()), "n": pa.array(made[used], pa.int64())})
 
-    place = {k: i for i, k in enumerate(names)}
-    got = sample.select("text", "lang").mapInArrow(count, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    lang = got["lang"].combine_chunks().dictionary_encode()
-    rows_of = np.array([place[k] for k in lang.dictionary.to_pylist()], np.int64)
-    counts[rows_of[lang.indices.to_numpy()], got["bucket"].to_numpy()] = got["n"].to_numpy()
+    got = sample.select("text", "place").mapInArrow(count, schema).groupBy("place", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts[got["place"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
     return Model(names, counts, np.array([n for _, n in sizes], float))
 
 

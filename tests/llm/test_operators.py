@@ -164,6 +164,20 @@ def test_language_batches_match_plain_bayes(monkeypatch):
         assert [a for a, _ in got] == [a for a, _ in plain] and [b for _, b in got] == pytest.approx([b for _, b in plain], rel=1e-3)
 
 
+def test_language_matrix_is_bounded(spark, monkeypatch):
+    """Many languages have fewer counters each; none is left out."""
+    assert [langid.buckets_for(n) for n in (0, 1, 256, 257, 1 << 30)] == [1 << 15, 1 << 15, 1 << 15, 1 << 14, 1]
+    rng = random.Random(43)
+    letters = [chr(c) for c in range(0x4E00, 0x9000)]
+    rows = [(k, "".join(rng.choice(letters) for _ in range(300)), f"l{k:04}") for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert len(model.languages) == 1200 and model.log_p.shape == (4096, 1200)
+    assert all(r.lang_pred == f"l{r.doc_id:04}" for r in langid.predict(docs, model).collect())
+    monkeypatch.setattr(langid, "BROADCAST_LANGUAGES", 10)
+    assert np.array_equal(langid.train(docs).log_p, model.log_p)
+
+
 # --- op3 -------------------------------------------------------------------------------------
 
 
