@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkurate.llm import bpe, langid, lm, mixing, mpeg, neardup, quality, tokencount, toxicity, wrappers
+from sparkurate.llm import bpe, langid, lm, mixing, mpeg, neardup, prefixtrie, quality, syncmers, tokencount, toxicity, whitening, wrappers
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mixing": mixing.op8_source_mixing,
         "op9_token_counts": tokencount.op9_token_counts,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_prefix_trie": prefixtrie.op11_prefix_trie,
+        "op12_embedding_whitening": whitening.op12_embedding_whitening,
+        "op13_document_fingerprints": syncmers.op13_document_fingerprints,
     }
 
 
