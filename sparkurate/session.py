@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, memory: str = "8g", shuffle_partitions: int = 8) -> SparkSession:
@@ -31,3 +31,10 @@ def scratch_folder(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="scratch-")
     return f"{base}/files/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df once written to the scratch folder and read again: what isn't the same in every run, such as where files are split, stays as it was."""
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

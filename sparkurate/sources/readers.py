@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from fnmatch import fnmatchcase
 
@@ -12,6 +14,8 @@ from pyspark.sql import types as T
 from sparkurate import schemas
 from sparkurate.functions import columns as C
 from sparkurate.functions import values as V
+from sparkurate.session import written
+from sparkurate.sources import lines
 
 _SUFFIXES = (".csv", ".csv.gz", ".tsv", ".tsv.gz", ".parquet")
 _SHARD_SUFFIXES = (".csv", ".csv.gz", ".parquet")
@@ -49,13 +53,16 @@ def find_files(folder: str, stem: str, all_shards: bool = False, spark: SparkSes
     raise FileNotFoundError(f"no file of the table {stem!r} in {folder}")
 
 
+_SEPARATORS = ("\t", ",", ";", "|")
+
+
 def _header(spark: SparkSession, path: str) -> str:
     first = spark.read.text(path).first()
     return first["value"].removeprefix("\ufeff") if first else ""
 
 
 def _separator(header: str) -> str:
-    return max(("\t", ",", ";", "|"), key=header.count)
+    return max(_SEPARATORS, key=header.count)
 
 
 def sniff_delimiter(path: str, spark: SparkSession | None = None) -> str:
@@ -63,26 +70,70 @@ def sniff_delimiter(path: str, spark: SparkSession | None = None) -> str:
     return _separator(_header(spark or _session(), path))
 
 
+def _names(header: str, separator: str) -> tuple[str, ...]:
+    return tuple(n.strip() for n in next(csv.reader(io.StringIO(header.removeprefix("\ufeff"), newline=""), delimiter=separator), []))
+
+
+def _shapes(spark: SparkSession, paths: list[str]) -> list[tuple[str, str, bool]]:
+    """file, header line, whether a record of it spans lines; one row a file meets the driver."""
+    rows = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"))
+    spans = [F.max(lines.opens(F.col("value"), s)).alias(f"spans{i}") for i, s in enumerate(_SEPARATORS)]
+    found = rows.groupBy("file").agg(F.min_by("value", "at").alias("header"), *spans).orderBy("file").collect()
+    return [(r["file"], r["header"], r[f"spans{_SEPARATORS.index(_separator(r['header']))}"]) for r in found]
+
+
+def _parsed(records: DataFrame, names: tuple[str, ...], separator: str) -> DataFrame:
+    """Columns of records given as text; those of another number of fields are dropped."""
+    ddl = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in (*names, "_malformed"))
+    options = {"sep": separator, "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+    parsed = records.select(F.from_csv("value", F.lit(ddl), options).alias("r"))
+    return parsed.where(F.col("r").isNotNull() & F.col("r._malformed").isNull()).select(*[F.col("r").getField(n).alias(n) for n in names])
+
+
 def read_untyped(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """Every column a string; rows of another number of fields are dropped. Parquet is read as such.
+    """Every column a string; records of another number of fields are dropped. Parquet is read as such.
 
-    Columns are chosen by the file's header, so files may have more and in any order. A gzip
-    file is one task: its rows are dealt out at once. The session's settings don't matter.
+    Columns are chosen by each file's own header, so files may have more and in any order; a column that
+    a file lacks is null in its rows. Quoted fields may hold line ends: files with such records are
+    put together from lines in any splits (lines.records), all others are read as they are. A first
+    look at the text tells which. A gzip file is one task: its rows are dealt out at once. The
+    session's settings don't matter.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if paths[0].endswith(".parquet"):
         table = spark.read.parquet(*paths)
         names = schema.names if schema else table.columns
         return table.select(*[F.col(n).cast("string").alias(n) for n in names])
-    line = _header(spark, paths[0])
-    separator = _separator(line)
-    header = [h.strip().strip('"') for h in line.rstrip("\r\n").split(separator)]
+    plain: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    spanning: dict[str, list[str]] = {}
+    for file, header, spans in _shapes(spark, paths):
+        separator = _separator(header)
+        if spans:
+            spanning.setdefault(separator, []).append(file)
+        else:
+            plain.setdefault((separator, _names(header, separator)), []).append(file)
     # A pruned read would keep malformed rows: this one reads all columns, which are chosen after it.
-    options = {"header": True, "sep": separator, "mode": "DROPMALFORMED", "escape": '"', "multiLine": False, "columnPruning": False}
-    table = spark.read.schema(schemas.strings(*header)).options(**options).csv(paths)
-    if paths[0].endswith(".gz"):
-        table = table.repartition(spark.sparkContext.defaultParallelism)
-    return table.select(*schema.names) if schema else table
+    options = {"header": True, "mode": "DROPMALFORMED", "escape": '"', "multiLine": False, "columnPruning": False}
+    tables = []
+    for (separator, names), files in plain.items():
+        table = spark.read.schema(schemas.strings(*names)).options(sep=separator, **options).csv(files)
+        tables.append(table.repartition(spark.sparkContext.defaultParallelism) if any(f.endswith(".gz") for f in files) else table)
+    for separator, files in spanning.items():
+        records = written(lines.records(spark, files, separator))
+        heads = records.groupBy("file").agg(F.min("place").alias("place"), F.min_by("value", "place").alias("header")).orderBy("file").collect()
+        body = records.join(records.groupBy("file").agg(F.min("place").alias("head")), "file").where(F.col("place") > F.col("head"))
+        by_names: dict[tuple[str, ...], list[str]] = {}
+        for r in heads:
+            by_names.setdefault(_names(r["header"], separator), []).append(r["file"])
+        tables += [_parsed(body.where(F.col("file").isin(files_of)), names, separator) for names, files_of in by_names.items()]
+    if not tables:
+        return spark.createDataFrame([], schema or T.StructType([]))
+    table = tables[0]
+    for more in tables[1:]:
+        table = table.unionByName(more, allowMissingColumns=True)
+    if not schema:
+        return table
+    return table.select(*[F.col(n) if n in table.columns else F.lit(None).cast("string").alias(n) for n in schema.names])
 
 
 def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
@@ -121,6 +172,18 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).json(path)
 
 
+def read_json_lines_in_order(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """As read_json_lines, with file, line and place: the number of a row's line in its file, and over all files in path order."""
+    rows = lines.numbered(spark, path).where(F.trim("value") != "")
+    return rows.select("file", "line", "place", F.from_json("value", schema).alias("r")).select(*[F.col("r").getField(n).alias(n) for n in schema.names], "file", "line", "place")
+
+
+def first_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType, n: int) -> DataFrame:
+    """The first n rows in file order with their place; an error if there are fewer. Nothing is sorted."""
+    rows = lines.first_lines(spark, path, n).select("place", F.from_json("value", schema).alias("r"))
+    return rows.select(*[F.col("r").getField(c).alias(c) for c in schema.names], "place")
+
+
 def read_json_lines_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """As read_json_lines, but the first bad row is an error that names its file and line.
 
