@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkurate.functions import columns as C
 from sparkurate.functions import values as V
-from sparkurate.operators import lookups
+from sparkurate.operators import lookups, ordering
 
 
 def confusion(rows: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:
@@ -88,6 +88,5 @@ def kept_counts(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def ordered_text(df: DataFrame, keys: list[str], order: str, value: str, separator: str) -> DataFrame:
-    """keys, text: a group's values in order, joined."""
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]), separator)
-    return df.groupBy(*keys).agg(joined.alias("text"))
+    """keys, text: a group's values in order, joined; of equal places in value order. A hot key is dealt over many tasks."""
+    return ordering.joined_text(df, keys, [F.col(order), F.col(value)], value, separator)

@@ -6,10 +6,15 @@ key before the shuffle: even a key of a third of all rows sends few to its task.
 
 from __future__ import annotations
 
+import random
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkurate.functions import values as V
+from sparkurate.session import written
 
 
 def order_key(*ids: str, seed: int = V.SEED) -> Column:
@@ -31,23 +36,102 @@ def stratified_cap(df: DataFrame, by: list[str], flag: str, ids: list[str], caps
 
 
 def one_observer_each(df: DataFrame, observation: str, observer: str) -> bool:
-    """Whether an observation never has two observers, as diverse_top needs."""
+    """Whether an observation never has two observers, so that diverse_top is the greedy choice."""
     return df.groupBy(observation).agg(F.min(observer).alias("a"), F.max(observer).alias("b")).where("a <> b").isEmpty()
 
 
-def diverse_top(df: DataFrame, label: str, observation: str, observer: str, flag: str, ids: list[str], quota: Column | int, per_observer: int = V.PER_OBSERVER, seed: int = V.SEED) -> DataFrame:
+def _within_quota(df: DataFrame, label: str, order: list[Column], quota: Column | int) -> DataFrame:
+    """The first quota rows of each label; a column of quotas is bounded by its greatest."""
+    if isinstance(quota, int):
+        if quota < 1:
+            raise ValueError("a quota is 1 or more")
+        return ranked(df, [label], order, "n_label", quota)
+    most = df.agg(F.max(quota).alias("most")).first()["most"]
+    return ranked(df, [label], order, "n_label", most or 0).where(F.col("n_label") <= quota)
+
+
+def _draw_order(flag: str, ids: list[str], seed: int) -> list[Column]:
+    return [F.col(flag).desc(), order_key(*ids, seed=seed), *[F.col(i).asc_nulls_last() for i in ids]]
+
+
+def diverse_top(df: DataFrame, label: str, observation: str, observer: str, flag: str, ids: list[str], quota: Column | int, per_observer: int = V.PER_OBSERVER, seed: int = V.SEED, order: list[Column] | None = None) -> DataFrame:
     """Per label the first quota rows, flagged ones first: one an observation, few an observer.
 
     Three ranks over one total order; the greedy choice, as an observation has one observer.
     """
-    order = [F.col(flag).desc(), order_key(*ids, seed=seed), *[F.col(i).asc_nulls_last() for i in ids]]
+    order = order or _draw_order(flag, ids, seed)
     once = ranked(df, [label, observation], order, "n_observation", 1)
     few = ranked(once, [label, observer], order, "n_observer", per_observer)
-    if isinstance(quota, int):
-        if quota < 1:
-            raise ValueError("a quota is 1 or more")
-        return ranked(few, [label], order, "n_label", quota)
-    return ranked(few, [label], order, "n_label").where(F.col("n_label") <= quota)
+    return _within_quota(few, label, order, quota)
+
+
+def greedy_top(df: DataFrame, label: str, observation: str, observer: str, flag: str, ids: list[str], quota: Column | int, per_observer: int = V.PER_OBSERVER, seed: int = V.SEED, order: list[Column] | None = None) -> DataFrame:
+    """diverse_top for any rows: what a loop in order would choose that takes a row if its observation isn't used yet and its observer has room.
+
+    Rounds settle all labels at once. A row waits for earlier rows of its observation and its observer.
+    In a round those are taken that stand first in their observation and among the first
+    per_observer of their observer, taken ones counted: no earlier row can be in their way. Then the
+    rest of their observations goes, and that of observers who are full (whose taken rows are their first, so
+    all others come after). The first row of a label is always settled, and each round sends the first
+    rows of a key alone, so neither a label nor an observer is one task's. Null keys are keys like others.
+    """
+    order = order or _draw_order(flag, ids, seed)
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    rows = df.withColumns({"_label": key(label), "_observation": key(observation), "_observer": key(observer)})
+    # Of an observer's rows of one observation only the first can be taken.
+    one = ["_label", "_observation", "_observer"]
+    left = written(ranked(rows, one, order, "_n", 1).drop("_n"))
+    taken = None
+    while not left.isEmpty():
+        waiting = left.withColumn("_taken", F.lit(False))
+        if taken is not None:
+            waiting = waiting.unionByName(taken.withColumn("_taken", F.lit(True)))
+        first = ranked(left, ["_label", "_observation"], order, "_n", 1).select(one)
+        among = ranked(waiting, ["_label", "_observer"], order, "_n", per_observer).where("NOT _taken").drop("_n", "_taken")
+        new = written(among.join(first, one, "left_semi"))
+        taken = new if taken is None else written(taken.unionByName(new))
+        full = taken.groupBy("_label", "_observer").agg(F.count("*").alias("_n")).where(F.col("_n") >= per_observer).drop("_n")
+        left = written(left.join(new.select("_label", "_observation"), ["_label", "_observation"], "left_anti").join(full, ["_label", "_observer"], "left_anti"))
+    chosen = left if taken is None else taken
+    return _within_quota(chosen.drop(*one), label, order, quota)
+
+
+def seeded(df: DataFrame, bucket: str, place: str, buckets: list[str], most_rows: int, seed: int = V.SEED, sample: int | None = None, name: str = "drawn") -> DataFrame:
+    """Rows of the buckets with the number of their draw (from 1): what one seeded generator draws that goes from bucket to bucket.
+
+    What the generator uses up depends on the buckets' sizes alone: the driver lets it draw for each
+    size and keeps the state that it comes to a bucket with; the rows stay where they are until each bucket
+    is drawn by itself, in the order of place. A bucket of more than most_rows rows is an error, as it is one
+    task's. Without sample a bucket is shuffled whole, with it so many rows are drawn without repetition; an
+    empty bucket draws nothing.
+    """
+    rows = df.where(F.col(bucket).isin(*buckets))
+    sizes = {r[bucket]: r["n"] for r in rows.groupBy(bucket).agg(F.count("*").alias("n")).collect()}
+    large = [b for b, n in sizes.items() if n > most_rows]
+    if large:
+        raise ValueError(f"more than {most_rows} rows: {sorted(map(str, large))[:5]}")
+
+    def places_of(generator: random.Random, n: int) -> list[int]:
+        if sample is not None:
+            return generator.sample(range(n), min(n, sample))
+        places = list(range(n))
+        generator.shuffle(places)
+        return places
+
+    generator, states = random.Random(seed), {}
+    for b in buckets:
+        if b in sizes:
+            states[b] = generator.getstate()
+            places_of(generator, sizes[b])
+
+    def draw(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(place)
+        generator = random.Random()
+        generator.setstate(states[rows.column(bucket)[0].as_py()])
+        places = places_of(generator, rows.num_rows)
+        return rows.take(pa.array(places, pa.int64())).append_column(name, pa.array(range(1, len(places) + 1), pa.int64()))
+
+    return rows.groupBy(bucket).applyInArrow(draw, T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def shortages(chosen: DataFrame, quotas: DataFrame, label: str = "label_id") -> DataFrame:
@@ -90,14 +174,13 @@ def slices(df: DataFrame, by: list[str], order: list[Column], quotas: dict[str,
 
 
 def first_rows(df: DataFrame, place: str, n: int) -> DataFrame:
-    """The first n rows by place; an error if there are fewer, or n isn't positive."""
+    """The first n rows by place; an error if there are fewer, or n isn't positive. Rows are sorted once, by the result."""
     if n < 1:
         raise ValueError("a limit is 1 or more")
-    taken = df.orderBy(place).limit(n)
-    found = taken.count()
+    found = df.select(F.lit(1)).limit(n).count()
     if found < n:
         raise ValueError(f"{n} rows are asked for, {found} are there")
-    return taken
+    return df.orderBy(place).limit(n)
 
 
 def best_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkurate.functions import columns as C
 from sparkurate.functions import values as V
-from sparkurate.operators import sampling
+from sparkurate.operators import ordering, sampling
+from sparkurate.session import written
 
 
 def allocate(capacities: dict[str, int], need: int) -> dict[str, int]:
@@ -33,19 +34,16 @@ def allocate(capacities: dict[str, int], need: int) -> dict[str, int]:
 
 
 def allocation(capacities: DataFrame, need: int, key: str = "label", capacity: str = "capacity") -> DataFrame:
-    """allocate() on a table of any number of keys: key, capacity, share; ties in key order."""
-    whole = Window.partitionBy()
-    have = F.sum(capacity).over(whole)
-    product = F.lit(need).cast("long") * F.col(capacity)
-    base = capacities.withColumns({"_have": have, "share": F.when(have > 0, F.expr(f"{need}L * {capacity} div greatest(sum({capacity}) over (), 1)")).otherwise(0)})
-    fraction = product - F.col("share") * F.col("_have")
-    base = base.withColumn("_fraction", fraction)
-    rank = F.row_number().over(Window.orderBy(F.desc("_fraction"), F.desc(capacity), key))
-    room = F.sum(F.when(F.col("share") < F.col(capacity), 1).otherwise(0)).over(Window.orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0))
-    left = F.lit(need) - F.sum("share").over(whole)
-    out = base.withColumn("_rank", rank).withColumns({"_left": left, "_room": room})
-    extra = ((F.col("share") < F.col(capacity)) & (F.col("_room") <= F.col("_left"))).cast("long")
-    return out.select(key, capacity, (F.col("share") + extra).alias("share"))
+    """allocate() on a table of any number of keys: key, capacity, share; ties in key order.
+
+    Two sums of the whole table, and a place by fraction among the keys that have room; no window of all keys.
+    """
+    have = capacities.agg(F.coalesce(F.sum(capacity), F.lit(0)).alias("have")).first()["have"]
+    share = F.expr(f"{need}L * {capacity} div {max(have, 1)}L")
+    base = capacities.select(key, capacity, share.alias("share"), (F.lit(need).cast("long") * F.col(capacity) - share * F.lit(have)).alias("_fraction"), (share < F.col(capacity)).alias("_room"))
+    left = need - (base.agg(F.sum("share").alias("given")).first()["given"] or 0)
+    placed = ordering.numbered(base, [F.desc("_room"), F.desc("_fraction"), F.desc(capacity), F.col(key)], "_place")
+    return placed.select(key, capacity, (F.col("share") + (F.col("_room") & (F.col("_place") <= left)).cast("long")).alias("share"))
 
 
 def effective_labels(records: DataFrame) -> DataFrame:
@@ -59,9 +57,12 @@ def leaking(rows: DataFrame, key: str = "observation_id", split: str = "split")
     return rows.groupBy(key).agg(F.min(split).alias("_a"), F.max(split).alias("_b")).where("_a <> _b").select(key)
 
 
-def build_splits(records: DataFrame, known: list[str], known_quotas: dict[str, int] | None = None, unknown_quotas: dict[str, int] | None = None, extra: int = V.EXTRA_HARD_NEGATIVES, seed: int = V.SEED, ids: tuple[str, ...] = ("observation_id", "photo_id")) -> DataFrame:
+def build_splits(records: DataFrame, known: list[str], known_quotas: dict[str, int] | None = None, unknown_quotas: dict[str, int] | None = None, extra: int = V.EXTRA_HARD_NEGATIVES, seed: int = V.SEED, ids: tuple[str, ...] = ("observation_id", "photo_id"), place: str | None = None, most_rows: int = V.UNKNOWN_CAPS[1]) -> DataFrame:
     """Annotated rows of all splits; hard negatives again in train.
 
+    The order within a label is that of md5 keys; or, with place (the column of a row's number in
+    its file), that of one seeded generator which shuffles label after label, as sampling.seeded does.
+
     Known labels are cut at the quotas. Unknown rows are dealt split by split in proportion to
     what the splits before have left of each subclass: counts of three subclasses meet the
     driver, the rows stay where they are. Shortages raise one error, a key in two splits another.
@@ -84,6 +85,9 @@ def build_splits(records: DataFrame, known: list[str], known_quotas: dict[str, i
             dealt[k][split] = n
             left[k] -= n
     order = [sampling.order_key(*ids, seed=seed), *[F.col(i) for i in ids]]
+    if place:
+        rows = written(sampling.seeded(rows, "label_id", place, [*known, *V.INTERNAL_UNKNOWN], most_rows, seed, name="_drawn"))
+        order = [F.col("_drawn")]
     cut = sampling.slices(rows.where(F.col("label_id").isin(*known)), ["label_id"], order, known_quotas)
     for k, quotas in dealt.items():
         cut = cut.unionByName(sampling.slices(rows.where(F.col("label_id") == k), ["label_id"], order, quotas))
@@ -91,7 +95,12 @@ def build_splits(records: DataFrame, known: list[str], known_quotas: dict[str, i
     leaks = leaking(cut, ids[0]).limit(5).collect()
     if leaks:
         raise ValueError(f"in more than one split: {[r[0] for r in leaks]}")
-    train = sampling.oversample(cut.where("split = 'train'").withColumn("repeat_reason", F.lit(None).cast("string")), "label_id", V.HARD_NEGATIVES, list(ids), extra, seed)
+    train = cut.where("split = 'train'").withColumn("repeat_reason", F.lit(None).cast("string"))
+    if place:
+        again = sampling.seeded(train, "label_id", "_drawn", sorted(V.HARD_NEGATIVES), most_rows, seed, sample=extra, name="_again") if extra > 0 else train.limit(0)
+        both = train.unionByName(again.withColumn("repeat_reason", F.lit("hard_negative_oversample")), allowMissingColumns=True)
+        return both.unionByName(cut.where("split <> 'train'"), allowMissingColumns=True).drop("_drawn", "_again")
+    train = sampling.oversample(train, "label_id", V.HARD_NEGATIVES, list(ids), extra, seed)
     return train.unionByName(cut.where("split <> 'train'"), allowMissingColumns=True)
 
 

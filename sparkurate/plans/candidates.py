@@ -14,6 +14,7 @@ from sparkurate import schemas
 from sparkurate.functions import columns as C
 from sparkurate.functions import values as V
 from sparkurate.operators import lookups, sampling
+from sparkurate.session import written
 
 
 def taxa(raw: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -61,12 +62,21 @@ def candidates(raw_taxa: DataFrame, raw_observations: DataFrame, raw_photos: Dat
     return filled.select(*schemas.CANDIDATE.names)
 
 
-def select(found: DataFrame, manifest: DataFrame, per_label: int = V.POOL_PER_LABEL, unknown: int = V.UNKNOWN_POOL, seed: int = V.SEED) -> tuple[DataFrame, DataFrame]:
-    """Chosen candidates, and label_id, missing of each label that got less than its quota."""
+def select(found: DataFrame, manifest: DataFrame, per_label: int = V.POOL_PER_LABEL, unknown: int = V.UNKNOWN_POOL, seed: int = V.SEED, place: str | None = None, most_rows: int = V.UNKNOWN_CAPS[1]) -> tuple[DataFrame, DataFrame]:
+    """Chosen candidates, and label_id, missing of each label that got less than its quota.
+
+    Rows of a label are in the order of md5 keys; or, with place (a column of row numbers), in that of one seeded
+    generator that shuffles each label's priority rows and then its others, label after label by
+    the manifest's places. Observations with several observers are chosen by greedy rounds.
+    """
     spark = found.sparkSession
     quotas = manifest.select("label_id", F.lit(per_label).alias("quota")).union(spark.range(1).select(F.lit(V.UNKNOWN), F.lit(unknown)))
-    asked = found.join(lookups.small(quotas), "label_id")
-    if not sampling.one_observer_each(found, "observation_id", "observer_id"):
-        raise ValueError("an observation has more than one observer")
-    chosen = sampling.diverse_top(asked, "label_id", "observation_id", "observer_id", "is_poland", ["photo_id", "observation_id"], F.col("quota"), seed=seed)
+    asked, order = found.join(lookups.small(quotas), "label_id"), None
+    if place:
+        labels = [r["label_id"] for r in manifest.orderBy("place").collect()] + [V.UNKNOWN]
+        asked = asked.withColumn("_bucket", F.concat_ws("|", "label_id", F.col("is_poland").cast("string")))
+        asked = written(sampling.seeded(asked, "_bucket", place, [f"{label}|{flag}" for label in labels for flag in ("true", "false")], most_rows, seed, name="_drawn"))
+        order = [F.col("is_poland").desc(), F.col("_drawn")]
+    choose = sampling.diverse_top if sampling.one_observer_each(asked, "observation_id", "observer_id") else sampling.greedy_top
+    chosen = choose(asked, "label_id", "observation_id", "observer_id", "is_poland", ["photo_id", "observation_id"], F.col("quota"), seed=seed, order=order)
     return chosen.select(*found.columns), sampling.shortages(chosen, quotas)
