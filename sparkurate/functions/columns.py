@@ -337,3 +337,25 @@ def fill_marker(prompt: Column, marker: Column, placeholder: str = "<image>") ->
 
 def summary_line(passed: Column, warned: Column, failed: Column) -> Column:
     return F.format_string("%d PASS / %d WARN / %d FAIL", passed, warned, failed)
+
+
+def rolling_hash(values: Column, start: Column) -> Column:
+    """acc * 31 + value over an array of whole numbers, in 32 bits that wrap around; signed."""
+    low = lambda x: x.bitwiseAND(F.lit((1 << 32) - 1))
+    folded = F.aggregate(values, low(start.cast("long")), lambda acc, v: low(acc * 31 + v.cast("long")))
+    return F.when(folded >= 1 << 31, folded - (1 << 32)).otherwise(folded).cast("int")
+
+
+def grid_hash(cells: Column, width: Column, height: Column, steps: int = 6) -> Column:
+    """rolling_hash of a row-major grid's cells, about steps of each row and column, after its sides."""
+    def places(side: Column) -> Column:
+        return F.sequence(F.lit(0), side - 1, F.greatest(F.floor(side / steps), F.lit(1)).cast("int"))
+
+    sampled = F.flatten(F.transform(places(height), lambda y: F.transform(places(width), lambda x: F.get(cells, y * width + x))))
+    return rolling_hash(F.when((width > 0) & (height > 0), sampled).otherwise(F.array().cast("array<int>")), width.cast("long") * 31 + height)
+
+
+def mock_label(signature: Column, labels: list[str]) -> Column:
+    """What the classifier's stand-in answers: unknown for multiples of 7, else a label by the signature's size; the last label is the unknown one."""
+    place = F.abs(signature.cast("long")) % (len(labels) - 1)
+    return F.when(signature % 7 == 0, V.UNKNOWN).otherwise(F.element_at(F.array(*map(F.lit, labels)), (place + 1).cast("int")))

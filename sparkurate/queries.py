@@ -242,9 +242,13 @@ def variant_cross_join(spark, sf_dir):
     return lookups.variants(table(spark, sf_dir, "conversations").select("conv_id", "turn"), list(rendering.STYLES))
 
 
-@query(f"SELECT * FROM {_MANIFEST_SQL} UNION ALL SELECT 'T_04', 'fungi', 'Anemonoides nemorosa', 'd', 'delta'")
+_SYNONYMS = {"FRANCE": ("Gallia", "l'Hexagone"), "CHINA": ("Zhongguo",), "nowhere": ("x",)}
+_SYNONYM_ROWS = ", ".join("('{}', '{}')".format(name, other.replace("'", "''")) for name, others in _SYNONYMS.items() for other in others)
+
+
+@query(f"SELECT n_nationkey, n_name AS scientific_name FROM nation UNION ALL SELECT n_nationkey, s FROM nation JOIN (VALUES {_SYNONYM_ROWS}) AS v(n, s) ON n = n_name")
 def alias_expand(spark, sf_dir):
-    return lookups.with_aliases(_manifest(spark))
+    return lookups.with_aliases(table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("scientific_name")), _SYNONYMS)
 
 
 @query("SELECT n_nationkey, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")

@@ -5,8 +5,11 @@ from __future__ import annotations
 import csv
 import io
 import re
+from collections.abc import Iterator
 from fnmatch import fnmatchcase
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -241,6 +244,31 @@ def inventory(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame
     return files.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "length")
 
 
+def dealt_inventory(spark: SparkSession, folders: DataFrame, pattern: str = "*") -> DataFrame:
+    """path and length of every file under the folders (column folder), listed by the tasks they are dealt to.
+
+    No list of files is made on the driver, as inventory's index is. Folders are those of any file
+    system that Arrow reaches; one that isn't there has no files. Files that are hidden to Spark (names that start with _ or .) are left out.
+    """
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                remote = "://" in folder
+                system, path = fs.FileSystem.from_uri(folder) if remote else (fs.LocalFileSystem(), folder)
+                waiting = [path]
+                while waiting:
+                    found = system.get_file_info(fs.FileSelector(waiting.pop(), allow_not_found=True))
+                    shown = [f for f in found if not f.base_name.startswith(("_", "."))]
+                    waiting += [f.path for f in shown if f.type == fs.FileType.Directory]
+                    files = [f for f in shown if f.type == fs.FileType.File and fnmatchcase(f.base_name, pattern)]
+                    start = folder.partition("://")[0] + "://" if remote else ""
+                    yield pa.RecordBatch.from_arrays([pa.array([start + f.path for f in files], pa.string()), pa.array([f.size for f in files], pa.int64())], names=["path", "length"])
+
+    dealt = folders.select("folder").distinct().repartition(spark.sparkContext.defaultParallelism * 4, "folder")
+    return dealt.mapInArrow(listing, "path string, length long")
+
+
 def first_existing(candidates: DataFrame, files: DataFrame) -> DataFrame:
     """The first of candidates (place, path) that exists."""
     found = candidates.join(files.select("path"), "path", "left_semi")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
-import shutil
-from pathlib import Path
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +15,12 @@ from pyspark.sql import types as T
 from sparkurate import schemas
 from sparkurate.functions import columns as C
 from sparkurate.functions import values as V
+from sparkurate.session import written
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
-    """A named intermediate; nothing is computed before it is used."""
+def as_table(df: DataFrame, name: str, stored: bool = False) -> DataFrame:
+    """A named intermediate, replaced if there is one; with stored it is computed now, once for all who read it."""
+    df = written(df) if stored else df
     df.createOrReplaceTempView(name)
     return df
 
@@ -63,7 +67,7 @@ def write_json_lines(df: DataFrame, path: str, spaced: bool = False) -> None:
 
 
 def rewrite_json_lines(df: DataFrame, path: str) -> None:
-    """Replaces the folder that df itself may read: a new folder is written, then takes its place."""
+    """Replaces a plain folder that df itself may read by two renames; between them a reader finds nothing (write_version has no such gap)."""
     fresh, old = f"{path}.new", f"{path}.old"
     df.write.mode("overwrite").json(fresh)
     spark = df.sparkSession
@@ -76,6 +80,51 @@ def rewrite_json_lines(df: DataFrame, path: str) -> None:
     files.delete(jvm(old), True)
 
 
+def write_version(df: DataFrame, path: str) -> str:
+    """Replaces the data of a folder that df itself may read; returns where the new version is.
+
+    Versions lie side by side below the folder, and a pointer file names the one that holds. The pointer is
+    written under another name and takes the old one's place in one rename, so a reader of
+    current_version() finds the old data or the new, whatever step fails. The version before stays for those who
+    still read it; older ones go.
+    """
+    spark, name = df.sparkSession, uuid.uuid4().hex
+    before = current_version(spark, path)
+    fresh = f"{path.rstrip('/')}/_versions/{name}"
+    df.write.json(fresh)
+    pointer = f"{path.rstrip('/')}/_current"
+    write_text(name, f"{pointer}.{name}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(pointer)
+    options = getattr(hadoop, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(options, 1)
+    overwrite[0] = options.OVERWRITE
+    files, settings, _ = _place(path)
+    hadoop.FileContext.getFileContext(files.getUri(), settings).rename(hadoop.Path(f"{pointer}.{name}"), place, overwrite)
+    for status in files.listStatus(hadoop.Path(f"{path.rstrip('/')}/_versions")):
+        if status.getPath().getName() not in (name, before.rpartition("/")[2]):
+            files.delete(status.getPath(), True)
+    return fresh
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Where the data of a folder is: the version that its pointer names, or the folder itself if it has none."""
+    files, _, pointer = _place(f"{path.rstrip('/')}/_current")
+    if not files.exists(pointer):
+        return path
+    return f"{path.rstrip('/')}/_versions/{read_text(spark, pointer.toString())}"
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    files, _, place = _place(path)
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def label_document(entries: DataFrame, internal_unknown: bool = True) -> str:
     """labels.json of a catalog's rows (label_id, kingdom, names, place): at most some tens of labels."""
     rows = [r.asDict() for r in entries.where(~F.col("label_id").isin(V.UNKNOWN, *V.INTERNAL_UNKNOWN)).orderBy("place").collect()]
@@ -98,24 +147,45 @@ def json_schema(labels: DataFrame) -> DataFrame:
     return ordered.select(F.concat(F.lit(start), F.to_json("labels"), F.lit(end)).alias("schema"))
 
 
-def bundle(examples: DataFrame, out: str, prefix: str = "") -> DataFrame:
-    """Copies the examples' images to images/<folder>/<name> of a shared folder and points the examples there.
+def copied_files(pairs: DataFrame, out: str) -> DataFrame:
+    """target, length of every distinct (source, target) pair, once copied to a folder by the tasks that hold them.
 
-    A missing image is an error, a file that is already there is left alone. Each task copies
-    the distinct images dealt to it.
+    Any file system that Arrow reaches will do, the source's and the target's may differ; bytes go in
+    pieces. A file is written under a name of its own and then takes its place, so a task that is run twice, or
+    dies half-way, leaves one whole file or none. A missing source is an error; a target that is
+    already there is left alone.
     """
-    images = examples.select(F.explode("images").alias("image")).distinct().select("image", C.portable_path(F.col("image")).alias("target"))
-
-    def copy(rows) -> None:
-        for row in rows:
-            target = Path(out) / row["target"]
-            if not Path(row["image"]).exists():
-                raise FileNotFoundError(row["image"])
-            if not target.exists():
-                target.parent.mkdir(parents=True, exist_ok=True)
-                shutil.copyfile(row["image"], target)
-
-    images.foreachPartition(copy)
+    base = out.rstrip("/")
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def opened(path: str) -> tuple[fs.FileSystem, str]:
+            return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:/") else (fs.LocalFileSystem(), path)
+
+        for batch in batches:
+            lengths = []
+            for source, target in zip(*(batch.column(c).to_pylist() for c in range(2)), strict=True):
+                there, path = opened(f"{base}/{target}")
+                found = there.get_file_info(path)
+                if found.type == fs.FileType.NotFound:
+                    here, own = opened(source)
+                    there.create_dir(path.rpartition("/")[0])
+                    part = f"{path}.{uuid.uuid4().hex}.part"
+                    with here.open_input_stream(own) as read, there.open_output_stream(part) as write:
+                        while piece := read.read(1 << 20):
+                            write.write(piece)
+                    there.move(part, path)
+                    found = there.get_file_info(path)
+                lengths.append(found.size)
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lengths, pa.int64())], names=["target", "length"])
+
+    return written(pairs.distinct().repartition("target").mapInArrow(copy, "target string, length long"))
+
+
+def bundle(examples: DataFrame, out: str, prefix: str = "") -> DataFrame:
+    """Copies the examples' images to images/<folder>/<name> of a folder and points the examples there (see copied_files)."""
+    images = examples.select(F.explode("images").alias("image")).select("image", C.portable_path(F.col("image")).alias("target"))
+    # Images of one target: the first in path order is the one that comes.
+    copied_files(images.groupBy("target").agg(F.min("image").alias("image")).select("image", "target"), out)
     return examples.withColumn("images", F.transform("images", lambda i: C.portable_path(i, prefix)))
 
 

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkurate import schemas
+from sparkurate.functions import columns as C
 from sparkurate.functions import values as V
 from sparkurate.operators import lookups, metrics, rendering, sampling, splits
 from sparkurate.plans import candidates, dataset, evaluation
@@ -298,3 +299,73 @@ def test_self_test_and_subsets(spark):
     kept, counts = dataset.filter_missing(rows, spark.createDataFrame([("b.jpg",)], "path string"), ["place"])
     assert kept.count() == 1 and tuple(counts.first()) == (1, 1, 2)
     assert dataset.malformed(rows).isEmpty()
+
+
+# --- versions, copies, listings --------------------------------------------------------------
+
+
+def test_versions(spark, tmp_path, monkeypatch):
+    """Whatever step fails, a reader finds the old data or the new; the version before stays."""
+    folder = str(tmp_path / "t")
+    rows = lambda: sorted(r.id for r in spark.read.schema("id long").json(sinks.current_version(spark, folder)).collect())
+    spark.range(3).write.json(folder)
+    assert rows() == [0, 1, 2]
+    sinks.write_version(spark.read.schema("id long").json(folder).where("id > 0"), folder)
+    assert rows() == [1, 2]
+    broken = spark.range(9).select(F.raise_error(F.lit("stop")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_version(broken, folder)
+    assert rows() == [1, 2]
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "write_text", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.write_version(spark.range(5), folder)
+    assert rows() == [1, 2]
+    before = sinks.current_version(spark, folder)
+    sinks.write_version(spark.range(7, 9), folder)
+    assert rows() == [7, 8] and spark.read.json(before).count() == 2
+    assert len(list((tmp_path / "t/_versions").iterdir())) == 2
+
+
+def test_copies_are_whole_or_none(spark, tmp_path):
+    sources = []
+    for i in range(5):
+        (tmp_path / f"{i}.bin").write_bytes(bytes([i]) * (3 << 20))
+        sources.append((str(tmp_path / f"{i}.bin"), f"a/{i % 3}/x{i}"))
+    pairs = spark.createDataFrame([*sources, sources[0], (f"file://{tmp_path}/4.bin", "b")], "source string, target string")
+    for out in (str(tmp_path / "out"), f"file://{tmp_path}/out"):  # the second time all is there
+        assert sorted(map(tuple, sinks.copied_files(pairs, out).collect())) == sorted([(t, 3 << 20) for _, t in sources] + [("b", 3 << 20)])
+    assert sorted(p.name for p in (tmp_path / "out").rglob("*") if p.is_file()) == ["b", "x0", "x1", "x2", "x3", "x4"]
+    assert (tmp_path / "out/a/1/x4").read_bytes() == bytes([4]) * (3 << 20)
+
+
+def test_listing_by_tasks(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"d{i % 7}" / "deep").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"d{i % 7}" / ("deep" if i % 2 else "") / f"{i}.txt").write_bytes(b"x" * i)
+    (tmp_path / "d0" / "_SUCCESS").write_text("")
+    (tmp_path / "d0" / "n.csv").write_text("")
+    folders = spark.createDataFrame([(f"{tmp_path}/d{i}",) for i in range(9)], "folder string")
+    got = readers.dealt_inventory(spark, folders, "*.txt").collect()
+    assert sorted((r.path.rpartition("/")[2], r.length) for r in got) == sorted((f"{i}.txt", i) for i in range(30))
+    # Spark's own file source leaves empty files out.
+    assert {r.path for r in got if r.length} == {r.path for r in readers.inventory(spark, str(tmp_path), "*.txt").collect()}
+
+
+def test_rolling_hash(spark):
+    """The fold in 32 bits, as a loop makes it."""
+    rng = random.Random(14)
+
+    def loop(cells, width, height):
+        acc = width * 31 + height
+        for y in range(0, height, max(1, height // 6)):
+            for x in range(0, width, max(1, width // 6)):
+                acc = acc * 31 + cells[y * width + x]
+        return (acc + (1 << 31)) % (1 << 32) - (1 << 31)
+
+    rows = [(w, h, [rng.randrange(-(2**31), 2**31) for _ in range(w * h)]) for w, h in [(0, 0), (1, 1), (5, 9), (13, 6), (40, 25)]]
+    frame = spark.createDataFrame([(c, w, h) for w, h, c in rows], "cells array<int>, w int, h int")
+    got = frame.select("w", C.grid_hash(F.col("cells"), F.col("w"), F.col("h")).alias("s")).collect()
+    assert {r.w: r.s for r in got} == {w: loop(c, w, h) for w, h, c in rows}
+    labels = spark.createDataFrame([(14,), (-13,), (5,), (-(2**31),)], "s int").select(C.mock_label(F.col("s"), ["a", "b", "c", "unknown"]).alias("l")).collect()
+    assert [r.l for r in labels] == ["unknown", "b", "c", "c"]

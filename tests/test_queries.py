@@ -29,7 +29,7 @@ def rows_of(frame, columns):
     return sorted(tuple(str(v) for v in r) for r in frame[columns].itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(curation.QUERIES))
+@pytest.mark.parametrize("name", sorted(curation.SQL))
 def test_agrees_with_sql(spark, duck, name):
     ours = curation.QUERIES[name](spark, f"{DATA}/sf0.01").toPandas()
     theirs = duck.sql(curation.SQL[name]).df()
