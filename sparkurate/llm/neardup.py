@@ -112,8 +112,8 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the whole set, signature (null for an empty set)."""
-    schema = T.StructType([common.id_field(docs), T.StructField("n_shingles", T.LongType()), T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType()), T.StructField("signature", T.BinaryType())])
+    """doc_id, a hash of the text, n_shingles, two hashes of the whole set, signature (null for an empty set)."""
+    schema = T.StructType([common.id_field(docs), T.StructField("text_key", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType()), T.StructField("signature", T.BinaryType())])
 
     def start():
         def step(batch):
@@ -124,11 +124,11 @@ def features(docs: DataFrame) -> DataFrame:
                 a.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                 b.append(int(np.bitwise_xor.reduce(_mix(s)).view(np.int64)) if len(s) else 0)
                 signatures.append(signature(s).tobytes() if len(s) else None)
-            return pa.RecordBatch.from_arrays([common.column_of(batch, "doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(signatures, pa.binary())], names=schema.names)
+            return pa.RecordBatch.from_arrays([common.column_of(batch, "doc_id"), common.column_of(batch, "text_key"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(signatures, pa.binary())], names=schema.names)
 
         return step
 
-    return common.map_rows(docs.select("doc_id", "text"), start, schema)
+    return common.map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")), start, schema)
 
 
 def children(nodes: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,7 +320,7 @@ def _bodies(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row; sets are linked from a similarity of threshold per cent on."""
+    """doc_id, n_shingles, component_id, kept, text_key (xxhash64 of the text) of every row; sets are linked from a similarity of threshold per cent on."""
     began = common.mark()
     whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
     docs = identified(docs)
@@ -372,17 +372,21 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     joined = known.drop("signature").join(named, ["n_shingles", "set_a", "set_b"], "left")
     own = F.col("doc_id").cast("long") if whole else F.col("doc_id")
     component = F.coalesce(F.col("_class"), own)
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(own == component, component.isNull()).alias("kept"))
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(own == component, component.isNull()).alias("kept"), "text_key")
 
 
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_key")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near duplicates (80 per cent) the document of the least id stays, with all its rows."""
+    """Pipeline stage: of each group of near duplicates (80 per cent) the document of the least id stays, with all its rows.
+
+    What goes are rows, by id and text: a text that duplicates nothing stays, also where another text of
+    its id goes. A row without an id goes if another row has its set.
+    """
     found = near_duplicates(docs, STAGE_THRESHOLD)
-    gone = common.materialize(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct())
+    gone = common.materialize(found.where("not kept").select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_gone_text")).distinct())
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_gone_text"]), "left_anti")

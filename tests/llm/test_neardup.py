@@ -123,3 +123,11 @@ def test_query_holds_its_contract(spark, tmp_path):
     want, _ = brute(rows, 80)
     left = neardup.stage(spark, docs, "")
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i in want if want[i] == i}
+
+
+def test_stage_drops_rows_not_ids(spark):
+    """Texts that duplicate nothing stay, whatever other text has their id; rows without an id are dropped like others."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, c, "y"), (3, c, "y"), (None, a, "z"), (None, "nobody has this text at all", "z"), (2, None, None), (4, "", None)]
+    left = neardup.stage(spark, spark.createDataFrame(rows, DDL), "").collect()
+    assert sorted(map(tuple, left), key=str) == sorted([r for r in rows if r not in ((2, a, "x"), (None, a, "z"))], key=str)
