@@ -61,6 +61,9 @@ PERIOD = 6
 #: Up to so many bytes wrappers are broadcast; beyond, a join with pages dealt by host and salt.
 BROADCAST_BYTES = 16 << 20
 PAGES_A_SALT = 2_000
+#: A host's pages of different text are counted in so many bitmaps of 64, each for half as many; one of more bits than FULL is full.
+LEVELS, FULL = 24, 45
+_LEVEL = (1 << 64) - 1
 #: Up to so many hosts of more pages than that, the number of their salts is broadcast.
 BROADCAST_HOSTS = 100_000
 
@@ -236,15 +239,33 @@ def text_key(text: str) -> int:
 
 
 def page_bit(found: list[tuple[str, str, int]]) -> int:
-    """One of 64 bits, by the page's text outside navigation and the like: copies of a page have the same one."""
-    bit = 1 << (text_key("\n\n".join(t for s, t, _ in found if not _aside(s))) & 63)
-    return bit - (1 << 64) if bit >> 63 else bit
+    """One of LEVELS x 64 bits, by the page's text outside navigation and the like: copies of a page have the same one.
+
+    Half of all pages are in the first 64 bits, a quarter in the next and so on.
+    """
+    key = text_key("\n\n".join(t for s, t, _ in found if not _aside(s))) + (1 << 63)
+    level = min(LEVELS - 1, ((key >> 6) & -(key >> 6)).bit_length() - 1) if key >> 6 else LEVELS - 1
+    return 1 << (64 * level + (key & 63))
 
 
 def different_pages(bits: int) -> float:
-    """About how many pages of different text set these bits (linear counting); 266 at most."""
-    clear = 64 - (bits & ((1 << 64) - 1)).bit_count()
-    return 64 * math.log(64 / max(1, clear))
+    """About how many pages of different text set these bits, to some 10 per cent up to 64 << LEVELS.
+
+    Levels that are nearly full tell nothing; from the first on that isn't, all after it are counted
+    (linear counting), and stand for those before.
+    """
+    counts = [((bits >> (64 * level)) & _LEVEL).bit_count() for level in range(LEVELS)]
+    first = next((level for level in range(LEVELS) if max(counts[level:]) <= FULL), LEVELS - 1)
+    return sum(64 * math.log(64 / max(1, 64 - n)) for n in counts[first:]) * 2**first
+
+
+def levels_of(bits: int) -> list[int]:
+    """The bits as signed numbers of 64, as Spark has them."""
+    return [(x := (bits >> (64 * level)) & _LEVEL) - (1 << 64 if x >> 63 else 0) for level in range(LEVELS)]
+
+
+def bits_of(levels: list[int]) -> int:
+    return sum((x & _LEVEL) << (64 * level) for level, x in enumerate(levels))
 
 
 class Node:
@@ -474,7 +495,7 @@ def _totals(found: list[tuple[str, str, int]]) -> dict[str, tuple[int, int, int,
     return totals
 
 
-_SHAPE = "host string, shape long, place int, part int, symbol string, repeated boolean, low long, high long, blocks long, chars long, linked long, prose long, pages long, bits long"
+_SHAPE = "host string, shape long, place int, part int, symbol string, repeated boolean, low long, high long, blocks long, chars long, linked long, prose long, pages long, " + ", ".join(f"bits{level} long" for level in range(LEVELS))
 _KEYS = ["host", "shape", "place", "part", "symbol", "repeated"]
 _SUMS = ["blocks", "chars", "linked", "prose", "pages"]
 
@@ -486,7 +507,7 @@ def _shapes(pages: DataFrame) -> DataFrame:
     """
     common.ship(pages.sparkSession)
     names = [f.split()[0] for f in _SHAPE.split(", ")]
-    types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.bool_()] + [pa.int64()] * 8
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.bool_()] + [pa.int64()] * (7 + LEVELS)
 
     def run(batches):
         seen: dict[tuple[str, int], tuple[list, list]] = {}
@@ -497,7 +518,7 @@ def _shapes(pages: DataFrame) -> DataFrame:
             for (host, shape), (nodes, stats) in seen.items():
                 for place, ((symbols, repeated), parts) in enumerate(zip(nodes, stats, strict=True)):
                     for part, (symbol, s) in enumerate(zip(symbols, parts, strict=True)):
-                        for c, v in zip(columns, (host, shape, place, part, symbol, repeated, *s), strict=True):
+                        for c, v in zip(columns, (host, shape, place, part, symbol, repeated, *s[:-1], *levels_of(s[-1])), strict=True):
                             c.append(v)
                 if len(columns[0]) > 1 << 14:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
@@ -527,7 +548,7 @@ def _shapes(pages: DataFrame) -> DataFrame:
                     held = 0
         yield from rows()
 
-    return pages.mapInArrow(run, _SHAPE).groupBy(*_KEYS).agg(F.min("low").alias("low"), F.max("high").alias("high"), *[F.sum(k).alias(k) for k in _SUMS], F.bit_or("bits").alias("bits"))
+    return pages.mapInArrow(run, _SHAPE).groupBy(*_KEYS).agg(F.min("low").alias("low"), F.max("high").alias("high"), *[F.sum(k).alias(k) for k in _SUMS], F.array(*[F.bit_or(f"bits{level}") for level in range(LEVELS)]).alias("bits"))
 
 
 _PART = "host string, part long, pages long, nodes string"
@@ -568,7 +589,7 @@ def infer(pages: DataFrame, part: int = PART) -> DataFrame:
     """host, pages, wrapper (a regular expression), matching (its nodes' constants, its main symbols)."""
     rows = _shapes(_hosted(pages).select("host", "html"))
     text = F.struct("low", "high", "chars", "linked", "prose", "blocks")
-    by_node = rows.groupBy("host", "shape", "place").agg(F.sort_array(F.collect_list(F.struct("part", "symbol", text.alias("text")))).alias("parts"), F.max("repeated").alias("repeated"), F.max("pages").alias("pages"), F.bit_or("bits").alias("bits"))
+    by_node = rows.groupBy("host", "shape", "place").agg(F.sort_array(F.collect_list(F.struct("part", "symbol", text.alias("text")))).alias("parts"), F.max("repeated").alias("repeated"), F.max("pages").alias("pages"), F.array(*[F.bit_or(F.col("bits")[level]) for level in range(LEVELS)]).alias("bits"))
     # A shape's rows are those of one stream: a page's blocks bound them.
     shapes = by_node.groupBy("host", "shape").agg(F.sort_array(F.collect_list(F.struct("place", "parts", "repeated", "pages", "bits"))).alias("nodes"), F.max("pages").alias("pages"))
     as_json = F.to_json(
@@ -599,7 +620,7 @@ def infer(pages: DataFrame, part: int = PART) -> DataFrame:
 def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Nodes as rows of Node, in place of named fields."""
     for batch in batches:
-        nodes = [json.dumps([[n["symbols"], n["repeated"], False, n["texts"], n["pages"], n["bits"]] for n in json.loads(x)], ensure_ascii=False) for x in common.column_of(batch, "nodes").to_pylist()]
+        nodes = [json.dumps([[n["symbols"], n["repeated"], False, n["texts"], n["pages"], bits_of(n["bits"])] for n in json.loads(x)], ensure_ascii=False) for x in common.column_of(batch, "nodes").to_pylist()]
         yield pa.RecordBatch.from_arrays([common.column_of(batch, "host"), common.column_of(batch, "part"), common.column_of(batch, "pages"), pa.array(nodes, pa.string())], names=["host", "part", "pages", "nodes"])
 
 

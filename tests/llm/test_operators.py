@@ -374,6 +374,28 @@ def test_text_of_copied_pages_stays(spark):
     assert got[50].endswith("Only here") and got[51] == got[50] and not any("shop" in t for t in got.values())
 
 
+@pytest.mark.parametrize("n", [3, 60, 200, 2_000, 20_000, 300_000])
+def test_different_pages_are_counted_at_every_size(n):
+    """Copies count once, parts add up, and no number of pages fills the bitmaps."""
+    whole = half = 0
+    for i in range(n):
+        bit = wrappers.page_bit([("article/p", f"page {i}", 0), ("nav/a", f"link {i % 7}", 1)])
+        whole |= bit
+        half |= bit if i % 2 else 0
+    assert wrappers.different_pages(whole) == pytest.approx(n, rel=0.3, abs=1) and wrappers.different_pages(half) == pytest.approx(n / 2, rel=0.3, abs=1)
+    assert wrappers.bits_of(wrappers.levels_of(whole)) == whole
+
+
+@pytest.mark.parametrize("n", [200, 3_000])
+def test_text_of_a_few_articles_stays_on_hosts_of_any_size(spark, n):
+    """A block on 5 of a hundred articles is theirs, one on 40 of a hundred is the template's."""
+    extra = lambda i: "<blockquote>Said by a few</blockquote>" if i % 20 == 7 else "<blockquote class=shop>Read on in our shop</blockquote>" if i % 5 < 2 else ""
+    rows = [(i, "https://h.example/", page(i, extra=extra(i))) for i in range(n)]
+    f = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in wrappers.extract(f, wrappers.infer(f)).collect():
+        assert ("Said by a few" in r.text) == (r.page_id % 20 == 7) and "shop" not in r.text and f"Title {r.page_id}" in r.text
+
+
 def test_paths_outside_the_main_text():
     for path in ("nav/ul/li", "header/p", "div#comments/p", "main/aside/p", "div.ad", "article/footer/p", "article/div.ad"):
         assert wrappers._aside(path), path
