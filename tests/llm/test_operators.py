@@ -721,7 +721,7 @@ def odd_tables(spark, folder, rows):
     turns = [(r[0] and r[0] * 100, None if r[0] == 5 else k, r[2], r[1]) for k, r in enumerate(rows)]
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").select("*", *[F.lit("clash").alias(c) for c in ("steps", "depth", "start", *CLASHES)]).write.parquet(f"{folder}/conversations.parquet")
     vectors = [(r[0], [None, [], [float(k), 1.0, 2.0], [1.0, None, 2.0], [1.0, float("nan"), 2.0]][k % 5]) for k, r in enumerate(rows)]
-    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").select("*", *[F.lit("clash").alias(c) for c in ("whitened", "component", *CLASHES)]).write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").select("*", *[F.lit("clash").alias(c) for c in ("whitened", *CLASHES)]).write.parquet(f"{folder}/embeddings.parquet")
     pages = [(i, None if i == 1 else f"https://h.example/{i}", t and f"<article><p>{t}</article>") for i, t, *_ in rows]
     spark.createDataFrame(pages, "page_id long, url string, html string").select("*", *[F.lit("clash").alias(c) for c in ("text", "matching", *CLASHES)]).write.parquet(f"{folder}/pages.parquet")
     return docs
