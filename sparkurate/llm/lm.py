@@ -10,20 +10,29 @@ probabilities sum to 1. No n-gram is left out, however rare. An order's m is wha
 failure arcs, over all training tokens, expect as many tokens as come up there once only: those
 that would be new if they were left out. It is solved from the counts' histograms by octave.
 
-The model is never in one place. Texts go in chunks of CHUNK bytes. A chunk asks for the counts of
-its own distinct n-grams: it sends each bucket of the hash space the keys there and how often its
-own training texts have them. A bucket adds up what all chunks sent and answers each with the
-whole corpus's counts, so it counts and looks up in one shuffle. A chunk with its answers has all
-arcs and states that its texts can reach, and traverses them from left to right. What a task holds
-is a chunk or a bucket, whose number grows with the corpus; no table is broadcast or collected.
+The model is never in one place. Texts go in chunks of CHUNK bytes, which are cut once and
+written. A chunk asks for the counts of its own distinct n-grams: it sends each bucket of the hash
+space the keys there and how often its own training texts have them. A bucket adds up what all
+chunks sent and answers each with the whole corpus's counts, so it counts and looks up in one
+shuffle. A chunk with its answers builds the part of the automaton that its texts can reach, and
+traverses it from left to right: each step takes the next token's arc, by way of failure arcs where
+the state has none, adds the weights and carries on with the state that the arc leads to. Lanes of
+the chunk's texts take their steps side by side. What a task holds is a chunk or a bucket, whose
+number grows with the corpus; no table is broadcast or collected. A common n-gram is a row's part
+for each chunk in its bucket, so a bucket has as many rows as there are chunks.
+
+A state of an automaton of order 3 depends on the last two tokens alone. So a part of a text starts
+in the empty context two tokens early, doesn't count these, and then carries the same state as a
+traversal of the whole text. Lanes are such parts, and a text longer than CHUNK goes in several
+chunks, whose sums are added by row.
 
 Keys are hashes of 62 bits and the order: of 10^9 n-grams any two agree with probability 0.1. They
-travel sorted, as differences in byte planes, in some 5.5 bytes. Chunks are cut in scan order by
-bytes, so that a task run again makes the same ones; no key, source or copy makes one larger.
+travel sorted, as differences in byte planes, in some 5.5 bytes. Questions and scores both read the
+chunks that were written, so neither another split of the input nor a lost executor parts them.
 
 Edge cases: a null or empty text is one end. With no training row every token is unknown, and
-the unknown class has probability 1. Rows are scored each for itself, whatever their id. A text
-longer than CHUNK is a chunk of its own: it needs some 100 bytes of memory for a byte of text.
+the unknown class has probability 1. Rows are scored each for itself, whatever their id. A word
+isn't cut: one longer than CHUNK needs some 100 bytes of memory for a byte.
 """
 
 from __future__ import annotations
@@ -43,6 +52,10 @@ from sparkurate.llm import common
 CHUNK = 4 << 20
 #: Bytes of text for each bucket: some million keys.
 BUCKET = 4 << 20
+#: Tokens of a lane: a longer text is traversed in several, side by side.
+LANE = 1024
+#: Tokens of context that a state remembers.
+_MEMORY = 2
 _BLOCK = 1 << 20
 _U = np.uint64
 
@@ -114,64 +127,130 @@ def words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Traversal:
-    """The n-grams of some texts, in order; with their counts, the automaton's path through them.
+    """The n-grams of some texts or parts of them, in order; with their counts, the automaton's path.
 
-    keys are the distinct n-grams, sorted; place has the keys' places for all tokens as words,
-    then as the ends of bigrams, then of trigrams. bigram and trigram tell which tokens end one.
+    leads tells how many first tokens of a part are another's, closed whether an end follows it.
+    keys are the distinct n-grams, sorted; one, two and three have the places among them of each
+    token as a word, as the end of a bigram (-1 for a first token) and of a trigram.
     """
 
-    def __init__(self, texts: list[bytes]) -> None:
+    def __init__(self, texts: list[bytes], leads: np.ndarray | None = None, closed: np.ndarray | None = None) -> None:
+        leads = np.zeros(len(texts), np.int64) if leads is None else leads
+        closed = np.ones(len(texts), bool) if closed is None else closed
         hashes, at = words(b"\n".join(texts))
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         begins = np.cumsum(sizes + 1) - sizes - 1
         upto = np.searchsorted(at, np.append(begins[1:], np.iinfo(np.int64).max))
-        tokens = np.insert(hashes, upto, _END)
-        self.n_tokens = np.diff(upto, prepend=0) + 1
-        self.starts = np.cumsum(self.n_tokens) - self.n_tokens
+        tokens = np.insert(hashes, upto[closed], _END)
+        n_tokens = np.diff(upto, prepend=0) + closed
+        starts = np.cumsum(n_tokens) - n_tokens
         n = len(tokens)
-        opening = np.zeros(n, bool)
-        opening[self.starts] = True
-        self.bigram = np.flatnonzero(~opening)
-        second = opening.copy()
-        second[1:] |= opening[:-1]
-        self.trigram = np.flatnonzero(~second)
+        self.parts, self.part = len(texts), np.repeat(np.arange(len(texts)), n_tokens)
+        inside = np.arange(n) - starts[self.part]
+        self.counted = inside >= leads[self.part]
+        self.inside = inside
+        bigram, trigram = np.flatnonzero(inside >= 1), np.flatnonzero(inside >= 2)
         two = np.zeros(n, _U)
         two[1:] = _mixed(tokens[:-1] * _U(0xC2B2AE3D27D4EB4F) + tokens[1:])
-        three = _mixed(two[self.trigram - 1] * _U(0x165667B19E3779F9) + tokens[self.trigram])
-        keys = np.concatenate([tokens, two[self.bigram], three])
+        three = _mixed(two[trigram - 1] * _U(0x165667B19E3779F9) + tokens[trigram])
+        keys = np.concatenate([tokens, two[bigram], three])
         keys &= ~_U(3)
         keys[:n] |= _U(1)
-        keys[n : n + len(self.bigram)] |= _U(2)
-        keys[n + len(self.bigram) :] |= _U(3)
+        keys[n : n + len(bigram)] |= _U(2)
+        keys[n + len(bigram) :] |= _U(3)
         del hashes, at, tokens, two, three
         order = np.argsort(keys)
         in_order = keys[order]
-        new = np.append(True, in_order[1:] != in_order[:-1])
+        new = np.append(True, in_order[1:] != in_order[:-1])[: len(in_order)]
         self.keys = in_order[new]
         del in_order, keys
-        self.place = np.empty(len(order), np.int32)
-        self.place[order] = np.cumsum(new, dtype=np.int32) - 1
+        place = np.empty(len(order), np.int32)
+        place[order] = np.cumsum(new, dtype=np.int32) - 1
+        self.one, self.two, self.three = place[:n], np.full(n, -1, np.int32), np.full(n, -1, np.int32)
+        self.two[bigram], self.three[trigram] = place[n : n + len(bigram)], place[n + len(bigram) :]
 
     def own_counts(self, train: np.ndarray) -> np.ndarray:
-        """How often the texts that are marked have each key."""
-        text = np.repeat(np.arange(len(self.starts)), self.n_tokens)
-        marked = train[text]
-        weights = np.concatenate([marked, marked[self.bigram], marked[self.trigram]])
-        return np.bincount(self.place[weights], minlength=len(self.keys)).astype(_U)
-
-    def scores(self, counts: np.ndarray, total: int, distinct: int, mass: dict[int, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """n_known, base score and score of each text, from the counts of the keys."""
-        seen = counts.astype(float)[self.place]
-        n, cut = int(self.n_tokens.sum()), len(self.bigram)
-        one, two, three = seen[:n], np.zeros(n), np.zeros(n)
-        two[self.bigram], three[self.trigram] = seen[n : n + cut], seen[n + cut :]
-        base = (one + 0.5) / (total + 0.5 * (distinct + 1))
-        # The state before a token is its longest known context. An arc's weight where there is one
-        # and the failure arcs' weights where there is none are one formula: c is 0 in the latter.
-        p = base.copy()
-        for order, own, context, at in ((2, two, one, self.bigram), (3, three, two, self.trigram)):
-            p[at] = (own[at] + mass[order] * p[at]) / (context[at - 1] + mass[order])
-        return tuple(np.add.reduceat(x, self.starts) for x in ((one > 0).astype(np.int64), np.log10(base), np.log10(p)))
+        """How often the parts that are marked have each key, others' tokens not counted."""
+        marked = train[self.part] & self.counted
+        found = np.zeros(len(self.keys), np.int64)
+        for places in (self.one, self.two, self.three):
+            found += np.bincount(places[marked & (places >= 0)], minlength=len(self.keys))
+        return found.astype(_U)
+
+    def scores(self, counts: np.ndarray, total: int, distinct: int, mass: dict[int, float]) -> tuple[np.ndarray, ...]:
+        """n_tokens, n_known, base score and score of each part, from the counts of the keys."""
+        model = Automaton(self, counts, total, distinct, mass)
+        of = self.part[self.counted]
+        known, base, path = counts[self.one] > 0, model.root[self.one], model.walk(self)
+        sums = [np.bincount(of, x[self.counted], minlength=self.parts) for x in (known, base, path)]
+        return np.bincount(of, minlength=self.parts), sums[0].astype(np.int64), sums[1], sums[2]
+
+
+class Automaton:
+    """The states and arcs that a traversal's n-grams can reach.
+
+    State 0 is the empty context, state k + 1 the context that is key k. root has the weight
+    (log10) of each word's arc out of state 0, into the state it leads to. Other arcs are sorted by
+    state and word. fail and lost have the state and weight of each state's failure arc.
+    """
+
+    def __init__(self, path: Traversal, counts: np.ndarray, total: int, distinct: int, mass: dict[int, float]) -> None:
+        c, order, n = counts.astype(float), path.keys & _U(3), len(counts)
+        word, context, shorter = np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for places, before, tail in ((path.two, path.one, path.one), (path.three, path.two, path.two)):
+            ends = np.flatnonzero(places >= 0)
+            word[places[ends]] = path.one[ends]
+            context[places[ends]] = before[ends - 1]
+            shorter[places[ends]] = tail[ends]
+        p = (c + 0.5) / (total + 0.5 * (distinct + 1))
+        self.root, self.into = np.log10(p), np.where(c > 0, word + 1, 0)
+        self.fail, self.lost = np.zeros(n + 1, np.int64), np.zeros(n + 1)
+        for k in (2, 3):
+            these = np.flatnonzero(order == k)
+            p[these] = (c[these] + mass[k] * p[shorter[these]]) / (c[context[these]] + mass[k])
+            states = np.flatnonzero(order == k - 1)
+            self.lost[states + 1] = np.log10(mass[k]) - np.log10(c[states] + mass[k])
+        bigrams = np.flatnonzero(order == 2)
+        self.fail[bigrams + 1] = shorter[bigrams] + 1
+        arcs = np.flatnonzero((order > 1) & (c > 0))
+        self.words = n
+        keys = (context[arcs] + 1) * n + word[arcs]
+        by = np.argsort(keys)
+        self.arcs = np.append(keys[by], np.iinfo(np.int64).max)
+        arcs = arcs[by]
+        self.weight = np.log10(p[arcs])
+        self.target = np.where(order[arcs] == 2, arcs, shorter[arcs]) + 1
+
+    def walk(self, path: Traversal) -> np.ndarray:
+        """The log10 probability of each token on the way from left to right through its part."""
+        made = np.zeros(len(path.one))
+        begins = np.flatnonzero(path.inside % LANE == 0)
+        ends = np.append(begins[1:], len(made))
+        early = np.minimum(path.inside[begins], _MEMORY)
+        begins = begins - early
+        longest = np.argsort(begins - ends, kind="stable")
+        begins, early, size = begins[longest], early[longest], (ends - begins)[longest]
+        state, falling = np.zeros(len(begins), np.int64), -size
+        for step in range(int(size[0]) if len(size) else 0):
+            active = int(np.searchsorted(falling, -step))
+            at = begins[:active] + step
+            word, now = path.one[at], state[:active]
+            gained, after, lost = self.root[word], self.into[word], np.zeros(active)
+            left = np.flatnonzero(now)
+            while len(left):
+                arc = now[left] * self.words + word[left]
+                place = np.searchsorted(self.arcs, arc)
+                hit = self.arcs[place] == arc
+                taken, place = left[hit], place[hit]
+                gained[taken], after[taken] = self.weight[place], self.target[place]
+                left = left[~hit]
+                lost[left] += self.lost[now[left]]
+                now[left] = self.fail[now[left]]
+                left = left[now[left] > 0]
+            own = early[:active] <= step
+            made[at[own]] = (gained + lost)[own]
+            state[:active] = after
+        return made
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -185,49 +264,89 @@ def unpacked(blob: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u8").astype(_U, copy=False)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[tuple[int, list[bytes], pa.Array, np.ndarray]]:
-    """Number, texts, ids and training marks of each chunk of a task's rows."""
-    number, texts, size, parts = TaskContext.get().partitionId() << 32, [], 0, []
-
-    def closed():
-        ids = pa.concat_arrays([p[0] for p in parts])
-        marks = np.concatenate([p[1] for p in parts])
-        return number, texts, ids, marks
-
-    for batch in batches:
-        ids = common.column_of(batch, "doc_id")
-        marks = common.column_of(batch, "train").to_numpy(zero_copy_only=False).astype(bool)
-        begin = 0
-        for i, text in enumerate(common.column_of(batch, "text")):
-            raw = text.as_py() or b""
-            texts.append(raw)
-            size += len(raw) + 1
-            if size >= chunk:
-                parts.append((ids[begin : i + 1], marks[begin : i + 1]))
-                yield closed()
-                number, texts, size, parts, begin = number + 1, [], 0, [], i + 1
-        if begin < len(ids):
-            parts.append((ids[begin:], marks[begin:]))
-    if texts:
-        yield closed()
-
-
-def asked(rows: DataFrame, bits: int, chunk: int = CHUNK) -> DataFrame:
+def text_parts(text: bytes, size: int) -> Iterator[tuple[bytes, int]]:
+    """A text in parts of about so many bytes, cut at blanks, and how many first words are the one before's."""
+    if len(text) <= size:
+        yield text, 0
+        return
+    raw, at, lead, words_before = np.frombuffer(text, np.uint8), 0, b"", 0
+    while at < len(text):
+        end = len(text)
+        for start in range(at + size, len(text), _BLOCK):
+            blank = np.flatnonzero(_BLANK[raw[start : start + _BLOCK]])
+            if len(blank):
+                end = start + int(blank[0]) + 1
+                break
+        part = text[at:end]
+        yield lead + part, words_before
+        last = (lead + part).rsplit(None, _MEMORY)[-_MEMORY:]
+        lead, words_before, at = b" ".join(last) + b" ", len(last), end
+
+
+def chunk_table(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """chunk, ids, row, lead, closed, train, sizes, texts: the texts and parts of texts of each chunk, compressed.
+
+    row is the same for all parts of one row. A task numbers its chunks and rows, so the table has to be written once.
+    """
+    id_type = rows.schema["doc_id"].dataType
+    kinds = {"ids": id_type, "row": T.LongType(), "lead": T.LongType(), "closed": T.BooleanType(), "train": T.BooleanType(), "sizes": T.LongType()}
+    schema = T.StructType([T.StructField("chunk", T.LongType()), *[T.StructField(k, T.ArrayType(t)) for k, t in kinds.items()], T.StructField("texts", T.BinaryType())])
+
+    def run(batches):
+        task = TaskContext.get().partitionId()
+        number, row, size, ids, held, texts = task << 32, task << 40, 0, [], [], []
+
+        def closed_chunk():
+            blob = pa.Codec("zstd", 1).compress(b"".join(texts), asbytes=True)
+            whole = pa.concat_arrays(ids)
+            columns = [whole, *(pa.array(x) for x in zip(*held, strict=True)), pa.array([len(t) for t in texts], pa.int64())]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), c) for c in columns]
+            return pa.RecordBatch.from_arrays([pa.array([number]), *lists, pa.array([blob], pa.binary())], names=schema.names)
+
+        for batch in batches:
+            names, marks = common.column_of(batch, "doc_id"), common.column_of(batch, "train").to_pylist()
+            for i, text in enumerate(common.column_of(batch, "text")):
+                row += 1
+                parts = list(text_parts(text.as_py() or b"", chunk))
+                for k, (part, lead) in enumerate(parts):
+                    ids.append(names.slice(i, 1))
+                    held.append((row, lead, k == len(parts) - 1, marks[i]))
+                    texts.append(part)
+                    size += len(part) + 1
+                    if size >= chunk:
+                        yield closed_chunk()
+                        number, size, ids, held, texts = number + 1, 0, [], [], []
+        if texts:
+            yield closed_chunk()
+
+    return rows.mapInArrow(run, schema)
+
+
+def _traversal(texts: pa.Scalar, sizes: pa.Scalar, lead: pa.Scalar, closed: pa.Scalar) -> Traversal:
+    """The traversal of a written chunk."""
+    ends = np.cumsum(sizes.values.to_numpy())
+    whole = pa.Codec("zstd").decompress(texts.as_py(), int(ends[-1]), asbytes=True) if ends[-1] else b""
+    parts = [whole[a:b] for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True)]
+    return Traversal(parts, lead.values.to_numpy(), closed.values.to_numpy(zero_copy_only=False))
+
+
+def asked(chunks: DataFrame, bits: int) -> DataFrame:
     """chunk, bucket, n, keys, counts: what each chunk asks each bucket, and its own counts."""
     names = ["chunk", "bucket", "n", "keys", "counts"]
 
     def run(batches):
-        for number, texts, _, train in _chunks(batches, chunk):
-            path = Traversal(texts)
-            counts = path.own_counts(train)
-            bucket = (path.keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(path.keys), np.int64)
-            first = np.flatnonzero(np.diff(bucket, prepend=-1))
-            ends = np.append(first[1:], len(bucket))
-            made = [(number, int(bucket[a]), int(b - a), packed(np.diff(path.keys[a:b], prepend=_U(0))), packed(counts[a:b])) for a, b in zip(first, ends, strict=True)]
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True)], names=names)
+        for batch in batches:
+            for number, train, *rest in zip(*(common.column_of(batch, k) for k in ("chunk", "train", "texts", "sizes", "lead", "closed")), strict=True):
+                path = _traversal(*rest)
+                counts = path.own_counts(train.values.to_numpy(zero_copy_only=False))
+                bucket = (path.keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(path.keys), np.int64)
+                first = np.flatnonzero(np.diff(bucket, prepend=-1))
+                ends = np.append(first[1:], len(bucket))
+                made = [(number.as_py(), int(bucket[a]), int(b - a), packed(np.diff(path.keys[a:b], prepend=_U(0))), packed(counts[a:b])) for a, b in zip(first, ends, strict=True)]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True)], names=names)
 
-    return rows.mapInArrow(run, "chunk long, bucket long, n long, keys binary, counts binary")
+    return chunks.mapInArrow(run, "chunk long, bucket long, n long, keys binary, counts binary")
 
 
 def statistics(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -277,25 +396,10 @@ def _answered(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "n": table["n"], "counts": pa.array(made, pa.binary()), "statistics": pa.array(once, pa.list_(pa.int64()))})
 
 
-def answers(rows: DataFrame, text_bytes: int, chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+def answers(chunks: DataFrame, text_bytes: int, bucket: int = BUCKET) -> DataFrame:
     """chunk, bucket, n, counts: the whole corpus's counts for each chunk; statistics: once a bucket."""
     bits = max(0, -(-text_bytes // bucket) - 1).bit_length()
-    return asked(rows, bits, chunk).groupBy("bucket").applyInArrow(_answered, "chunk long, bucket long, n long, counts binary, statistics array<long>")
-
-
-def chunk_texts(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """chunk, ids, sizes, size, texts: each chunk's rows, its texts compressed."""
-    id_type = rows.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("ids", T.ArrayType(id_type)), T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("texts", T.BinaryType())])
-
-    def run(batches):
-        for number, texts, ids, _ in _chunks(batches, chunk):
-            sizes = [len(t) for t in texts]
-            blob = pa.Codec("zstd", 1).compress(b"".join(texts), asbytes=True)
-            whole = pa.array([0, len(ids)], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.ListArray.from_arrays(whole, ids), pa.array([sizes], pa.list_(pa.int64())), pa.array([blob], pa.binary())], names=schema.names)
-
-    return rows.mapInArrow(run, schema)
+    return asked(chunks, bits).groupBy("bucket").applyInArrow(_answered, "chunk long, bucket long, n long, counts binary, statistics array<long>")
 
 
 def score(docs: DataFrame, train: str, chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
@@ -306,26 +410,31 @@ def score(docs: DataFrame, train: str, chunk: int = CHUNK, bucket: int = BUCKET)
     spark = docs.sparkSession
     common.ship(spark)
     rows = docs.select("doc_id", F.coalesce(F.col(train), F.lit(False)).alias("train"), F.col("text").cast("binary").alias("text"))
-    text_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    found = common.materialize(answers(rows, text_bytes, chunk, bucket))
+    chunks = common.materialize(chunk_table(rows, chunk))
+    text_bytes = chunks.agg(F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()[0]
+    found = common.materialize(answers(chunks, text_bytes, bucket))
     sums = np.zeros(_STATISTICS, np.int64)
     for r in found.select(F.posexplode("statistics").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect():
         sums[r["at"]] = r["x"]
     total, distinct, mass = int(sums[_TOKENS]), int(sums[_DISTINCT]), masses(sums)
+    names = ["doc_id", "row", "n_tokens", "n_known", "base_score", "score"]
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         made = []
-        for ids, sizes, blob in zip(left["ids"], left["sizes"].to_pylist(), left["texts"].to_pylist(), strict=True):
-            ends = np.cumsum(sizes)
-            whole = pa.Codec("zstd").decompress(blob, int(ends[-1]), asbytes=True) if ends[-1] else b""
-            path = Traversal([whole[e - s : e] for s, e in zip(sizes, ends, strict=True)])
+        for ids, row, *rest in zip(*(left[k] for k in ("ids", "row", "texts", "sizes", "lead", "closed")), strict=True):
             got = sorted(zip(right["bucket"].to_pylist(), right["n"].to_pylist(), right["counts"].to_pylist(), strict=True))
-            known, base, log_p = path.scores(np.concatenate([unpacked(c, n) for _, n, c in got]), total, distinct, mass)
-            made.append(pa.table({"doc_id": ids.values, "n_tokens": path.n_tokens, "n_known": known, "train_tokens": np.full(len(sizes), total, np.int64), "base_score": base, "score": log_p}))
+            counts = np.concatenate([unpacked(c, n) for _, n, c in got]) if got else np.zeros(0, _U)
+            path = _traversal(*rest)
+            if len(counts) != len(path.keys):
+                raise ValueError(f"{len(counts)} answers to {len(path.keys)} questions of a chunk")
+            made.append(pa.table([ids.values, row.values, *path.scores(counts, total, distinct, mass)], names=names))
         return pa.concat_tables(made)
 
-    schema = T.StructType([common.id_field(docs), *[T.StructField(k, T.LongType()) for k in ("n_tokens", "n_known", "train_tokens")], *[T.StructField(k, T.DoubleType()) for k in ("base_score", "score")]])
-    return chunk_texts(rows, chunk).groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(scored, schema)
+    schema = T.StructType([common.id_field(docs), *[T.StructField(k, T.LongType()) for k in ("row", "n_tokens", "n_known")], *[T.StructField(k, T.DoubleType()) for k in ("base_score", "score")]])
+    parts = chunks.drop("train").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(scored, schema)
+    sums = [F.sum(k).alias(k) for k in ("n_tokens", "n_known")]
+    logs = [F.sum(k).alias(k) for k in ("base_score", "score")]
+    return parts.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *sums, F.lit(total).cast("long").alias("train_tokens"), *logs).drop("row")
 
 
 def op4_lm_scoring(spark, sf_dir: str) -> DataFrame:

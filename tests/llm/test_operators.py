@@ -303,6 +303,52 @@ def test_lm_matches_its_formulas(spark, sizes):
     assert len(got[901]) == 2 and sum(map(len, got.values())) == len(train) + len(test)
 
 
+def test_lm_parts_of_a_text_carry_its_state():
+    """Parts of any size, with lanes of any length, have the sums of the whole text's traversal."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("a b c d e zażółć Q".split()) for _ in range(rng.randrange(400))).encode() for _ in range(20)] + [b"", b" \t a", b"a " + b" " * 900 + b"b"]
+    mass = {2: 1.7, 3: 0.6}
+    whole = lm.Traversal(texts)
+    counts = whole.own_counts(np.arange(len(texts)) % 2 == 0)
+    plain = whole.scores(counts, 900, 8, mass)
+    learned = dict(zip(whole.keys.tolist(), counts.tolist(), strict=True))
+    for size in (1, 7, 50, 5000):
+        parts = [(i, part, lead, part_of) for i, t in enumerate(texts) for part_of, (part, lead) in enumerate(lm.text_parts(t, size))]
+        last = [k + 1 == len(parts) or parts[k + 1][0] != parts[k][0] for k in range(len(parts))]
+        of = np.array([i for i, *_ in parts])
+        path = lm.Traversal([p for _, p, *_ in parts], np.array([lead for *_, lead, _ in parts]), np.array(last))
+        assert np.array_equal(path.own_counts(of % 2 == 0), np.array([learned[k] for k in path.keys.tolist()], np.uint64))
+        got = path.scores(np.array([learned[k] for k in path.keys.tolist()], np.uint64), 900, 8, mass)
+        for a, b in zip(got, plain, strict=True):
+            assert np.bincount(of, a, minlength=len(texts)) == pytest.approx(b, rel=1e-9)
+
+
+def test_lm_lanes_carry_the_state(monkeypatch):
+    texts = [" ".join(random.Random(i).choices("abcdef", k=300)).encode() for i in range(5)]
+    path = lm.Traversal(texts)
+    counts = path.own_counts(np.array([True, True, False, False, True]))
+    plain = path.scores(counts, 903, 7, {2: 2.0, 3: 0.5})
+    for lane in (3, 10, 299):
+        monkeypatch.setattr(lm, "LANE", lane)
+        assert path.scores(counts, 903, 7, {2: 2.0, 3: 0.5})[3] == pytest.approx(plain[3], rel=1e-12)
+
+
+def test_lm_scores_stay_if_the_input_is_split_anew(spark, tmp_path):
+    """Another split of the files between score() and the action: the chunks are the written ones."""
+    rng = random.Random(9)
+    frame(spark, [(i, words(rng, 40, "abcdefgh"), "en", "a") for i in range(400)]).repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").withColumn("train", F.col("doc_id") % 3 > 0)
+    plain = {r.doc_id: r.score for r in lm.score(docs, "train").collect()}
+    key = "spark.sql.leafNodeDefaultParallelism"
+    spark.conf.set(key, 4)
+    try:
+        later = lm.score(docs, "train", 2000, 2000)
+        spark.conf.set(key, 2)
+        assert {r.doc_id: r.score for r in later.collect()} == pytest.approx(plain, rel=1e-9)
+    finally:
+        spark.conf.unset(key)
+
+
 def test_lm_probabilities_sum_to_one():
     rng = random.Random(5)
     train = [lm_tokens(" ".join(rng.choice("abcde") for _ in range(rng.randrange(30)))) for _ in range(40)]
