@@ -254,13 +254,32 @@ class Automaton:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Unsigned 64-bit numbers as compressed byte planes."""
-    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-    return pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
+    """Unsigned 64-bit numbers as byte planes, each left out if it is zero, compressed if that is shorter, or as it is.
+
+    Two bits a plane say which; then come the compressed planes' sizes, then the planes.
+    """
+    kinds, sizes, made = 0, [], []
+    for k, plane in enumerate(np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)):
+        if plane.any():
+            raw = plane.tobytes()
+            small = pa.Codec("zstd", 1).compress(raw, asbytes=True)
+            shorter = len(small) + 4 < len(raw)
+            kinds |= (2 if shorter else 1) << 2 * k
+            sizes += [len(small)] * shorter
+            made.append(small if shorter else raw)
+    return b"".join([kinds.to_bytes(2, "little"), np.array(sizes, "<u4").tobytes(), *made])
 
 
 def unpacked(blob: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.Codec("zstd").decompress(blob, 8 * n, asbytes=True), np.uint8).reshape(8, n)
+    kinds = [int.from_bytes(blob[:2], "little") >> 2 * k & 3 for k in range(8)]
+    at = 2 + 4 * kinds.count(2)
+    sizes = iter(np.frombuffer(blob[2:at], "<u4").tolist())
+    planes = np.zeros((8, n), np.uint8)
+    for plane, kind in zip(planes, kinds, strict=True):
+        if kind:
+            end = at + (n if kind == 1 else next(sizes))
+            plane[:] = np.frombuffer(blob[at:end] if kind == 1 else pa.Codec("zstd").decompress(blob[at:end], n, asbytes=True), np.uint8)
+            at = end
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u8").astype(_U, copy=False)
 
 

@@ -323,6 +323,14 @@ def test_lm_parts_of_a_text_carry_its_state():
             assert np.bincount(of, a, minlength=len(texts)) == pytest.approx(b, rel=1e-9)
 
 
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 90, 5000):
+        for top in (1, 2, 300, 1 << 44, (1 << 64) - 1):
+            numbers = rng.integers(0, top, n, np.uint64, endpoint=True)
+            assert np.array_equal(lm.unpacked(lm.packed(numbers), n), numbers)
+
+
 def test_lm_lanes_carry_the_state(monkeypatch):
     texts = [" ".join(random.Random(i).choices("abcdef", k=300)).encode() for i in range(5)]
     path = lm.Traversal(texts)
