@@ -316,7 +316,7 @@ def chunk_table(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
         number, row, size, ids, held, texts = task << 32, task << 40, 0, [], [], []
 
         def closed_chunk():
-            blob = pa.Codec("zstd", 1).compress(b"".join(texts), asbytes=True)
+            blob = pa.Codec("zstd", 6).compress(b"".join(texts), asbytes=True)
             whole = pa.concat_arrays(ids)
             columns = [whole, *(pa.array(x) for x in zip(*held, strict=True)), pa.array([len(t) for t in texts], pa.int64())]
             lists = [pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), c) for c in columns]
