@@ -4,8 +4,8 @@ Tokens are lower-cased runs of letters and digits. From a bounded, documented sa
 labelled documents (MAX_TRAIN_DOCS a class in expectation, chosen by a hash of the id) each
 token, and each token's starts of STEMS letters, gets the log of its odds among toxic against
 clean tokens (each counted once a document), with an informative Dirichlet prior: LEAST_PRIOR
-and PRIOR times its background frequency. Log-odds of less than Z standard errors, or nearer to 0 than MIN_ODDS,
-count as none. A token without evidence that no clean document has takes the log-odds of its
+and PRIOR times its background frequency. Log-odds of less than Z standard errors count as
+none. A token without evidence that no clean document has takes the log-odds of its
 longest stem with evidence; a stem's come from the tokens that have none of their own, or from
 SPREAD or more that agree. Every occurrence of a token counts in the scan.
 
@@ -48,7 +48,6 @@ SPREAD = 3
 PRIOR = 1000.0
 LEAST_PRIOR = 0.5
 Z = 3.2
-MIN_ODDS = 3.0
 MOST = 30.0
 DRIFT = 0.05
 #: How often a segment may be expected in a clean text to be called significant.
@@ -225,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
         return odds, root(1 / (toxic + prior) + 1 / (clean + prior))
 
     odds, error = evidence(F.col("clean"), F.col("toxic"))
-    strong = features.where((F.abs(odds) >= Z * error) & (F.abs(odds) >= MIN_ODDS)).withColumn("odds", odds).toArrow().to_pylist()
+    strong = features.where(F.abs(odds) >= Z * error).withColumn("odds", odds).toArrow().to_pylist()
     words = {r["feature"][1:]: r for r in strong if r["feature"][0] == "w"}
     under: dict[str, list[dict]] = {}
     for w, r in words.items():
@@ -238,7 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
         spread = len(known) >= SPREAD and all((r["odds"] > 0) == (stem["odds"] > 0) for r in known)
         rest = [max(0, stem[k] - (not spread) * sum(r[k] for r in known)) for k in ("clean", "toxic")]
         odds, error = evidence(*rest, math.log, math.sqrt)
-        if abs(odds) >= max(MIN_ODDS, Z * error):
+        if abs(odds) >= Z * error:
             stems[stem["feature"][1:]] = odds
     words = {w: r["odds"] for w, r in words.items()}
     if stems:  # what clean documents have of a stem's tokens stays out of it
