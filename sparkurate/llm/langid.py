@@ -33,8 +33,6 @@ MATRIX = 1 << 23
 #: Up to so many languages' sample bounds are broadcast; beyond, a shuffled join.
 BROADCAST_LANGUAGES = 100_000
 SMOOTHING = 0.5
-#: Overlapping n-grams are not independent; at most so many count as evidence for the score.
-EVIDENCE = 64
 PIECE = 1 << 20
 #: n-grams of a batch of texts that is scored at once.
 CELLS = 1 << 18
@@ -131,8 +129,7 @@ class Model:
             for low in range(0, len(self.languages), 16):  # some languages at a time: cells x 16 numbers are held
                 part = self.log_p[buckets, low : low + 16].astype(np.float64) * n[:, None]
                 sums[:, low : low + 16] = np.add.reduceat(part, starts[rows], axis=0)
-            total = np.add.reduceat(n, starts[rows])
-            scores = sums * np.minimum(1.0, EVIDENCE / total)[:, None] + self.prior
+            scores = sums + self.prior
             best = scores.argmax(axis=1)
             sure = 1.0 / np.exp(scores - scores[np.arange(len(rows)), best][:, None]).sum(axis=1)
             for row, k, p in zip(rows.tolist(), best.tolist(), sure.tolist(), strict=True):
