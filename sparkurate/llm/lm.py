@@ -429,6 +429,7 @@ def score(docs: DataFrame, train: str, chunk: int = CHUNK, bucket: int = BUCKET)
     spark = docs.sparkSession
     common.ship(spark)
     rows = docs.select("doc_id", F.coalesce(F.col(train), F.lit(False)).alias("train"), F.col("text").cast("binary").alias("text"))
+    began = common.mark()
     chunks = common.materialize(chunk_table(rows, chunk))
     text_bytes = chunks.agg(F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()[0]
     found = common.materialize(answers(chunks, text_bytes, bucket))
@@ -453,7 +454,10 @@ def score(docs: DataFrame, train: str, chunk: int = CHUNK, bucket: int = BUCKET)
     parts = chunks.drop("train").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(scored, schema)
     sums = [F.sum(k).alias(k) for k in ("n_tokens", "n_known")]
     logs = [F.sum(k).alias(k) for k in ("base_score", "score")]
-    return parts.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *sums, F.lit(total).cast("long").alias("train_tokens"), *logs).drop("row")
+    # The sums are written, so that neither chunks nor answers stay for a result that is read later.
+    whole = common.materialize(parts.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *sums, F.lit(total).cast("long").alias("train_tokens"), *logs).drop("row"))
+    common.discard_since(began, spark, whole)
+    return whole
 
 
 def op4_lm_scoring(spark, sf_dir: str) -> DataFrame:
