@@ -9,12 +9,12 @@ A budget of tokens is then split by weight. A source is drawn in passes, each a
 its documents by the md5 of seed, id and text: whole passes first, then the start of one more until
 the source's part of the budget is used up. The permutation is a permutation of blocks (the
 first hex digits) and of each block's documents, so that where a pass stops is found from
-block sums: no window has more rows than a block or STEP digits of block sums, whatever the
-size of a source. Budget None is the least that draws every document at least once.
+block sums: no window has more rows than the different ones of a block or STEP digits of block sums,
+whatever the size of a source. A row's copies follow from its place and its source's cutoff. Budget None is the least that draws every document at least once.
 
 Edge cases: a null source is the empty one; a null id counts as the empty string, so rows
 without an id, or of one id, are spread by their texts; rows without tokens go with the place
-where they stand; rows that are equal have one place and are drawn each for itself; an empty
+where they stand; rows that are equal in all columns have one place, are counted as one and drawn each for itself; an empty
 table gives an empty result; a single source keeps weight 1. Columns of documents may have any name
 that doesn't start with _mix_.
 """
@@ -31,9 +31,15 @@ from sparkurate.llm import common
 
 BLOCK_DOCS = 512
 STEP = 3
+#: Up to so many sources their cutoffs are broadcast (some 10 MB); beyond, a join by source and salt.
+BROADCAST_SOURCES = 100_000
+#: Equal rows where a pass stops are written out again in parts of so many.
+PART_ROWS = 65_536
 STEPS = 30
 HALVINGS = 3
 SEED = "mix"
+#: Times keep their microseconds when rows are told apart.
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 MAX_REPETITION = 1.25
 COVER_SPREAD = 2.0
 
@@ -50,12 +56,17 @@ class Totals:
 
 
 def prepared(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """docs with their source's key, tokens and place in the permutation."""
+    """docs with their source's key, tokens and place in the permutation.
+
+    Columns beside id, text and source are part of the place, so that rows of one place are equal, null or empty aside.
+    """
+    rest = sorted(set(docs.columns) - {"doc_id", "text", "source"})
+    parts = [F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest]), EXACT))] if rest else []
     return docs.withColumns(
         {
             "_mix_source": F.coalesce(F.col("source").cast("string"), F.lit("")),
             "_mix_tokens": n_tokens(),
-            "_mix_place": F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))),
+            "_mix_place": F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))), *parts)),
         }
     )
 
@@ -149,14 +160,58 @@ def block_starts(rows: DataFrame, digits: int, step: int = STEP) -> DataFrame:
     return starts
 
 
+def cutoffs(rows: DataFrame, planned: DataFrame, digits: int, step: int = STEP) -> DataFrame:
+    """planned with cut, equal, more: where the last pass of a source stops, one row a source.
+
+    Rows placed before cut are drawn once more, rows at cut (equal of them) more times in all, rows after it not.
+    The block of cut is the last that starts within the room; its rows alone are looked at, equal ones as one.
+    """
+    starts = block_starts(rows, digits, step).join(planned.select("_mix_source", "room"), "_mix_source").where("before <= room")
+    last = starts.groupBy("_mix_source").agg(F.max_by(F.struct(F.col("_mix_block").alias("block"), "before", "room"), "_mix_block").alias("last")).select("_mix_source", "last.*")
+    inside = rows.select("_mix_source", "_mix_place", "_mix_tokens", F.substring("_mix_place", 1, digits).alias("block")).join(last, ["_mix_source", "block"])
+    distinct = inside.groupBy("_mix_source", "_mix_place", "_mix_tokens", "before", "room").agg(F.count("*").alias("n"))
+    by = Window.partitionBy("_mix_source").orderBy("_mix_place").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("before") + F.coalesce(F.sum(F.col("_mix_tokens") * F.col("n")).over(by), F.lit(0))
+    left = distinct.withColumn("left", F.col("room") - before)
+    drawn = F.when(F.col("left") < 0, 0).when(F.col("_mix_tokens") > 0, F.least("n", F.expr("left div _mix_tokens"))).otherwise(F.col("n"))
+    ends = left.withColumn("drawn", drawn.cast("long"))
+    # Without a row that isn't drawn the whole block is: "g" comes after all hex digits.
+    first = F.min(F.when(F.col("drawn") < F.col("n"), F.struct("_mix_place", "n", "drawn")))
+    cut = ends.join(last.select("_mix_source", "block"), "_mix_source").groupBy("_mix_source").agg(first.alias("first"), F.first("block").alias("block"))
+    whole = F.struct(F.concat("block", F.lit("g")).alias("_mix_place"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("drawn"))
+    found = cut.withColumn("at", F.coalesce("first", whole)).select("_mix_source", F.col("at._mix_place").alias("cut"), F.col("at.n").alias("equal"), F.col("at.drawn").alias("more"))
+    nothing = {"cut": "", "equal": 0, "more": 0}
+    return planned.join(found, "_mix_source", "left").fillna(nothing)
+
+
 def assign(rows: DataFrame, sources: DataFrame, planned: DataFrame, totals: Totals, sums_from: DataFrame | None = None, digits: int | None = None, step: int = STEP) -> DataFrame:
-    """rows with _mix_weight and _mix_copies: how often each row is drawn."""
-    digits = digits or digits_for(totals.rows)
-    blocks = block_starts(sums_from if sums_from is not None else rows, digits, step).join(planned, "_mix_source")
-    blocks = blocks.select("_mix_source", "_mix_block", *[F.col(k).alias(f"_mix_{k}") for k in ("before", "weight", "passes", "room")])
-    placed = rows.withColumn("_mix_block", F.substring("_mix_place", 1, digits)).join(blocks, ["_mix_source", "_mix_block"])
-    upto = F.sum("_mix_tokens").over(Window.partitionBy("_mix_source", "_mix_block").orderBy("_mix_place", "doc_id", "_mix_tokens").rowsBetween(Window.unboundedPreceding, 0))
-    return placed.withColumn("_mix_copies", F.col("_mix_passes") + F.when(F.col("_mix_before") + upto <= F.col("_mix_room"), 1).otherwise(0))
+    """rows with _mix_weight and _mix_copies: how often each row is drawn.
+
+    A row is compared with its source's cutoff, so rows aren't moved. Where a pass stops amid equal rows, these
+    alone are counted as one row and written out again, some with a copy more.
+    """
+    slim = sums_from if sums_from is not None else rows
+    cuts = common.materialize(cutoffs(slim, planned, digits or digits_for(totals.rows), step)).select("_mix_source", *[F.col(k).alias(f"_mix_{k}") for k in ("weight", "passes", "room", "cut", "equal", "more")])
+    if totals.sources <= BROADCAST_SOURCES:
+        placed = rows.join(F.broadcast(cuts), "_mix_source")
+    else:
+        # A hot source's rows go to many tasks by the first digits of their places.
+        salts = F.explode(F.array(*[F.lit(f"{k:02x}") for k in range(256)]))
+        placed = rows.withColumn("_mix_salt", F.substring("_mix_place", 1, 2)).join(cuts.withColumn("_mix_salt", salts), ["_mix_source", "_mix_salt"]).drop("_mix_salt")
+    copies = F.col("_mix_passes") + F.when(F.col("_mix_place") < F.col("_mix_cut"), 1).otherwise(0)
+    if cuts.where("_mix_more > 0").isEmpty():
+        return placed.withColumn("_mix_copies", copies)
+    amid = (F.col("_mix_place") == F.col("_mix_cut")) & (F.col("_mix_more") > 0)
+    # Rows of one place differ in what is null or empty at most; any one of a kind stands for all of it.
+    kind = F.concat(*[F.col(c).isNull().cast("string") for c in ("doc_id", "text", "source") if c in rows.columns])
+    counted = placed.where(amid).groupBy("_mix_source", "_mix_place", kind.alias("_mix_kind")).agg(F.count("*").alias("_mix_n"), F.first(F.struct(*[F.col(f"`{c}`") for c in placed.columns])).alias("_mix_row"))
+    by = Window.partitionBy("_mix_source").orderBy("_mix_kind").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.select("_mix_row", "_mix_n", F.coalesce(F.sum("_mix_n").over(by), F.lit(0)).alias("_mix_start"))
+    parts = counted.withColumn("_mix_part", F.explode(F.expr(f"sequence(0L, (_mix_n - 1) div {PART_ROWS})"))).repartition("_mix_start", "_mix_part")
+    numbers = F.explode(F.expr(f"sequence(_mix_part * {PART_ROWS} + 1, least(_mix_n, (_mix_part + 1) * {PART_ROWS}))"))
+    numbered = parts.withColumn("_mix_number", numbers)
+    again = numbered.select("_mix_row.*", F.expr("_mix_row._mix_passes + if(_mix_start + _mix_number <= _mix_row._mix_more, 1, 0)").alias("_mix_copies"))
+    return placed.where(~amid).withColumn("_mix_copies", copies).unionByName(again)
 
 
 def op8_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -642,6 +642,41 @@ def test_mixing_draws_the_budget(spark, digits, step):
             assert r.copies == part // own + (upto <= part % own)
 
 
+@pytest.mark.parametrize("most_sources", [0, 100_000])
+def test_mixing_splits_equal_rows(spark, monkeypatch, most_sources):
+    """A pass stops amid rows that are equal in id and text; each row's draws are those of a plain loop over the places."""
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", most_sources)
+    monkeypatch.setattr(mixing, "PART_ROWS", 7)
+    rng = random.Random(5)
+    rows = [(None, "w w w", "en", "hot")] * 90 + [(None, "w w w", "de", "hot")] * 30 + [(i, "w " * rng.randrange(0, 9), "en", rng.choice(["hot", "cold", None])) for i in range(60)]
+    rng.shuffle(rows)
+    prepared = mixing.prepared(frame(spark, rows))
+    sources, totals = mixing.shares(prepared)
+    amid = 0
+    for budget in range(150, 750, 150):
+        drawn = mixing.assign(prepared, sources, mixing.plan(sources, totals, 0.6, budget), totals, digits=1).collect()
+        assert Counter((r.doc_id, r.text, r.lang, r.source) for r in drawn) == Counter(rows)
+        for source in {r._mix_source for r in drawn}:
+            own = sorted((r for r in drawn if r._mix_source == source), key=lambda r: r._mix_place)
+            upto, want, got = 0, Counter(), Counter()
+            for r in own:
+                upto += r._mix_tokens
+                want[r._mix_place, r._mix_passes + (upto <= r._mix_room)] += 1
+                got[r._mix_place, r._mix_copies] += 1
+            assert want == got
+            amid += any(len({c for p, c in got if p == place}) > 1 for place, _ in got)
+    assert amid > 0
+
+
+def test_mixing_keeps_null_and_empty_apart(spark):
+    rows = [(1, None, None, "s")] * 3 + [(1, "", None, "s")] * 2 + [(None, "a b", None, None), (None, "a b", None, "")] * 4
+    prepared = mixing.prepared(frame(spark, rows))
+    sources, totals = mixing.shares(prepared)
+    for budget in (3, 5, 7, 11):
+        drawn = mixing.assign(prepared, sources, mixing.plan(sources, totals, 1.0, budget), totals).collect()
+        assert Counter((r.doc_id, r.text, r.lang, r.source) for r in drawn) == Counter(rows)
+
+
 def test_mixing_edges(spark):
     for rows in ([], ODD, [(1, None, None, None)], [(1, "a", None, "s"), (2, "", None, "t")]):
         docs = frame(spark, rows)
